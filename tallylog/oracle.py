@@ -133,6 +133,122 @@ RUN_STATS = """SELECT CAST(count(*) FILTER (WHERE is_valid) AS BIGINT) AS total_
        CAST(count(*) FILTER (WHERE NOT is_valid) AS BIGINT) AS malformed_count
 FROM flagged"""
 
-
-def _join(*parts: str) -> str:
-    return "".join(parts)
+ERR = "status_code BETWEEN 400 AND 599"
+DAY_INDEX = "CAST(dense_rank() OVER (ORDER BY day) AS INTEGER)"
+RECORD = ("host, timestamp_raw, log_date, log_hour, http_method, resource_path, "
+          "protocol_version, status_code, bytes_transferred")
+TOP_PATHS = ", " + PATH_METRICS + """
+, top_paths AS (
+  SELECT CAST(row_number() OVER (ORDER BY request_count DESC, resource_path ASC) AS INTEGER) AS rank,
+         resource_path, request_count, total_bytes
+  FROM path_metrics ORDER BY request_count DESC, resource_path ASC LIMIT @K@
+)""".replace("@K@", str(TOP_K))
+
+
+def _empty(columns: list[tuple[str, str]]) -> str:
+    cols = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in columns)
+    return f"SELECT {cols} WHERE false"
+
+
+Q3_TYPES = [("log_date", "DATE"), ("log_hour", "INTEGER"), ("error_request_count", "BIGINT"),
+            ("total_request_count", "BIGINT"), ("error_rate", "DECIMAL(20,6)"),
+            ("distinct_error_hosts", "BIGINT")]
+
+BODIES = {
+    # S
+    "scan_log_lines": "SELECT raw FROM lines",
+    "scan_gzip_lines": "SELECT raw FROM lines",
+    "decode_latin1": "SELECT raw, CAST(length(raw) AS INTEGER) AS n_chars FROM lines",
+    "union_inputs": "SELECT raw FROM lines UNION ALL SELECT raw FROM lines",
+    "tag_source_file": f"SELECT raw, 'day=' || day AS file_entry, {DAY_INDEX} AS file_index FROM lines",
+    "write_results": Q1,
+    "write_run_metadata": (
+        "SELECT 'spark' AS pipeline, 'all' AS query_name, 'completed' AS status, "
+        f"CAST({BATCH_SIZE} AS INTEGER) AS batch_size, num_batches, avg_batch_size, total_records, "
+        f"malformed_count FROM ({RUN_STATS}) AS s"),
+    "materialize_parsed": "SELECT * FROM parsed",
+    "read_run_results": Q3,
+    "write_line_batches": "SELECT ordinal, batch_id, raw FROM flagged",
+    "check_result_keys": _empty([("table_name", "VARCHAR"), ("violation", "VARCHAR"),
+                                 ("run_id", "VARCHAR"), ("detail", "VARCHAR")]),
+    # P
+    "extract_log_fields": "SELECT ordinal, host, timestamp_raw, request_raw, status_raw, bytes_raw FROM fields",
+    "filter_valid": ("SELECT ordinal, host, timestamp_raw, request_raw, status_raw, bytes_raw "
+                     "FROM flagged WHERE is_valid"),
+    "count_malformed": "SELECT CAST(count(*) FILTER (WHERE NOT is_valid) AS BIGINT) AS malformed_count FROM flagged",
+    "derive_log_date": "SELECT ordinal, log_date FROM flagged",
+    "derive_log_hour": "SELECT ordinal, log_hour FROM flagged",
+    "split_request": "SELECT ordinal, http_method, resource_path, protocol_version FROM flagged",
+    "normalize_bytes": "SELECT ordinal, bytes_transferred FROM flagged",
+    "cast_status": "SELECT ordinal, status_code FROM flagged WHERE is_valid",
+    "parse_access_log": "SELECT * FROM parsed",
+    "filter_has_path": "SELECT ordinal, resource_path, host FROM parsed WHERE resource_path IS NOT NULL",
+    "filter_errors": f"SELECT ordinal, log_date, log_hour, status_code, host FROM parsed WHERE {ERR}",
+    "project_result_schema": f"SELECT {RECORD} FROM parsed",
+    # B
+    "assign_ordinal": "SELECT ordinal, raw FROM lines",
+    "batch_by_lines": "SELECT ordinal, batch_id FROM flagged",
+    "batch_by_file": f"SELECT raw, {DAY_INDEX} AS batch_id FROM lines",
+    "batch_from_file_name": f"SELECT raw, {DAY_INDEX} AS batch_id FROM lines",
+    "num_batches": "SELECT CAST(COALESCE(max(batch_id), 0) AS INTEGER) AS num_batches FROM parsed",
+    "avg_batch_size": f"SELECT avg_batch_size FROM ({RUN_STATS}) AS s",
+    "run_stats": RUN_STATS,
+    "batch_summary": (
+        "SELECT batch_id, CAST(count(*) FILTER (WHERE is_valid) AS BIGINT) AS record_count, "
+        "CAST(count(*) FILTER (WHERE NOT is_valid) AS BIGINT) AS malformed_count, "
+        "CAST(COALESCE(sum(bytes_transferred) FILTER (WHERE is_valid), 0) AS BIGINT) AS total_bytes "
+        "FROM flagged GROUP BY batch_id"),
+    "guard_empty_run": RUN_STATS,
+    # A
+    "q1_partial": ("SELECT batch_id, log_date, status_code, CAST(count(*) AS BIGINT) AS request_count, "
+                   "CAST(COALESCE(sum(bytes_transferred), 0) AS BIGINT) AS total_bytes "
+                   "FROM parsed GROUP BY batch_id, log_date, status_code"),
+    "q2_partial": ("SELECT batch_id, resource_path, CAST(count(*) AS BIGINT) AS request_count, "
+                   "CAST(COALESCE(sum(bytes_transferred), 0) AS BIGINT) AS total_bytes "
+                   "FROM parsed WHERE resource_path IS NOT NULL GROUP BY batch_id, resource_path"),
+    "q3_partial": (f"SELECT batch_id, log_date, log_hour, CAST(count(*) FILTER (WHERE {ERR}) AS BIGINT) "
+                   "AS error_request_count, CAST(count(*) AS BIGINT) AS total_request_count "
+                   "FROM parsed GROUP BY batch_id, log_date, log_hour"),
+    "q1_daily_traffic": Q1,
+    "q2_top_resources": Q2,
+    "q3_hourly_errors": Q3,
+    "q1_merge_partials": Q1,
+    "q2_merge_partials": ", " + PATH_METRICS + "\nSELECT resource_path, request_count, total_bytes FROM path_metrics",
+    "q3_merge_partials": (", " + HOURLY + "\nSELECT log_date, log_hour, error_request_count, "
+                          "total_request_count FROM hourly WHERE error_request_count > 0"),
+    "q2_distinct_pairs": "SELECT DISTINCT resource_path, host FROM parsed WHERE resource_path IS NOT NULL",
+    "q3_distinct_pairs": f"SELECT DISTINCT log_date, log_hour, host FROM parsed WHERE {ERR}",
+    "distinct_hosts_by_path": ", " + PATH_METRICS + "\nSELECT resource_path, distinct_host_count FROM path_metrics",
+    "distinct_error_hosts_by_hour": (
+        "SELECT log_date, log_hour, CAST(count(DISTINCT host) AS BIGINT) AS distinct_error_hosts "
+        f"FROM parsed WHERE {ERR} GROUP BY log_date, log_hour"),
+    "totals_by_hour": ("SELECT log_date, log_hour, CAST(count(*) AS BIGINT) AS total_request_count "
+                       "FROM parsed GROUP BY log_date, log_hour"),
+    "errors_by_hour": ("SELECT log_date, log_hour, CAST(count(*) AS BIGINT) AS error_request_count "
+                       f"FROM parsed WHERE {ERR} GROUP BY log_date, log_hour"),
+    "total_records": "SELECT CAST(count(*) AS BIGINT) AS total_records FROM parsed",
+    "error_rate": (", " + HOURLY + "\nSELECT log_date, log_hour, "
+                   + rate_sql("error_request_count", "total_request_count")
+                   + " AS error_rate FROM hourly WHERE error_request_count > 0"),
+    # J
+    "join_top_paths_hosts": Q2,
+    "join_errors_hosts": Q3,
+    "join_metrics_hosts": (", " + PATH_METRICS + "\nSELECT resource_path, request_count, total_bytes, "
+                           "distinct_host_count FROM path_metrics"),
+    "join_hourly_three_way": Q3,
+    "merge_hourly_left": Q3,
+    "cross_join_stats": RUN_STATS,
+    # W
+    "sort_q1": Q1,
+    "top_k_paths": TOP_PATHS + "\nSELECT resource_path, request_count, total_bytes FROM top_paths",
+    "rank_by_position": TOP_PATHS + "\nSELECT rank, resource_path, request_count FROM top_paths",
+    "dense_rank_paths": TOP_PATHS + "\nSELECT rank, resource_path, request_count FROM top_paths",
+    "sort_q3": Q3,
+    "sort_q2_by_rank": Q2,
+    # U, K
+    "diff_runs": _empty([("side", "VARCHAR"), *Q3_TYPES]),
+    "run_report_job": Q2,
+    "run_report": Q1,
+}
+
+ORACLE_SQL: dict[str, str] = {key: q(body) for key, body in BODIES.items()}
