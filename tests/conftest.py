@@ -1,0 +1,32 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+sys.path.insert(0, HERE)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tallylog.session import local_session, shared_dir
+    session = local_session("*", shuffle_partitions=8)
+    shared_dir(session)
+    yield session
+
+
+@pytest.fixture(scope="session")
+def scratch():
+    """A fresh folder for this test run (never cleared)."""
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+@pytest.fixture()
+def new_dir(scratch):
+    def make(name: str = "d") -> str:
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=scratch)
+    return make

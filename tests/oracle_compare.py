@@ -55,3 +55,22 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         return False, f"values differ, first: {diff}"
     return True, f"{len(s_rows)} rows equal"
+
+
+_SPARK_TO_DUCK = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+    "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "smallint": "SMALLINT",
+}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[str]:
+    """Columns whose Spark type and DuckDB type differ."""
+    res = con.execute(f"DESCRIBE {sql}").fetchall()
+    duck_types = {r[0]: r[1] for r in res}
+    out = []
+    for name, stype in spark_df.dtypes:
+        want = _SPARK_TO_DUCK.get(stype, stype.upper().replace(" ", ""))
+        got = duck_types.get(name, "?").replace(" ", "")
+        if want != got:
+            out.append(f"{name}: spark {stype} vs duckdb {got}")
+    return out
