@@ -41,6 +41,28 @@ def log_field(raw: Column | str, group: int) -> Column:
     return F.regexp_extract(_col(raw), SPARK_LOG_PATTERN, group)
 
 
+# The five captures joined by a line feed, which no line read from text holds.
+_JOINED_GROUPS = "\n".join(f"${g}" for g in range(1, 6))
+
+
+def log_fields(raw: Column | str) -> Column:
+    """All five captures as ARRAY<STRING>, NULL when the line does not match.
+
+    One pattern evaluation per line: a matching line is rewritten into its
+    captures joined by "\\n" and split once. A line with no "\\n" (every line
+    read from text, where "\\n" ends lines) cannot be confused with its rewrite,
+    so the result is exact; a line that does hold "\\n" takes the per-group path.
+    """
+    r = _col(raw)
+    parts = F.split(F.regexp_replace(r, SPARK_LOG_PATTERN, _JOINED_GROUPS), "\n")
+    one_pass = F.when(F.size(parts) == F.lit(5), parts)
+    per_group = F.when(
+        log_field(r, GROUP_STATUS) != F.lit(""),
+        F.array(*[log_field(r, g) for g in range(1, 6)]),
+    )
+    return F.when(F.instr(r, "\n") == F.lit(0), one_pass).otherwise(per_group)
+
+
 def log_date(timestamp_raw: Column | str) -> Column:
     """Calendar date in the line's own offset (no time-zone shift); NULL if unreadable."""
     return F.try_to_date(F.substring(_col(timestamp_raw), 1, 11), DATE_PATTERN)
@@ -52,8 +74,12 @@ def log_hour(timestamp_raw: Column | str) -> Column:
 
 
 def request_tokens(request_raw: Column | str) -> Column:
-    """The request split on runs of whitespace, with empty tokens dropped."""
-    return F.filter(F.split(_col(request_raw), r"\s+"), lambda t: t != F.lit(""))
+    """The request split on runs of whitespace, with empty tokens dropped.
+
+    Written as the maximal runs of non-whitespace, which is the same list and
+    needs neither a lambda nor a second pass.
+    """
+    return F.regexp_extract_all(_col(request_raw), F.lit(r"\S+"), 0)
 
 
 def request_token(tokens: Column, position: int) -> Column:

@@ -3,6 +3,13 @@
 ``flag_lines`` evaluates the pattern once per line and keeps every line, valid
 or not, with an ``is_valid`` flag; the parsed records and the malformed count
 are both read from that one DataFrame, so the pattern never runs twice.
+
+Once per line also holds inside one plan: Catalyst pushes a filter below a
+projection by copying the projected expressions into the filter, which for the
+parse would run the pattern and the date parser again for every reference (and
+made the generated code several times larger). The parsed columns therefore
+come out of a one-row generator (``inline`` of a one-element array), which no
+filter is pushed through; each line is parsed exactly once, in codegen.
 """
 
 from __future__ import annotations
@@ -24,15 +31,16 @@ RECORD_COLUMNS = [
 ]
 
 
+FIELD_COLUMNS = ["host", "timestamp_raw", "request_raw", "status_raw", "bytes_raw"]
+
+
 def extract_log_fields(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """The five captures of the master pattern ('' where the line does not match)."""
-    return lines.withColumns({
-        "host": clf.log_field(raw, clf.GROUP_HOST),
-        "timestamp_raw": clf.log_field(raw, clf.GROUP_TIMESTAMP),
-        "request_raw": clf.log_field(raw, clf.GROUP_REQUEST),
-        "status_raw": clf.log_field(raw, clf.GROUP_STATUS),
-        "bytes_raw": clf.log_field(raw, clf.GROUP_BYTES),
-    })
+    with_fields = lines.withColumn("_fields", clf.log_fields(raw))
+    return with_fields.withColumns({
+        name: F.coalesce(F.col("_fields")[i], F.lit(""))
+        for i, name in enumerate(FIELD_COLUMNS)
+    }).drop("_fields")
 
 
 def derive_fields(fields: DataFrame) -> DataFrame:
@@ -65,9 +73,19 @@ def with_batch_id(lines: DataFrame, batch_size: int | None) -> DataFrame:
     return lines.withColumn("batch_id", F.lit(1))
 
 
+def evaluate_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pass ``columns`` through a one-row generator so that later filters cannot
+    copy their expressions; every other column passes through unchanged."""
+    keep = [c for c in df.columns if c not in columns]
+    record = F.struct(*[F.col(c) for c in columns])
+    return df.select(*keep, F.inline(F.array(record)))
+
+
 def flag_lines(lines: DataFrame, batch_size: int | None = None, raw: str = "raw") -> DataFrame:
     """Every input line with its parsed fields, ``batch_id`` and ``is_valid``."""
-    return derive_fields(extract_log_fields(with_batch_id(lines, batch_size), raw))
+    base = with_batch_id(lines, batch_size)
+    derived = derive_fields(extract_log_fields(base, raw))
+    return evaluate_once(derived, [c for c in derived.columns if c not in base.columns])
 
 
 def filter_valid(flagged: DataFrame) -> DataFrame:

@@ -74,9 +74,20 @@ def _line(e: Column) -> Column:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that arrives in fewer partitions than the cluster has
+    cores (one small parquet file is one task); a source that is already wide,
+    as any large one is, is left alone and costs no shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ordinal BIGINT, raw STRING)``: one log line per event, ordinal = event_id + 1."""
-    e = events(spark, sf_dir)
+    e = spread(events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value"))
     return e.select(
         (F.col("event_id") + 1).alias("ordinal"),
         _line(e).alias("raw"),
