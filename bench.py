@@ -1,9 +1,11 @@
 """Bench: the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line. ``value`` is the end-to-end job time (read text files,
-number lines, parse, all three reports, run statistics, write results and the
-runs row), the same scope as the reference's published run time. Per-query
-times are best of two runs of the DataFrame built from the events-derived log.
+number lines, batches of 100,000 lines, parse, all three reports, run
+statistics, write results and the runs row), the same scope as the
+reference's published run time; best of two runs, the first (cold) run is
+reported too. Per-query times are best of two runs, each on a freshly built
+DataFrame from the events-derived log.
 """
 
 from __future__ import annotations
@@ -55,23 +57,26 @@ def main() -> None:
     times = {name: _timed(fn) for name, fn in queries.items()}
 
     root = write_event_log(spark, sf_dir)  # input files for the job; not timed
+
+    def job(batch_size):
+        return lambda: run_report_job(spark, root, staging_path(spark, "bench-store"),
+                                      batch_size=batch_size, name_prefix=DAY_PREFIX)
+
     t = time.perf_counter()
-    run_report_job(spark, root, staging_path(spark, "bench-store"), batch_size=BATCH_SIZE,
-                   name_prefix=DAY_PREFIX)
-    job = round(time.perf_counter() - t, 3)
-    times["job_line_batches"] = job
-    t = time.perf_counter()
-    run_report_job(spark, root, staging_path(spark, "bench-store"), batch_size=None, name_prefix=DAY_PREFIX)
-    times["job_file_batches"] = round(time.perf_counter() - t, 3)
+    job(BATCH_SIZE)()
+    times["job_line_batches_first_run"] = round(time.perf_counter() - t, 3)
+    times["job_line_batches"] = min(times["job_line_batches_first_run"], _timed(job(BATCH_SIZE), repeat=1))
+    times["job_file_batches"] = _timed(job(None))
+    job_sec = times["job_line_batches"]
 
     print(json.dumps({
         "metric": "end_to_end_job_sec",
-        "value": job,
+        "value": job_sec,
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "lines": n_lines,
-        "lines_per_sec": round(n_lines / job, 1) if job > 0 else None,
+        "lines_per_sec": round(n_lines / job_sec, 1) if job_sec > 0 else None,
         "cpus": cpus,
     }))
 

@@ -45,17 +45,17 @@ def log_field(raw: Column | str, group: int) -> Column:
 _JOINED_GROUPS = "\n".join(f"${g}" for g in range(1, 6))
 
 
-def log_fields(raw: Column | str) -> Column:
-    """All five captures as ARRAY<STRING>, NULL when the line does not match.
-
-    One pattern evaluation per line: a matching line is rewritten into its
-    captures joined by "\\n" and split once. A line with no "\\n" (every line
-    read from text, where "\\n" ends lines) cannot be confused with its rewrite,
-    so the result is exact; a line that does hold "\\n" takes the per-group path.
+def log_parts(raw: Column | str) -> Column:
+    """All five captures in one pattern evaluation, as ARRAY<STRING>.
+
+    A matching line is rewritten into its captures joined by "\\n" and split
+    once, giving five elements. A line that does not match is left as it is,
+    and since no line read from text holds "\\n" (it ends lines) it splits into
+    one element. A line that does hold "\\n" takes the per-group path instead:
+    five elements, or NULL without a match. So ``is_match(parts)`` is exact.
     """
     r = _col(raw)
-    parts = F.split(F.regexp_replace(r, SPARK_LOG_PATTERN, _JOINED_GROUPS), "\n")
-    one_pass = F.when(F.size(parts) == F.lit(5), parts)
+    one_pass = F.split(F.regexp_replace(r, SPARK_LOG_PATTERN, _JOINED_GROUPS), "\n")
     per_group = F.when(
         log_field(r, GROUP_STATUS) != F.lit(""),
         F.array(*[log_field(r, g) for g in range(1, 6)]),
@@ -63,6 +63,10 @@ def log_fields(raw: Column | str) -> Column:
     return F.when(F.instr(r, "\n") == F.lit(0), one_pass).otherwise(per_group)
 
 
+def is_match(parts: Column | str) -> Column:
+    return F.coalesce(F.size(_col(parts)) == F.lit(5), F.lit(False))
+
+
 def log_date(timestamp_raw: Column | str) -> Column:
     """Calendar date in the line's own offset (no time-zone shift); NULL if unreadable."""
     return F.try_to_date(F.substring(_col(timestamp_raw), 1, 11), DATE_PATTERN)

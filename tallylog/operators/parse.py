@@ -36,11 +36,12 @@ FIELD_COLUMNS = ["host", "timestamp_raw", "request_raw", "status_raw", "bytes_ra
 
 def extract_log_fields(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """The five captures of the master pattern ('' where the line does not match)."""
-    with_fields = lines.withColumn("_fields", clf.log_fields(raw))
-    return with_fields.withColumns({
-        name: F.coalesce(F.col("_fields")[i], F.lit(""))
+    with_parts = lines.withColumn("_parts", clf.log_parts(raw))
+    matched = clf.is_match("_parts")
+    return with_parts.withColumns({
+        name: F.when(matched, F.col("_parts")[i]).otherwise(F.lit(""))
         for i, name in enumerate(FIELD_COLUMNS)
-    }).drop("_fields")
+    }).drop("_parts")
 
 
 def derive_fields(fields: DataFrame) -> DataFrame:

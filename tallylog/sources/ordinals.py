@@ -7,8 +7,9 @@ no global sort and without moving the lines:
 2. one aggregate gives, per split (file_order, block_start), its first row_id
    and its line count: one small row per split;
 3. a running sum over the splits, in input order, gives the lines before each
-   split; that table is checkpointed to the shared folder, counted, and
-   broadcast when the count is under ``MAX_BROADCAST_SPLITS``;
+   split; that table is written as parquet to the shared folder (one job, and
+   the lineage is cut there), counted from the parquet footers, and broadcast
+   when the count is under ``MAX_BROADCAST_SPLITS``;
 4. ordinal = lines_before + (row_id - first_row_id) + 1.
 
 The scan runs twice (steps 2 and 4), which is what any exact numbering of a
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylog.functions import clf
-from tallylog.session import shared_dir
+from tallylog.session import staging_path
 
 # Above this many splits the split table is joined without a broadcast hint
 # (one row is three numbers, so 5M rows stay near 100 MB).
@@ -44,8 +45,10 @@ def split_offsets(lines: DataFrame) -> DataFrame:
 
 def assign_ordinal(lines: DataFrame) -> DataFrame:
     """B1: add ``ordinal`` (1-based over all lines of all inputs, malformed ones included)."""
-    shared_dir(lines.sparkSession)  # makes sure checkpoint() has its folder
-    offsets = split_offsets(lines).checkpoint(eager=True)
+    spark = lines.sparkSession
+    path = staging_path(spark, "split-offsets")
+    split_offsets(lines).write.mode("errorifexists").parquet(path)
+    offsets = spark.read.parquet(path)
     n_splits = offsets.count()
     side = F.broadcast(offsets) if n_splits <= MAX_BROADCAST_SPLITS else offsets
     numbered = lines.join(side, SPLIT_KEYS)
