@@ -1 +1,5 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The reference has no stream, watermark, window or state; its "batches" are a
+numbering of lines within one bounded run (see ``tallylog.sources.ordinals``).
+"""
