@@ -56,10 +56,12 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def prepare_lines(spark: SparkSession, input_path, batch_size: int | None, name_prefix: str) -> DataFrame:
-    """Read and tag the lines; ordinals only when line batches need them."""
+def prepare_lines(spark: SparkSession, input_path, batch_size: int | None, name_prefix: str,
+                  with_ordinals: bool = False) -> DataFrame:
+    """Read and tag the lines; ordinals (a second scan) only when line batches or a
+    kept record need them."""
     lines, _ = read_log_lines(spark, input_path, name_prefix)
-    if batch_size is not None:
+    if batch_size is not None or with_ordinals:
         return assign_ordinal(lines)
     return lines.withColumn("ordinal", F.lit(None).cast("bigint"))
 
@@ -89,7 +91,7 @@ def run_report_job(
     started_at = _now()
     t0 = time.monotonic()
 
-    lines = prepare_lines(spark, input_path, batch_size, name_prefix)
+    lines = prepare_lines(spark, input_path, batch_size, name_prefix, with_ordinals=keep_staging)
     flagged = flag_lines(lines, batch_size).select(*columns)
     keep_path = f"{store_root.rstrip('/')}/staging/{run_id}/flagged" if keep_staging else None
     staged = store.materialize_parsed(flagged, keep_path)

@@ -35,11 +35,12 @@ MAX_BROADCAST_FILES = 1_000_000
 
 @dataclass(frozen=True)
 class InputFile:
-    path: str          # as Spark reports it (scheme included)
+    path: str          # as the file system lists it (scheme included); used to open it
     entry: str         # name of the directory entry it belongs to
     entry_index: int   # 1-based position of the entry (the file batch)
     file_order: int    # 1-based position of this file over all inputs
     length: int
+    scan_path: str = ""  # the same file as a scan's ``_metadata.file_path`` names it (URI-encoded)
 
 
 def _strip_scheme(p: str) -> str:
@@ -77,7 +78,8 @@ def list_inputs(spark: SparkSession, inputs: str | list[str], name_prefix: str =
     try:
         listing = (
             spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(base).select("path", "length").collect()
+            .load(base).select("path", "length", F.col("_metadata.file_path").alias("scan_path"))
+            .collect()
         )
     except AnalysisException as exc:
         raise FileNotFoundError(f"input does not exist: {base}") from exc
@@ -88,17 +90,18 @@ def list_inputs(spark: SparkSession, inputs: str | list[str], name_prefix: str =
         rel = plain[len(base_plain):].lstrip("/") if plain.startswith(base_plain) else ""
         if rel == "":
             # the input is a single file: taken whatever its name
-            grouped.setdefault(plain.rsplit("/", 1)[-1], []).append((row["path"], "", row["length"]))
+            grouped.setdefault(plain.rsplit("/", 1)[-1], []).append(
+                (row["path"], "", row["length"], row["scan_path"]))
             continue
         entry = rel.split("/", 1)[0]
         if entry.startswith(name_prefix):
-            grouped.setdefault(entry, []).append((row["path"], rel, row["length"]))
+            grouped.setdefault(entry, []).append((row["path"], rel, row["length"], row["scan_path"]))
     if not grouped:
         raise FileNotFoundError(f"no {name_prefix}* entries in {base}")
     files = []
     for entry in sorted(grouped, key=entry_sort_key):
-        for path, _, length in sorted(grouped[entry], key=lambda t: natural_key(t[1])):
-            files.append(InputFile(path, entry, 0, 0, length))
+        for path, _, length, scan_path in sorted(grouped[entry], key=lambda t: natural_key(t[1])):
+            files.append(InputFile(path, entry, 0, 0, length, scan_path))
     return _renumber(files)
 
 
@@ -116,12 +119,13 @@ def _renumber(files: list[InputFile]) -> list[InputFile]:
         if key != last:
             entry_ix += 1
             last = key
-        out.append(InputFile(f.path, f.entry, entry_ix, i, f.length))
+        out.append(InputFile(f.path, f.entry, entry_ix, i, f.length, f.scan_path))
     return out
 
 
 def files_frame(spark: SparkSession, files: list[InputFile]) -> DataFrame:
-    """The file table: (file_path, file_name, file_index, file_order). One row per file."""
+    """The file table: (file_path, file_entry, file_index, file_order), one row per
+    file. ``file_path`` is the scan's own (URI-encoded) form, so it joins exactly."""
     schema = T.StructType([
         T.StructField("file_path", T.StringType(), False),
         T.StructField("file_entry", T.StringType(), False),
@@ -129,7 +133,7 @@ def files_frame(spark: SparkSession, files: list[InputFile]) -> DataFrame:
         T.StructField("file_order", T.IntegerType(), False),
     ])
     return spark.createDataFrame(
-        [(f.path, f.entry or f.path.rsplit("/", 1)[-1], f.entry_index, f.file_order) for f in files], schema)
+        [(f.scan_path or f.path, f.entry, f.entry_index, f.file_order) for f in files], schema)
 
 
 def decode_latin1(value: F.Column) -> F.Column:

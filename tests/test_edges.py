@@ -201,3 +201,26 @@ def test_store_key_checks_find_violations(spark, new_dir):
     S.write_results({"q1": q1}, store_root, "orphan")
     got = {(r["table_name"], r["violation"]) for r in S.check_result_keys(spark, store_root).collect()}
     assert got == {("q1_daily_traffic", "duplicate_key"), ("q1_daily_traffic", "missing_run")}
+
+
+def test_special_characters_in_paths_keep_every_line(spark, new_dir):
+    # the scan names files URI-encoded; the file table must join on that same form
+    folder = new_dir("sp") + "/my logs%20x"
+    import os
+    os.makedirs(folder)
+    write_file(folder, "NASA_access_log_Jul95 copy", ["a", "b"])
+    write_file(folder, "NASA_access_log_Aug95#1", ["c"])
+    lines, files = T.read_log_lines(spark, folder)
+    assert [f.entry for f in files] == ["NASA_access_log_Jul95 copy", "NASA_access_log_Aug95#1"]
+    got = sorted(tuple(r) for r in O.assign_ordinal(lines).select("ordinal", "raw").collect())
+    assert got == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_keep_staging_writes_numbered_records(spark, new_dir):
+    folder = new_dir("keep")
+    write_file(folder, "NASA_access_log_Jul95", [_line(i) for i in range(5)] + ["junk"])
+    store_root = new_dir("store")
+    run_id = run_report_job(spark, folder, store_root, keep_staging=True)
+    kept = spark.read.parquet(f"{store_root}/staging/{run_id}/flagged")
+    assert sorted(r["ordinal"] for r in kept.collect()) == [1, 2, 3, 4, 5, 6]
+    assert kept.filter("is_valid").count() == 5
