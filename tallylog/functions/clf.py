@@ -24,8 +24,10 @@ GROUP_BYTES = 5
 # "\z" in Java; the pattern is otherwise the same.
 SPARK_LOG_PATTERN = LOG_PATTERN[:-1] + r"\z"
 
-# The date layout inside the brackets and the error range.
+# The date layout inside the brackets, the month names it takes
+# (exact case), and the error range.
 DATE_PATTERN = "dd/MMM/yyyy"  # first 11 characters of e.g. 01/Jul/1995:00:00:01 -0400
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 HOUR_START, HOUR_LENGTH = 13, 2
 ERROR_STATUS_LOW, ERROR_STATUS_HIGH = 400, 599
 NO_VALUE = "-"
@@ -68,8 +70,15 @@ def is_match(parts: Column | str) -> Column:
 
 
 def log_date(timestamp_raw: Column | str) -> Column:
-    """Calendar date in the line's own offset (no time-zone shift); NULL if unreadable."""
-    return F.try_to_date(F.substring(_col(timestamp_raw), 1, 11), DATE_PATTERN)
+    """Calendar date in the line's own offset (no time-zone shift); NULL if unreadable.
+
+    The month must be one of ``MONTHS`` as written (Spark's parser alone would
+    also take "jul")."""
+    ts = _col(timestamp_raw)
+    return F.when(
+        F.substring(ts, 4, 3).isin(MONTHS),
+        F.try_to_date(F.substring(ts, 1, 11), DATE_PATTERN),
+    )
 
 
 def log_hour(timestamp_raw: Column | str) -> Column:

@@ -23,10 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_PREFIX = "NASA_access_log_"
+from tallylog.functions.clf import MONTHS
 
-# English month abbreviations, as in the log's date field.
-MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+DEFAULT_PREFIX = "NASA_access_log_"
 _STAMP = re.compile(r"(" + "|".join(MONTHS) + r")(\d{2}|\d{4})(?!\d)")
 
 # Above this many files the file table is joined without a broadcast hint.
