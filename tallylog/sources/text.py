@@ -31,6 +31,9 @@ _STAMP = re.compile(r"(" + "|".join(MONTHS) + r")(\d{2}|\d{4})(?!\d)")
 # Above this many files the file table is joined without a broadcast hint.
 MAX_BROADCAST_FILES = 1_000_000
 
+# Codecs whose files Hadoop cannot split (one task reads the file).
+UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
+
 
 @dataclass(frozen=True)
 class InputFile:
@@ -160,6 +163,34 @@ def scan_lines(spark: SparkSession, files: list[InputFile]) -> DataFrame:
     )
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def conf_bytes(value: str) -> int:
+    """A Spark size setting ("134217728b", "64k", "128m") in bytes."""
+    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", value)
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a size: {value!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def spread_unsplittable(spark: SparkSession, lines: DataFrame, files: list[InputFile]) -> DataFrame:
+    """Spread the lines of oversized unsplittable files over the cluster.
+
+    A gzip file is read by one task whatever its size; if it is larger than a
+    split, that task would also parse all its lines. The lines are dealt out
+    round-robin right after the scan (their row ids are already taken), so
+    decompression stays one stream but parsing runs everywhere. Inputs without
+    such a file are left as they are and cost no shuffle.
+    """
+    split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    big = [f for f in files if f.path.lower().endswith(UNSPLITTABLE_SUFFIXES) and f.length > split_bytes]
+    if not big:
+        return lines
+    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def tag_source_file(lines: DataFrame, file_table: DataFrame, n_files: int) -> DataFrame:
     """Attach file_entry, file_index (the input's position) and file_order.
 
@@ -175,7 +206,8 @@ def read_log_lines(
 ) -> tuple[DataFrame, list[InputFile]]:
     """S1-S5 together: tagged raw lines and the ordered file list."""
     files = list_inputs(spark, inputs, name_prefix)
-    lines = tag_source_file(scan_lines(spark, files), files_frame(spark, files), len(files))
+    scanned = spread_unsplittable(spark, scan_lines(spark, files), files)
+    lines = tag_source_file(scanned, files_frame(spark, files), len(files))
     return lines, files
 
 

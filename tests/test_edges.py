@@ -224,3 +224,26 @@ def test_keep_staging_writes_numbered_records(spark, new_dir):
     kept = spark.read.parquet(f"{store_root}/staging/{run_id}/flagged")
     assert sorted(r["ordinal"] for r in kept.collect()) == [1, 2, 3, 4, 5, 6]
     assert kept.filter("is_valid").count() == 5
+
+
+def test_conf_bytes():
+    assert T.conf_bytes("134217728b") == 134217728
+    assert T.conf_bytes("64k") == 65536 and T.conf_bytes("128m") == 128 << 20 and T.conf_bytes("7") == 7
+
+
+def test_large_gzip_is_spread_and_numbered_the_same(spark, new_dir):
+    body = [_line(i, status="404" if i % 5 == 0 else "200") for i in range(3000)]
+    plain, gz = new_dir("plain"), new_dir("gz")
+    write_file(plain, "NASA_access_log_Jul95", body)
+    write_file(gz, "NASA_access_log_Jul95.gz", body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        g_lines, _ = T.read_log_lines(spark, gz)
+        p_lines, _ = T.read_log_lines(spark, plain)
+        assert g_lines.rdd.getNumPartitions() > 1  # one gzip split, parsed on many tasks
+        got = [sorted(tuple(r) for r in O.assign_ordinal(x).select("ordinal", "raw").collect())
+               for x in (g_lines, p_lines)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1] == [(i + 1, body[i]) for i in range(3000)]
