@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallylog.functions.clf import MONTHS
 from tallylog.session import staging_path
 
 # Fixed values of the derivation rule (FIXTURES.md, fixture D). Every modulus
@@ -31,7 +32,6 @@ NOT_MODIFIED_MOD = 11
 NO_BYTES_MOD = 7
 HOST_SUFFIX = ".example.org"
 OFFSET = "-0400"
-TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
 DAY_PREFIX = "day="
 
 
@@ -39,6 +39,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def _ts_text() -> Column:
+    """``ts`` as yyyy-MM-dd HH:mm:ss[.f]: the TIMESTAMP_NTZ value's own text, so no
+    session time zone (and no daylight-saving gap) is involved."""
+    return F.col("ts").cast("string")
+
+
+def _clf_time() -> Column:
+    """dd/MMM/yyyy:HH:mm:ss of ``ts`` (English month abbreviations)."""
+    t = _ts_text()
+    month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.substring(t, 6, 2).cast("int"))
+    return F.concat(F.substring(t, 9, 2), F.lit("/"), month, F.lit("/"), F.substring(t, 1, 4),
+                    F.lit(":"), F.substring(t, 12, 8))
+
+
 def _line(e: Column) -> Column:
     event_id = F.col("event_id")
     request = (
@@ -64,7 +78,7 @@ def _line(e: Column) -> Column:
     )
     clf = F.concat(
         F.lit("host"), F.col("user_id").cast("string"), F.lit(HOST_SUFFIX),
-        F.lit(" - - ["), F.date_format(F.col("ts"), TIME_FORMAT), F.lit(f" {OFFSET}] \""),
+        F.lit(" - - ["), _clf_time(), F.lit(f" {OFFSET}] \""),
         request, F.lit("\" "), status, F.lit(" "), nbytes,
     )
     return (
@@ -110,7 +124,7 @@ def write_event_log(
     e = events(spark, sf_dir)
     lines = e.select(
         (F.col("event_id") + 1).alias("ordinal"),
-        F.date_format(F.col("ts"), "dd").alias("day"),
+        F.substring(_ts_text(), 9, 2).alias("day"),
         _line(e).alias("raw"),
     )
     n_days = 31
