@@ -38,7 +38,7 @@ _written: dict[tuple, str] = {}
 
 def _log_files(spark: SparkSession, sf_dir: str, compression: str | None = None) -> str:
     """The derived log as text files (written once per session, data and codec)."""
-    key = (spark.sparkContext.applicationId, sf_dir, compression)
+    key = (id(spark), sf_dir, compression)
     if key not in _written:
         _written[key] = write_event_log(spark, sf_dir, compression=compression)
     return _written[key]

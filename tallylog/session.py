@@ -36,17 +36,24 @@ def shared_dir(spark: SparkSession) -> str:
     it, so that ``DataFrame.checkpoint()`` works as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not configured and context is not None:
+        configured = context.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="tallylog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-        spark.sparkContext.setCheckpointDir(configured)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        return None
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark)}/tallylog/{name}-{uuid.uuid4().hex}"

@@ -92,11 +92,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin a source that arrives in fewer partitions than the cluster has
     cores (one small parquet file is one task); a source that is already wide,
     as any large one is, is left alone and costs no shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # sessions without an RDD view (Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if narrow else df
 
 
 def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

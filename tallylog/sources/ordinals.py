@@ -87,7 +87,7 @@ def write_line_batches(lines: DataFrame, batch_size: int, root: str, n_files: in
     original line order. A batch may take lines from two input files.
     """
     with_batch = lines.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
-    n = n_files or max(1, lines.rdd.getNumPartitions())
+    n = n_files or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (with_batch.repartitionByRange(n, "ordinal")
      .sortWithinPartitions("batch_id", "ordinal")
      .select("batch_id", "raw")
