@@ -1 +1 @@
-"""functions."""
+"""Column expressions for one log line; built-in Spark functions only."""

@@ -1 +1 @@
-"""operators."""
+"""DataFrame -> DataFrame operators: parse, batches, aggregates, joins, ranking, set ops."""

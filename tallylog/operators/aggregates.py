@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallylog.functions import clf
 from tallylog.operators.parse import filter_errors, filter_has_path
+from tallylog.operators.ranking import TOP_K, rank_by_position, top_k_paths
 
 
 def _count() -> F.Column:
@@ -57,9 +58,8 @@ def path_metrics(parsed: DataFrame, with_hosts: bool = True) -> DataFrame:
     return filter_has_path(parsed).groupBy("resource_path").agg(*aggs)
 
 
-def q2_top_resources(parsed: DataFrame, k: int = 20) -> DataFrame:
+def q2_top_resources(parsed: DataFrame, k: int = TOP_K) -> DataFrame:
     """Top k paths by request_count desc, path asc, with rank 1..k."""
-    from tallylog.operators.ranking import rank_by_position, top_k_paths
     return rank_by_position(top_k_paths(path_metrics(parsed), k)).select(
         "rank", "resource_path", "request_count", "total_bytes", "distinct_host_count")
 

@@ -1 +1 @@
-"""plans."""
+"""Reports composed from the operators, the job surface, and the registry of queries."""
