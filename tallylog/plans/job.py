@@ -20,7 +20,7 @@ from tallylog.operators import batches as B
 from tallylog.operators.parse import flag_lines, project_parsed
 from tallylog.plans.reports import chosen, direct_reports
 from tallylog.sources import store
-from tallylog.sources.ordinals import assign_ordinal
+from tallylog.sources.ordinals import number_lines
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
 
 # Columns each report reads; the statistics read is_valid and batch_id.
@@ -57,13 +57,17 @@ def _now() -> dt.datetime:
 
 
 def prepare_lines(spark: SparkSession, input_path, batch_size: int | None, name_prefix: str,
-                  with_ordinals: bool = False) -> DataFrame:
+                  with_ordinals: bool = False) -> tuple[DataFrame, int | None]:
     """Read and tag the lines; ordinals (a second scan) only when line batches or a
-    kept record need them."""
+    kept record need them. Also returns the line count of the first scan, if any."""
     lines, _ = read_log_lines(spark, input_path, name_prefix)
     if batch_size is not None or with_ordinals:
-        return assign_ordinal(lines)
-    return lines.withColumn("ordinal", F.lit(None).cast("bigint"))
+        return number_lines(lines)
+    return lines.withColumn("ordinal", F.lit(None).cast("bigint")), None
+
+
+class IncompleteRunError(RuntimeError):
+    """The parsed and malformed lines do not add up to the lines first counted."""
 
 
 def run_report_job(
@@ -91,13 +95,16 @@ def run_report_job(
     started_at = _now()
     t0 = time.monotonic()
 
-    lines = prepare_lines(spark, input_path, batch_size, name_prefix, with_ordinals=keep_staging)
+    lines, counted = prepare_lines(spark, input_path, batch_size, name_prefix, with_ordinals=keep_staging)
     flagged = flag_lines(lines, batch_size).select(*columns)
     keep_path = f"{store_root.rstrip('/')}/staging/{run_id}/flagged" if keep_staging else None
     staged = store.materialize_parsed(flagged, keep_path)
     try:
         stats = B.run_stats(staged).first()
         B.guard_empty_run(stats)
+        seen = stats["total_records"] + stats["malformed_count"]
+        if counted is not None and seen != counted:
+            raise IncompleteRunError(f"{seen} lines parsed or counted malformed, {counted} read")
         parsed = project_parsed(staged.filter(F.col("is_valid")))
         write_reports_concurrently(direct_reports(parsed, query), store_root, run_id)
         runtime_ms = int((time.monotonic() - t0) * 1000)

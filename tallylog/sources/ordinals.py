@@ -15,6 +15,13 @@ no global sort and without moving the lines:
 The scan runs twice (steps 2 and 4), which is what any exact numbering of a
 distributed text needs; the lines themselves are never shuffled. The running
 sum sees one row per split (about data size / 128 MB rows), not one per line.
+
+Both scans must cut and pack the files into the same partitions. Spark sizes
+splits from ``spark.sql.files.minPartitionNum``, or when that is unset from the
+cores alive at planning time, which changes when executors are lost or added
+between the two scans. ``pin_split_planning`` therefore fixes that setting
+(only when the session leaves it unset) before the first scan. A planned scan
+keeps its partitions, so retried tasks read the same splits again.
 """
 
 from __future__ import annotations
@@ -38,23 +45,43 @@ def split_offsets(lines: DataFrame) -> DataFrame:
         F.min("row_id").alias("first_row_id"), F.count(F.lit(1)).alias("n_lines"))
     before = Window.orderBy(*SPLIT_KEYS).rowsBetween(Window.unboundedPreceding, -1)
     return splits.select(
-        *SPLIT_KEYS, "first_row_id",
+        *SPLIT_KEYS, "first_row_id", "n_lines",
         F.coalesce(F.sum("n_lines").over(before), F.lit(0)).cast("bigint").alias("lines_before"),
     )
 
 
-def assign_ordinal(lines: DataFrame) -> DataFrame:
-    """B1: add ``ordinal`` (1-based over all lines of all inputs, malformed ones included)."""
+def pin_split_planning(spark) -> None:
+    """Make file split planning independent of the number of live executors."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None):
+        return
+    leaf = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    n = int(leaf) if leaf else spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.minPartitionNum", str(n))
+
+
+def number_lines(lines: DataFrame) -> tuple[DataFrame, int]:
+    """B1 with the total: the numbered lines and the number of lines the first scan
+    counted, which a caller can hold the second scan's result against.
+
+    ``lines`` must come straight from ``read_log_lines`` (not yet planned)."""
     spark = lines.sparkSession
+    pin_split_planning(spark)
     path = staging_path(spark, "split-offsets")
     split_offsets(lines).write.mode("errorifexists").parquet(path)
     offsets = spark.read.parquet(path)
-    n_splits = offsets.count()
-    side = F.broadcast(offsets) if n_splits <= MAX_BROADCAST_SPLITS else offsets
-    numbered = lines.join(side, SPLIT_KEYS)
-    return numbered.withColumn(
+    summary = offsets.agg(F.count(F.lit(1)).alias("splits"), F.sum("n_lines").alias("lines")).first()
+    n_splits, n_lines = summary["splits"], summary["lines"] or 0
+    side = offsets.drop("n_lines")
+    side = F.broadcast(side) if n_splits <= MAX_BROADCAST_SPLITS else side
+    numbered = lines.join(side, SPLIT_KEYS).withColumn(
         "ordinal", F.col("lines_before") + (F.col("row_id") - F.col("first_row_id")) + F.lit(1)
     ).drop("first_row_id", "lines_before")
+    return numbered, int(n_lines)
+
+
+def assign_ordinal(lines: DataFrame) -> DataFrame:
+    """B1: add ``ordinal`` (1-based over all lines of all inputs, malformed ones included)."""
+    return number_lines(lines)[0]
 
 
 def batch_by_file(lines: DataFrame) -> DataFrame:

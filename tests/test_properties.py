@@ -69,3 +69,24 @@ def test_totals_add_up(spark):
     summary = B.batch_summary(flagged).agg(F.sum("record_count"), F.sum("malformed_count")).first()
     assert tuple(summary) == (stats["total_records"], stats["malformed_count"])
     assert stats["num_batches"] == 10
+
+
+@pytest.mark.parametrize("pinned", [True, False])
+def test_ordinals_survive_a_change_in_live_cores(spark, log_root, expected_lines, pinned, monkeypatch):
+    """Executors lost (or added) between the two scans change the default parallelism
+    that Spark sizes file splits from; the numbering must not depend on it."""
+    if not pinned:
+        monkeypatch.setattr(O, "pin_split_planning", lambda s: None)
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    try:
+        lines, _ = T.read_log_lines(spark, log_root, DAY_PREFIX)
+        numbered = O.assign_ordinal(lines)                          # first scan: 8 cores
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")  # second scan: 3 cores
+        got = sorted(tuple(r) for r in numbered.select("ordinal", "raw").collect())
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    if pinned:
+        assert got == expected_lines
+    else:  # shows the hazard the pin removes
+        assert got != expected_lines
