@@ -106,17 +106,27 @@ def batch_from_file_name(file_path: Column | str = "file_path", file_index: Colu
     return F.coalesce(grab(BATCH_NAME_PATTERN), grab(BATCH_FOLDER_PATTERN), index.cast("int"), F.lit(1))
 
 
-def write_line_batches(lines: DataFrame, batch_size: int, root: str, n_files: int | None = None) -> str:
+# Lines per written chunk of a batch: bounds what one task writes, whatever N is.
+CHUNK_LINES = 1_000_000
+
+
+def write_line_batches(lines: DataFrame, batch_size: int, root: str) -> str:
     """Write the raw lines as numbered batches of exactly N lines.
 
-    Layout ``root/batch_id=K/part-*.txt``; part files follow ordinal order, so
-    reading the batches back in batch order and part-name order gives the
-    original line order. A batch may take lines from two input files.
+    Layout ``root/batch_id=K/chunk=C/part-*.txt``: a batch is one folder, cut into
+    chunks of at most ``CHUNK_LINES`` lines, each chunk written by one task in
+    ordinal order. Reading the batches back in natural name order (batch, then
+    chunk) gives the original line order. A batch may take lines from two input
+    files. Ordinals are dense, so the layout is computed, not sampled: no
+    range-partitioning pass over the input.
     """
-    with_batch = lines.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
-    n = n_files or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (with_batch.repartitionByRange(n, "ordinal")
-     .sortWithinPartitions("batch_id", "ordinal")
-     .select("batch_id", "raw")
-     .write.mode("errorifexists").partitionBy("batch_id").text(root))
+    chunk = min(int(batch_size), CHUNK_LINES)
+    placed = lines.withColumns({
+        "batch_id": clf.batch_by_lines("ordinal", batch_size),
+        "chunk": clf.int_div(F.col("ordinal") - F.lit(1), F.lit(chunk)),
+    })
+    (placed.repartition("batch_id", "chunk")
+     .sortWithinPartitions("batch_id", "chunk", "ordinal")
+     .select("batch_id", "chunk", "raw")
+     .write.mode("errorifexists").partitionBy("batch_id", "chunk").text(root))
     return root

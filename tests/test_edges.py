@@ -153,7 +153,7 @@ def test_d14_numeric_batch_order(spark, new_dir):
     assert sorted(["batch_id=10", "batch_id=2", "batch_id=1"], key=T.natural_key) == \
         ["batch_id=1", "batch_id=2", "batch_id=10"]
     lines = lines_df(spark, [f"l{i}" for i in range(1, 13)])
-    root = O.write_line_batches(lines, 1, new_dir("batches") + "/out", n_files=3)
+    root = O.write_line_batches(lines, 1, new_dir("batches") + "/out")
     again, files = T.read_log_lines(spark, root, "batch_id=")
     assert [f.entry for f in files][:3] == ["batch_id=1", "batch_id=2", "batch_id=3"]
     got = O.assign_ordinal(again).select("ordinal", O.batch_from_file_name().alias("b"), "raw")
@@ -247,3 +247,13 @@ def test_large_gzip_is_spread_and_numbered_the_same(spark, new_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got[0] == got[1] == [(i + 1, body[i]) for i in range(3000)]
+
+
+def test_line_batches_chunked_when_batch_is_large(spark, new_dir, monkeypatch):
+    monkeypatch.setattr(O, "CHUNK_LINES", 4)
+    lines = lines_df(spark, [f"l{i}" for i in range(1, 24)])
+    root = O.write_line_batches(lines, 10, new_dir("chunks") + "/out")
+    again, files = T.read_log_lines(spark, root, "batch_id=")
+    assert [f.entry for f in files][:2] == ["batch_id=1", "batch_id=1"]  # chunks of batch 1
+    got = O.assign_ordinal(again).select("ordinal", O.batch_from_file_name().alias("b"), "raw")
+    assert sorted(tuple(r) for r in got.collect()) == [(i, (i - 1) // 10 + 1, f"l{i}") for i in range(1, 24)]
