@@ -6,15 +6,16 @@ no global sort and without moving the lines:
 1. each line carries ``row_id`` from the scan (consecutive inside one split);
 2. one aggregate gives, per split (file_order, block_start), its first row_id
    and its line count: one small row per split;
-3. a running sum over the splits, in input order, gives the lines before each
-   split; that table is written as parquet to the shared folder (one job, and
-   the lineage is cut there), counted from the parquet footers, and broadcast
-   when the count is under ``MAX_BROADCAST_SPLITS``;
+3. running sums give the lines before each split: within a file over its
+   splits (a window partitioned by file, so spread over tasks), and across
+   files over the per-file totals (one row per input file, the same list the
+   driver already holds from the listing). That table is written as parquet
+   to the shared folder (one job, and the lineage is cut there), counted, and
+   broadcast when the count is under ``MAX_BROADCAST_SPLITS``;
 4. ordinal = lines_before + (row_id - first_row_id) + 1.
 
 The scan runs twice (steps 2 and 4), which is what any exact numbering of a
-distributed text needs; the lines themselves are never shuffled. The running
-sum sees one row per split (about data size / 128 MB rows), not one per line.
+distributed text needs; the lines themselves are never shuffled.
 
 Both scans must cut and pack the files into the same partitions. Spark sizes
 splits from ``spark.sql.files.minPartitionNum``, or when that is unset from the
@@ -40,13 +41,17 @@ SPLIT_KEYS = ["file_order", "block_start"]
 
 
 def split_offsets(lines: DataFrame) -> DataFrame:
-    """Per split: first row_id and the number of lines before it over all inputs."""
+    """Per split: first row_id, line count, and the number of lines before it."""
     splits = lines.groupBy(*SPLIT_KEYS).agg(
         F.min("row_id").alias("first_row_id"), F.count(F.lit(1)).alias("n_lines"))
-    before = Window.orderBy(*SPLIT_KEYS).rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select(
+    in_file = Window.partitionBy("file_order").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before_in_file", F.coalesce(F.sum("n_lines").over(in_file), F.lit(0)))
+    across = Window.orderBy("file_order").rowsBetween(Window.unboundedPreceding, -1)
+    files = (splits.groupBy("file_order").agg(F.sum("n_lines").alias("file_lines"))
+             .withColumn("before_file", F.coalesce(F.sum("file_lines").over(across), F.lit(0))))
+    return splits.join(files.select("file_order", "before_file"), "file_order").select(
         *SPLIT_KEYS, "first_row_id", "n_lines",
-        F.coalesce(F.sum("n_lines").over(before), F.lit(0)).cast("bigint").alias("lines_before"),
+        (F.col("before_file") + F.col("before_in_file")).cast("bigint").alias("lines_before"),
     )
 
 
