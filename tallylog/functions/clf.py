@@ -73,10 +73,11 @@ def log_date(timestamp_raw: Column | str) -> Column:
     """Calendar date in the line's own offset (no time-zone shift); NULL if unreadable.
 
     The month must be one of ``MONTHS`` as written (Spark's parser alone would
-    also take "jul")."""
+    also take "jul"), and the year 0001-9999 (Spark would also read year 0000,
+    which no DATE column downstream can hold)."""
     ts = _col(timestamp_raw)
     return F.when(
-        F.substring(ts, 4, 3).isin(MONTHS),
+        F.substring(ts, 4, 3).isin(MONTHS) & (F.substring(ts, 8, 4) != F.lit("0000")),
         F.try_to_date(F.substring(ts, 1, 11), DATE_PATTERN),
     )
 

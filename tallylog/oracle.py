@@ -55,6 +55,7 @@ _DERIVED = """derived AS (
   SELECT *,
     CASE WHEN substr(timestamp_raw, 4, 3) IN ('Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug',
                                               'Sep', 'Oct', 'Nov', 'Dec')
+              AND substr(timestamp_raw, 8, 4) <> '0000'
          THEN CAST(try_strptime(substr(timestamp_raw, 1, 11), '%d/%b/%Y') AS DATE) END AS log_date,
     TRY_CAST(substr(timestamp_raw, 13, 2) AS INTEGER) AS log_hour,
     list_filter(regexp_split_to_array(request_raw, '\\s+'), lambda t: t <> '') AS tokens

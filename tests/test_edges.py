@@ -66,7 +66,8 @@ def test_d3_whitespace_split(spark):
 
 
 @pytest.mark.parametrize("stamp", ["xx", "01/Xxx/1995:00:00:00 -0400", "31/Feb/1995:00:00:00 -0400",
-                                   "01/Jul/1995:25:00:00 -0400", "01/Jul/1995:ab:00:00 -0400", "01/jul/1995:00:00:00 -0400"])
+                                   "01/Jul/1995:25:00:00 -0400", "01/Jul/1995:ab:00:00 -0400", "01/jul/1995:00:00:00 -0400",
+                                   "01/Jan/0000:00:00:00 -0400"])
 def test_d4_unreadable_time_is_malformed(spark, stamp):
     line = f'h - - [{stamp}] "GET /a HTTP/1.0" 200 1'
     f = _flag(spark, [line, _line(1)])
