@@ -30,8 +30,9 @@ def expected(line: str):
         date = dt.date(int(d.group(3)), MONTHS.index(d.group(2)) + 1, int(d.group(1)))
     except ValueError:
         return None
-    hour_text = ts[12:14]
-    if not re.fullmatch(r"\d\d", hour_text, re.ASCII) or not 0 <= int(hour_text) <= 23:
+    # the hour is the two characters read as an integer (spaces around, a sign allowed)
+    hour_text = ts[12:14].strip(" ")
+    if not re.fullmatch(r"[+-]?\d+", hour_text, re.ASCII) or not 0 <= int(hour_text) <= 23:
         return None
     tokens = re.findall(r"\S+", request, re.ASCII) + [None, None, None]
     size = 0 if nbytes == "-" else int(nbytes)
@@ -51,7 +52,7 @@ request = st.builds(
 day = st.sampled_from(["01", "15", "31", "30", "29", "00", "1 ", "ab"])
 month = st.sampled_from(["Jan", "Feb", "Jul", "Aug", "Dec", "jul", "Xxx"])
 year = st.sampled_from(["1995", "2024", "2000", "1900", "0000", "95"])
-hour = st.sampled_from(["00", "09", "23", "24", "99", "ab", "7", "-1"])
+hour = st.sampled_from(["00", "09", "23", "24", "99", "ab", "7", "-1", " 7", "7 ", "+7", "-0"])
 stamp = st.builds(lambda d, m, y, h: f"{d}/{m}/{y}:{h}:00:00 -0400", day, month, year, hour)
 status = st.sampled_from(["200", "304", "404", "500", "599", "-", "20", "2000", "abc"])
 nbytes = st.sampled_from(["0", "123", "-", "9" * 19, "9" * 20, "12a", ""])
