@@ -53,7 +53,9 @@ def write_reports_concurrently(results: dict[str, DataFrame], store_root: str, r
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    """The current instant, zone-aware, so the stored TIMESTAMP does not depend on the
+    driver host's local zone."""
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def prepare_lines(spark: SparkSession, input_path, batch_size: int | None, name_prefix: str,
