@@ -64,6 +64,29 @@ def q2_top_resources(parsed: DataFrame, k: int = TOP_K) -> DataFrame:
         "rank", "resource_path", "request_count", "total_bytes", "distinct_host_count")
 
 
+def q2_top_resources_limit_first(parsed: DataFrame, k: int = TOP_K) -> DataFrame:
+    """Q2 with the limit before the distinct count, for data that is cached or staged.
+
+    The ranking needs only request counts, so the top k paths come from plain
+    per-path totals (one small action: at most k rows reach the driver, the
+    report itself). Exact distinct hosts are then counted for those k paths
+    only, instead of shuffling every distinct (path, host) pair of the log.
+    """
+    top_rows = top_k_paths(path_metrics(parsed, with_hosts=False), k).collect()
+    paths = [r["resource_path"] for r in top_rows]
+    hosts = (
+        filter_has_path(parsed).filter(F.col("resource_path").isin(paths))
+        .groupBy("resource_path").agg(F.count_distinct("host").alias("distinct_host_count"))
+    )
+    top = parsed.sparkSession.createDataFrame(
+        [(r["resource_path"], r["request_count"], r["total_bytes"]) for r in top_rows],
+        "resource_path string, request_count bigint, total_bytes bigint")
+    ranked = rank_by_position(top.join(hosts, "resource_path", "left"))
+    return ranked.select(
+        "rank", "resource_path", "request_count", "total_bytes",
+        F.coalesce(F.col("distinct_host_count"), F.lit(0)).cast("bigint").alias("distinct_host_count"))
+
+
 def hourly_counts(parsed: DataFrame) -> DataFrame:
     """Per (log_date, log_hour): errors, all requests and distinct error hosts, one pass."""
     err = clf.is_error("status_code")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallylog.operators import batches as B
 from tallylog.operators.parse import flag_lines, project_parsed
-from tallylog.plans.reports import chosen, direct_reports
+from tallylog.plans.reports import cached_reports, chosen
 from tallylog.sources import store
 from tallylog.sources.ordinals import number_lines
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
@@ -108,7 +108,7 @@ def run_report_job(
         if counted is not None and seen != counted:
             raise IncompleteRunError(f"{seen} lines parsed or counted malformed, {counted} read")
         parsed = project_parsed(staged.filter(F.col("is_valid")))
-        write_reports_concurrently(direct_reports(parsed, query), store_root, run_id)
+        write_reports_concurrently(cached_reports(parsed, query), store_root, run_id)
         runtime_ms = int((time.monotonic() - t0) * 1000)
         store.write_run_metadata(spark, store_root, {
             "run_id": run_id, "pipeline": pipeline, "query_name": str(query), "status": "completed",

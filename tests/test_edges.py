@@ -258,3 +258,10 @@ def test_line_batches_chunked_when_batch_is_large(spark, new_dir, monkeypatch):
     assert [f.entry for f in files][:2] == ["batch_id=1", "batch_id=1"]  # chunks of batch 1
     got = O.assign_ordinal(again).select("ordinal", O.batch_from_file_name().alias("b"), "raw")
     assert sorted(tuple(r) for r in got.collect()) == [(i, (i - 1) // 10 + 1, f"l{i}") for i in range(1, 24)]
+
+
+def test_q2_forms_when_no_line_has_a_path(spark):
+    from tallylog.plans import reports as R
+    parsed = P.filter_valid(_flag(spark, [_line(i, request="GET") for i in range(3)]))
+    assert R.direct_reports(parsed, "2")["q2"].count() == 0
+    assert R.cached_reports(parsed, "2")["q2"].count() == 0

@@ -60,9 +60,10 @@ def test_run_stats(flagged):
     assert r["avg_batch_size"] == pytest.approx(6.5)
 
 
-@pytest.mark.parametrize("form", ["direct", "staged"])
+@pytest.mark.parametrize("form", ["direct", "staged", "cached"])
 def test_reports(parsed, form):
-    reps = (R.direct_reports if form == "direct" else R.staged_reports)(parsed)
+    build = {"direct": R.direct_reports, "staged": R.staged_reports, "cached": R.cached_reports}[form]
+    reps = build(parsed)
     assert _q1(reps["q1"]) == Q1_EXPECTED
     assert _q2(reps["q2"]) == Q2_EXPECTED
     assert _q3(reps["q3"]) == Q3_EXPECTED

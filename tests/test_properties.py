@@ -56,10 +56,10 @@ def _rows(df):
 @pytest.mark.parametrize("n", [1, 7, 1000, 10**9])
 def test_merged_partials_equal_direct(spark, n):
     parsed = P.parse_access_log(event_log_lines(spark, SF), batch_size=n)
-    direct, staged = R.direct_reports(parsed), R.staged_reports(parsed)
+    direct, staged, cached = R.direct_reports(parsed), R.staged_reports(parsed), R.cached_reports(parsed)
     for q in ("q1", "q2", "q3"):
         cols = direct[q].columns
-        assert _rows(direct[q]) == _rows(staged[q].select(*cols)), q
+        assert _rows(direct[q]) == _rows(staged[q].select(*cols)) == _rows(cached[q].select(*cols)), q
 
 
 def test_totals_add_up(spark):
