@@ -64,3 +64,16 @@ def test_split_table_is_broadcast(spark, new_dir):
 def test_no_python_in_the_parse(spark):
     plan = _plan(P.flag_lines(catalog.lines(spark, SF)))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_reading_a_run_prunes_to_its_partition(spark, new_dir):
+    from tallylog.plans.job import run_report_job
+    from tallylog.sources import store as S
+    folder = new_dir("plan-store-in")
+    write_file(folder, "NASA_access_log_Jul95", FIXTURE_A)
+    store_root = new_dir("plan-store")
+    run_id = run_report_job(spark, folder, store_root, batch_size=10)
+    q1 = S.read_run_results(spark, store_root, run_id)["q1"]
+    plan = _plan(q1)
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "PartitionFilters: [isnotnull(run_id" in scan and run_id in scan
