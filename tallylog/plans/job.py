@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallylog.operators import aggregates as A
 from tallylog.operators import batches as B
 from tallylog.operators.parse import flag_lines, project_parsed
 from tallylog.plans.reports import cached_reports, chosen
@@ -52,6 +53,23 @@ def write_reports_concurrently(results: dict[str, DataFrame], store_root: str, r
             f.result()
 
 
+# What a kept run leaves in staging next to the records: per-batch partials and
+# distinct pairs, the user-visible intermediate tables of the staged report form.
+KEPT_STAGES = {
+    "q1_partial": A.q1_partial, "q2_partial": A.q2_partial, "q3_partial": A.q3_partial,
+    "q2_pairs": A.q2_distinct_pairs, "q3_pairs": A.q3_distinct_pairs,
+}
+
+
+def write_kept_stages(parsed: DataFrame, staging_root: str) -> None:
+    with ThreadPoolExecutor(max_workers=len(KEPT_STAGES)) as pool:
+        futures = [pool.submit(lambda n=name, f=fn: f(parsed).write.mode("errorifexists")
+                               .parquet(f"{staging_root}/{n}"))
+                   for name, fn in KEPT_STAGES.items()]
+        for f in futures:
+            f.result()
+
+
 def _now() -> dt.datetime:
     """The current instant, zone-aware, so the stored TIMESTAMP does not depend on the
     driver host's local zone."""
@@ -99,7 +117,8 @@ def run_report_job(
 
     lines, counted = prepare_lines(spark, input_path, batch_size, name_prefix, with_ordinals=keep_staging)
     flagged = flag_lines(lines, batch_size).select(*columns)
-    keep_path = f"{store_root.rstrip('/')}/staging/{run_id}/flagged" if keep_staging else None
+    staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
+    keep_path = f"{staging_root}/flagged" if keep_staging else None
     staged = store.materialize_parsed(flagged, keep_path)
     try:
         stats = B.run_stats(staged).first()
@@ -109,6 +128,8 @@ def run_report_job(
             raise IncompleteRunError(f"{seen} lines parsed or counted malformed, {counted} read")
         parsed = project_parsed(staged.filter(F.col("is_valid")))
         write_reports_concurrently(cached_reports(parsed, query), store_root, run_id)
+        if keep_staging:
+            write_kept_stages(parsed, staging_root)
         runtime_ms = int((time.monotonic() - t0) * 1000)
         store.write_run_metadata(spark, store_root, {
             "run_id": run_id, "pipeline": pipeline, "query_name": str(query), "status": "completed",

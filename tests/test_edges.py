@@ -225,6 +225,10 @@ def test_keep_staging_writes_numbered_records(spark, new_dir):
     kept = spark.read.parquet(f"{store_root}/staging/{run_id}/flagged")
     assert sorted(r["ordinal"] for r in kept.collect()) == [1, 2, 3, 4, 5, 6]
     assert kept.filter("is_valid").count() == 5
+    q1p = spark.read.parquet(f"{store_root}/staging/{run_id}/q1_partial")
+    assert q1p.agg(F.sum("request_count")).first()[0] == 5
+    pairs = spark.read.parquet(f"{store_root}/staging/{run_id}/q2_pairs")
+    assert pairs.count() == 5
 
 
 def test_conf_bytes():
