@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from tallylog.operators import aggregates as A
 from tallylog.operators import batches as B
+from tallylog.functions import clf
 from tallylog.operators.parse import flag_lines, project_parsed
 from tallylog.plans.reports import cached_reports, chosen
 from tallylog.sources import store
-from tallylog.sources.ordinals import number_lines
+from tallylog.sources.ordinals import SPLIT_COLUMNS, number_lines
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
 
 # Columns each report reads; the statistics read is_valid and batch_id.
@@ -30,18 +31,23 @@ REPORT_INPUTS = {
     "q2": ["resource_path", "host", "bytes_transferred"],
     "q3": ["log_date", "log_hour", "status_code", "host"],
 }
+_RECORD_COLUMNS = ["is_valid", "batch_id", "host", "timestamp_raw", "log_date", "log_hour",
+                   "http_method", "resource_path", "protocol_version", "status_code", "bytes_transferred"]
 _KEPT_COLUMNS = ["is_valid", "ordinal", "batch_id", "host", "timestamp_raw", "log_date", "log_hour",
                  "http_method", "resource_path", "protocol_version", "status_code", "bytes_transferred"]
 
 
-def staged_columns(query: str, keep_staging: bool) -> list[str]:
-    """What to stage: the whole record when it is kept, else only what is read."""
+def staged_columns(query: str, keep_staging: bool, numbered: bool = False) -> list[str]:
+    """What to cache: the whole record when it is kept, else only what is read; plus
+    the split keys and row ids when lines are to be numbered from the cache."""
     if keep_staging:
-        return list(_KEPT_COLUMNS)
-    needed = {"is_valid", "batch_id"}
-    for q in chosen(query):
-        needed.update(REPORT_INPUTS[q])
-    return [c for c in _KEPT_COLUMNS if c in needed]
+        cols = list(_RECORD_COLUMNS)
+    else:
+        needed = {"is_valid", "batch_id"}
+        for q in chosen(query):
+            needed.update(REPORT_INPUTS[q])
+        cols = [c for c in _RECORD_COLUMNS if c in needed]
+    return cols + (SPLIT_COLUMNS if numbered else [])
 
 
 def write_reports_concurrently(results: dict[str, DataFrame], store_root: str, run_id: str) -> None:
@@ -76,14 +82,14 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def prepare_lines(spark: SparkSession, input_path, batch_size: int | None, name_prefix: str,
-                  with_ordinals: bool = False) -> tuple[DataFrame, int | None]:
-    """Read and tag the lines; ordinals (a second scan) only when line batches or a
-    kept record need them. Also returns the line count of the first scan, if any."""
-    lines, _ = read_log_lines(spark, input_path, name_prefix)
-    if batch_size is not None or with_ordinals:
-        return number_lines(lines)
-    return lines.withColumn("ordinal", F.lit(None).cast("bigint")), None
+def with_line_batches(held: DataFrame, batch_size: int | None) -> tuple[DataFrame, int]:
+    """Ordinals (and line batches when a size is given) for lines already held with
+    their split keys: the split table comes from the held copy, so the text is
+    scanned once. Returns the numbered lines and the line count of the split table."""
+    numbered, counted = number_lines(held, rescan=False)
+    if batch_size is not None:
+        numbered = numbered.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
+    return numbered, counted
 
 
 class IncompleteRunError(RuntimeError):
@@ -110,26 +116,30 @@ def run_report_job(
     """
     if batch_size is not None and int(batch_size) <= 0:
         raise ValueError("batch size must be a positive integer")
-    columns = staged_columns(query, keep_staging)  # also validates the choice
+    numbered = batch_size is not None or keep_staging
+    columns = staged_columns(query, keep_staging, numbered)  # also validates the choice
     run_id = uuid.uuid4().hex
     started_at = _now()
     t0 = time.monotonic()
 
-    lines, counted = prepare_lines(spark, input_path, batch_size, name_prefix, with_ordinals=keep_staging)
-    flagged = flag_lines(lines, batch_size).select(*columns)
+    lines, _ = read_log_lines(spark, input_path, name_prefix)
+    # One scan of the text: parse, then cache what the reports, the statistics and
+    # (in line-batch mode) the numbering read.
+    staged = store.materialize_parsed(flag_lines(lines).select(*columns))
     staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
-    keep_path = f"{staging_root}/flagged" if keep_staging else None
-    staged = store.materialize_parsed(flagged, keep_path)
     try:
-        stats = B.run_stats(staged).first()
+        work, counted = with_line_batches(staged, batch_size) if numbered else (staged, None)
+        stats = B.run_stats(work).first()
         B.guard_empty_run(stats)
         seen = stats["total_records"] + stats["malformed_count"]
         if counted is not None and seen != counted:
             raise IncompleteRunError(f"{seen} lines parsed or counted malformed, {counted} read")
+        # the reports read no batch, so they read the cache without the numbering join
         parsed = project_parsed(staged.filter(F.col("is_valid")))
         write_reports_concurrently(cached_reports(parsed, query), store_root, run_id)
         if keep_staging:
-            write_kept_stages(parsed, staging_root)
+            kept = store.materialize_parsed(work.select(*_KEPT_COLUMNS), f"{staging_root}/flagged")
+            write_kept_stages(project_parsed(kept.filter(F.col("is_valid"))), staging_root)
         runtime_ms = int((time.monotonic() - t0) * 1000)
         store.write_run_metadata(spark, store_root, {
             "run_id": run_id, "pipeline": pipeline, "query_name": str(query), "status": "completed",
@@ -139,8 +149,7 @@ def run_report_job(
             "total_records": int(stats["total_records"]), "malformed_count": int(stats["malformed_count"]),
         })
     finally:
-        if keep_path is None:
-            staged.unpersist()
+        staged.unpersist()
     return run_id
 
 

@@ -64,13 +64,22 @@ def pin_split_planning(spark) -> None:
     spark.conf.set("spark.sql.files.minPartitionNum", str(n))
 
 
-def number_lines(lines: DataFrame) -> tuple[DataFrame, int]:
-    """B1 with the total: the numbered lines and the number of lines the first scan
-    counted, which a caller can hold the second scan's result against.
+SPLIT_COLUMNS = [*SPLIT_KEYS, "row_id"]
 
-    ``lines`` must come straight from ``read_log_lines`` (not yet planned)."""
+
+def number_lines(lines: DataFrame, rescan: bool = True) -> tuple[DataFrame, int]:
+    """B1 with the total: the numbered lines and the number of lines counted in the
+    split table, which a caller can hold its own totals against.
+
+    ``lines`` carries ``file_order``, ``block_start`` and ``row_id`` from
+    ``read_log_lines``. With ``rescan`` (the default) it is a text scan not yet
+    planned, which is read twice, so the split planning is pinned first. Pass
+    ``rescan=False`` for lines already held (cached or written) with those
+    columns: the split table is then built from that copy and the text is read
+    once."""
     spark = lines.sparkSession
-    pin_split_planning(spark)
+    if rescan:
+        pin_split_planning(spark)
     path = staging_path(spark, "split-offsets")
     split_offsets(lines).write.mode("errorifexists").parquet(path)
     offsets = spark.read.parquet(path)

@@ -90,3 +90,19 @@ def test_ordinals_survive_a_change_in_live_cores(spark, log_root, expected_lines
         assert got == expected_lines
     else:  # shows the hazard the pin removes
         assert got != expected_lines
+
+
+def test_job_numbers_lines_from_one_scan(spark, log_root, new_dir):
+    from tallylog.plans.job import run_report_job
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        store_root = new_dir("job-store")
+        run_id = run_report_job(spark, log_root, store_root, batch_size=100, name_prefix=DAY_PREFIX,
+                                keep_staging=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    kept = spark.read.parquet(f"{store_root}/staging/{run_id}/flagged")
+    cols = ["ordinal", "batch_id", "is_valid", "host", "status_code"]
+    want = P.flag_lines(event_log_lines(spark, SF), 100).select(*cols)
+    assert _rows(kept.select(*cols)) == _rows(want)
