@@ -22,7 +22,7 @@ from tallylog.functions import clf
 from tallylog.operators.parse import flag_lines, project_parsed
 from tallylog.plans.reports import cached_reports, chosen
 from tallylog.sources import store
-from tallylog.sources.ordinals import SPLIT_COLUMNS, number_lines
+from tallylog.sources.ordinals import SPLIT_COLUMNS, line_batch_stats, number_lines
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
 
 # Columns each report reads; the statistics read is_valid and batch_id.
@@ -82,18 +82,14 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def with_line_batches(held: DataFrame, batch_size: int | None) -> tuple[DataFrame, int]:
+def with_line_batches(held: DataFrame, batch_size: int | None) -> tuple[DataFrame, DataFrame]:
     """Ordinals (and line batches when a size is given) for lines already held with
     their split keys: the split table comes from the held copy, so the text is
-    scanned once. Returns the numbered lines and the line count of the split table."""
-    numbered, counted = number_lines(held, rescan=False)
+    scanned once. Returns the numbered lines and the split table."""
+    numbered, offsets = number_lines(held, rescan=False)
     if batch_size is not None:
         numbered = numbered.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
-    return numbered, counted
-
-
-class IncompleteRunError(RuntimeError):
-    """The parsed and malformed lines do not add up to the lines first counted."""
+    return numbered, offsets
 
 
 def run_report_job(
@@ -128,12 +124,12 @@ def run_report_job(
     staged = store.materialize_parsed(flag_lines(lines).select(*columns))
     staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
     try:
-        work, counted = with_line_batches(staged, batch_size) if numbered else (staged, None)
-        stats = B.run_stats(work).first()
+        work, offsets = with_line_batches(staged, batch_size) if numbered else (staged, None)
+        # line batches: the statistics come from the split table (one row per split);
+        # file batches: one aggregate over the cache
+        stats = (line_batch_stats(offsets, batch_size) if batch_size is not None
+                 else B.run_stats(work)).first()
         B.guard_empty_run(stats)
-        seen = stats["total_records"] + stats["malformed_count"]
-        if counted is not None and seen != counted:
-            raise IncompleteRunError(f"{seen} lines parsed or counted malformed, {counted} read")
         # the reports read no batch, so they read the cache without the numbering join
         parsed = project_parsed(staged.filter(F.col("is_valid")))
         write_reports_concurrently(cached_reports(parsed, query), store_root, run_id)

@@ -41,20 +41,57 @@ SPLIT_KEYS = ["file_order", "block_start"]
 
 
 def split_offsets(lines: DataFrame) -> DataFrame:
-    """Per split: first row_id, line count, and the number of lines before it."""
-    splits = lines.groupBy(*SPLIT_KEYS).agg(
-        F.min("row_id").alias("first_row_id"), F.count(F.lit(1)).alias("n_lines"))
+    """Per split: first row_id, line count, and the number of lines before it.
+
+    When the lines carry ``is_valid`` (parsed lines), each split also records its
+    valid-line count and the largest row_id of a valid line, from which the run
+    statistics follow without another pass over the lines (``line_batch_stats``).
+    """
+    aggs = [F.min("row_id").alias("first_row_id"), F.count(F.lit(1)).alias("n_lines")]
+    if "is_valid" in lines.columns:
+        aggs += [F.count_if(F.col("is_valid")).alias("n_valid"),
+                 F.max(F.when(F.col("is_valid"), F.col("row_id"))).alias("last_valid_row_id")]
+    splits = lines.groupBy(*SPLIT_KEYS).agg(*aggs)
     in_file = Window.partitionBy("file_order").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("before_in_file", F.coalesce(F.sum("n_lines").over(in_file), F.lit(0)))
     across = Window.orderBy("file_order").rowsBetween(Window.unboundedPreceding, -1)
     files = (splits.groupBy("file_order").agg(F.sum("n_lines").alias("file_lines"))
              .withColumn("before_file", F.coalesce(F.sum("file_lines").over(across), F.lit(0))))
+    extra = ["n_valid", "last_valid_row_id"] if "is_valid" in lines.columns else []
     return splits.join(files.select("file_order", "before_file"), "file_order").select(
-        *SPLIT_KEYS, "first_row_id", "n_lines",
+        *SPLIT_KEYS, "first_row_id", "n_lines", *extra,
         (F.col("before_file") + F.col("before_in_file")).cast("bigint").alias("lines_before"),
     )
 
 
+def write_split_table(lines: DataFrame) -> tuple[DataFrame, int]:
+    """The split table written as parquet to the shared folder (cutting the lineage
+    there) and read back, with its row count (its proven size)."""
+    spark = lines.sparkSession
+    path = staging_path(spark, "split-offsets")
+    split_offsets(lines).write.mode("errorifexists").parquet(path)
+    offsets = spark.read.parquet(path)
+    return offsets, offsets.count()
+
+
+def line_batch_stats(offsets: DataFrame, batch_size: int) -> DataFrame:
+    """B7 for line batches, from the split table alone (one row per split):
+    parsed records, malformed lines, and num_batches = the batch of the largest
+    ordinal held by a parsed record. Same row as ``run_stats`` over the lines."""
+    last_valid = F.col("lines_before") + F.col("last_valid_row_id") - F.col("first_row_id") + F.lit(1)
+    counts = offsets.agg(
+        F.coalesce(F.sum("n_valid"), F.lit(0)).cast("bigint").alias("total_records"),
+        F.coalesce(F.max(clf.batch_by_lines(last_valid, batch_size)), F.lit(0)).cast("int").alias("num_batches"),
+        F.coalesce(F.sum(F.col("n_lines") - F.col("n_valid")), F.lit(0)).cast("bigint").alias("malformed_count"),
+    )
+    total, batches = F.col("total_records"), F.col("num_batches")
+    return counts.select(
+        "total_records", "num_batches",
+        F.coalesce(F.try_divide(total.cast("double"), batches.cast("double")), F.lit(0.0)).alias("avg_batch_size"),
+        "malformed_count",
+    )
+
+
 def pin_split_planning(spark) -> None:
     """Make file split planning independent of the number of live executors."""
     if spark.conf.get("spark.sql.files.minPartitionNum", None):
@@ -67,9 +104,18 @@ def pin_split_planning(spark) -> None:
 SPLIT_COLUMNS = [*SPLIT_KEYS, "row_id"]
 
 
-def number_lines(lines: DataFrame, rescan: bool = True) -> tuple[DataFrame, int]:
-    """B1 with the total: the numbered lines and the number of lines counted in the
-    split table, which a caller can hold its own totals against.
+def number_with(lines: DataFrame, offsets: DataFrame, n_splits: int) -> DataFrame:
+    """ordinal = lines before the split + position in the split + 1, by a join to the
+    split table (broadcast when its counted size is under ``MAX_BROADCAST_SPLITS``)."""
+    side = offsets.select(*SPLIT_KEYS, "first_row_id", "lines_before")
+    side = F.broadcast(side) if n_splits <= MAX_BROADCAST_SPLITS else side
+    return lines.join(side, SPLIT_KEYS).withColumn(
+        "ordinal", F.col("lines_before") + (F.col("row_id") - F.col("first_row_id")) + F.lit(1)
+    ).drop("first_row_id", "lines_before")
+
+
+def number_lines(lines: DataFrame, rescan: bool = True) -> tuple[DataFrame, DataFrame]:
+    """B1: the numbered lines and the written split table.
 
     ``lines`` carries ``file_order``, ``block_start`` and ``row_id`` from
     ``read_log_lines``. With ``rescan`` (the default) it is a text scan not yet
@@ -77,20 +123,10 @@ def number_lines(lines: DataFrame, rescan: bool = True) -> tuple[DataFrame, int]
     ``rescan=False`` for lines already held (cached or written) with those
     columns: the split table is then built from that copy and the text is read
     once."""
-    spark = lines.sparkSession
     if rescan:
-        pin_split_planning(spark)
-    path = staging_path(spark, "split-offsets")
-    split_offsets(lines).write.mode("errorifexists").parquet(path)
-    offsets = spark.read.parquet(path)
-    summary = offsets.agg(F.count(F.lit(1)).alias("splits"), F.sum("n_lines").alias("lines")).first()
-    n_splits, n_lines = summary["splits"], summary["lines"] or 0
-    side = offsets.drop("n_lines")
-    side = F.broadcast(side) if n_splits <= MAX_BROADCAST_SPLITS else side
-    numbered = lines.join(side, SPLIT_KEYS).withColumn(
-        "ordinal", F.col("lines_before") + (F.col("row_id") - F.col("first_row_id")) + F.lit(1)
-    ).drop("first_row_id", "lines_before")
-    return numbered, int(n_lines)
+        pin_split_planning(lines.sparkSession)
+    offsets, n_splits = write_split_table(lines)
+    return number_with(lines, offsets, n_splits), offsets
 
 
 def assign_ordinal(lines: DataFrame) -> DataFrame:

@@ -106,3 +106,18 @@ def test_job_numbers_lines_from_one_scan(spark, log_root, new_dir):
     cols = ["ordinal", "batch_id", "is_valid", "host", "status_code"]
     want = P.flag_lines(event_log_lines(spark, SF), 100).select(*cols)
     assert _rows(kept.select(*cols)) == _rows(want)
+
+
+@pytest.mark.parametrize("n", [1, 7, 100, 10**9])
+def test_line_batch_stats_from_split_table_equal_run_stats(spark, log_root, n):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        lines, _ = T.read_log_lines(spark, log_root, DAY_PREFIX)
+        flagged = P.flag_lines(lines)
+        offsets, _ = O.write_split_table(flagged)
+        got = O.line_batch_stats(offsets, n).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = B.run_stats(P.flag_lines(event_log_lines(spark, SF), n)).first()
+    assert got.asDict() == want.asDict()
