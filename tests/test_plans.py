@@ -77,3 +77,17 @@ def test_reading_a_run_prunes_to_its_partition(spark, new_dir):
     plan = _plan(q1)
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     assert "PartitionFilters: [isnotnull(run_id" in scan and run_id in scan
+
+
+def test_parse_to_partial_aggregate_is_one_codegen_stage(spark):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # to read the codegen stage ids
+    try:
+        plan = _plan(A.q1_daily_traffic(catalog.parsed(spark, SF)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    lines = plan.splitlines()
+    start = next(i for i, line in enumerate(lines) if "partial_count" in line)
+    end = next(i for i, line in enumerate(lines) if "RoundRobinPartitioning" in line)
+    stage = {line.strip().lstrip("+- ").split(")")[0] for line in lines[start:end]}
+    assert len(stage) == 1 and next(iter(stage)).startswith("*(")
