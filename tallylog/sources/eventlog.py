@@ -36,7 +36,7 @@ DAY_PREFIX = "day="
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/events.parquet")
 
 
 def _ts_text() -> Column:
