@@ -175,20 +175,30 @@ def conf_bytes(value: str) -> int:
     return int(m.group(1)) * _UNITS[m.group(2).lower()]
 
 
-def spread_unsplittable(spark: SparkSession, lines: DataFrame, files: list[InputFile]) -> DataFrame:
-    """Spread the lines of oversized unsplittable files over the cluster.
-
-    A gzip file is read by one task whatever its size; if it is larger than a
-    split, that task would also parse all its lines. The lines are dealt out
-    round-robin right after the scan (their row ids are already taken), so
-    decompression stays one stream but parsing runs everywhere. Inputs without
-    such a file are left as they are and cost no shuffle.
-    """
+def oversized_unsplittable(spark: SparkSession, files: list[InputFile]) -> list[InputFile]:
+    """Files one task must read whole (gzip and the like) that are larger than a split."""
     split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    big = [f for f in files if f.path.lower().endswith(UNSPLITTABLE_SUFFIXES) and f.length > split_bytes]
+    return [f for f in files if f.path.lower().endswith(UNSPLITTABLE_SUFFIXES) and f.length > split_bytes]
+
+
+def scan_spread(spark: SparkSession, files: list[InputFile]) -> DataFrame:
+    """S1-S3 with skew handling for oversized unsplittable files.
+
+    Such a file is read by one task whatever its size; its lines are then dealt
+    out round-robin right after the scan, so decompression stays one stream but
+    parsing runs everywhere. Only those files' lines move: the other files are
+    scanned on their own and stay where they are read. Row ids are taken at each
+    scan; numbering needs them consecutive within a split only, and split keys
+    never repeat across the two scans. Inputs without such a file are one scan
+    with no shuffle.
+    """
+    big = oversized_unsplittable(spark, files)
     if not big:
-        return lines
-    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return scan_lines(spark, files)
+    big_paths = {f.path for f in big}
+    rest = [f for f in files if f.path not in big_paths]
+    spread = scan_lines(spark, big).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spread if not rest else scan_lines(spark, rest).unionByName(spread)
 
 
 def tag_source_file(lines: DataFrame, file_table: DataFrame, n_files: int) -> DataFrame:
@@ -206,7 +216,7 @@ def read_log_lines(
 ) -> tuple[DataFrame, list[InputFile]]:
     """S1-S5 together: tagged raw lines and the ordered file list."""
     files = list_inputs(spark, inputs, name_prefix)
-    scanned = spread_unsplittable(spark, scan_lines(spark, files), files)
+    scanned = scan_spread(spark, files)
     lines = tag_source_file(scanned, files_frame(spark, files), len(files))
     return lines, files
 

@@ -269,3 +269,20 @@ def test_q2_forms_when_no_line_has_a_path(spark):
     parsed = P.filter_valid(_flag(spark, [_line(i, request="GET") for i in range(3)]))
     assert R.direct_reports(parsed, "2")["q2"].count() == 0
     assert R.cached_reports(parsed, "2")["q2"].count() == 0
+
+
+def test_large_gzip_next_to_plain_files_only_moves_gzip_lines(spark, new_dir):
+    body = [_line(i, status="404" if i % 5 == 0 else "200") for i in range(3000)]
+    folder = new_dir("mixed")
+    write_file(folder, "NASA_access_log_Jul95.gz", body[:1500])
+    write_file(folder, "NASA_access_log_Aug95", body[1500:])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        files = T.list_inputs(spark, folder)
+        assert [f.entry for f in T.oversized_unsplittable(spark, files)] == ["NASA_access_log_Jul95.gz"]
+        lines, _ = T.read_log_lines(spark, folder)
+        got = sorted(tuple(r) for r in O.assign_ordinal(lines).select("ordinal", "raw").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(i + 1, body[i]) for i in range(3000)]
