@@ -22,7 +22,7 @@ from tallylog.functions import clf
 from tallylog.operators.parse import flag_lines, project_parsed
 from tallylog.plans.reports import cached_reports, chosen
 from tallylog.sources import store
-from tallylog.sources.ordinals import SPLIT_COLUMNS, line_batch_stats, number_lines
+from tallylog.sources.ordinals import SPLIT_COLUMNS, line_batch_stats, number_with, write_split_table
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
 
 # Columns each report reads; the statistics read is_valid and batch_id.
@@ -82,14 +82,14 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def with_line_batches(held: DataFrame, batch_size: int | None) -> tuple[DataFrame, DataFrame]:
+def with_line_batches(held: DataFrame, offsets: DataFrame, batch_size: int | None) -> DataFrame:
     """Ordinals (and line batches when a size is given) for lines already held with
-    their split keys: the split table comes from the held copy, so the text is
-    scanned once. Returns the numbered lines and the split table."""
-    numbered, offsets = number_lines(held, rescan=False)
+    their split keys, from the split table built out of that held copy, so the
+    text is scanned once."""
+    numbered = number_with(held, offsets)
     if batch_size is not None:
         numbered = numbered.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
-    return numbered, offsets
+    return numbered
 
 
 def run_report_job(
@@ -124,16 +124,18 @@ def run_report_job(
     staged = store.materialize_parsed(flag_lines(lines).select(*columns))
     staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
     try:
-        work, offsets = with_line_batches(staged, batch_size) if numbered else (staged, None)
-        # line batches: the statistics come from the split table (one row per split);
-        # file batches: one aggregate over the cache
+        # the split table is built from the cache (and materializes it); in line-batch
+        # mode the statistics come from it, one row per split; in file-batch mode
+        # from one aggregate over the cache
+        offsets = write_split_table(staged) if numbered else None
         stats = (line_batch_stats(offsets, batch_size) if batch_size is not None
-                 else B.run_stats(work)).first()
+                 else B.run_stats(staged)).first()
         B.guard_empty_run(stats)
         # the reports read no batch, so they read the cache without the numbering join
         parsed = project_parsed(staged.filter(F.col("is_valid")))
         write_reports_concurrently(cached_reports(parsed, query), store_root, run_id)
         if keep_staging:
+            work = with_line_batches(staged, offsets, batch_size)
             kept = store.materialize_parsed(work.select(*_KEPT_COLUMNS), f"{staging_root}/flagged")
             write_kept_stages(project_parsed(kept.filter(F.col("is_valid"))), staging_root)
         runtime_ms = int((time.monotonic() - t0) * 1000)

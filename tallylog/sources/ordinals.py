@@ -64,14 +64,13 @@ def split_offsets(lines: DataFrame) -> DataFrame:
     )
 
 
-def write_split_table(lines: DataFrame) -> tuple[DataFrame, int]:
+def write_split_table(lines: DataFrame) -> DataFrame:
     """The split table written as parquet to the shared folder (cutting the lineage
-    there) and read back, with its row count (its proven size)."""
+    there) and read back."""
     spark = lines.sparkSession
     path = staging_path(spark, "split-offsets")
     split_offsets(lines).write.mode("errorifexists").parquet(path)
-    offsets = spark.read.parquet(path)
-    return offsets, offsets.count()
+    return spark.read.parquet(path)
 
 
 def line_batch_stats(offsets: DataFrame, batch_size: int) -> DataFrame:
@@ -104,11 +103,12 @@ def pin_split_planning(spark) -> None:
 SPLIT_COLUMNS = [*SPLIT_KEYS, "row_id"]
 
 
-def number_with(lines: DataFrame, offsets: DataFrame, n_splits: int) -> DataFrame:
+def number_with(lines: DataFrame, offsets: DataFrame) -> DataFrame:
     """ordinal = lines before the split + position in the split + 1, by a join to the
-    split table (broadcast when its counted size is under ``MAX_BROADCAST_SPLITS``)."""
+    written split table, broadcast when its counted size is under ``MAX_BROADCAST_SPLITS``
+    (the count reads a small parquet table)."""
     side = offsets.select(*SPLIT_KEYS, "first_row_id", "lines_before")
-    side = F.broadcast(side) if n_splits <= MAX_BROADCAST_SPLITS else side
+    side = F.broadcast(side) if offsets.count() <= MAX_BROADCAST_SPLITS else side
     return lines.join(side, SPLIT_KEYS).withColumn(
         "ordinal", F.col("lines_before") + (F.col("row_id") - F.col("first_row_id")) + F.lit(1)
     ).drop("first_row_id", "lines_before")
@@ -125,8 +125,8 @@ def number_lines(lines: DataFrame, rescan: bool = True) -> tuple[DataFrame, Data
     once."""
     if rescan:
         pin_split_planning(lines.sparkSession)
-    offsets, n_splits = write_split_table(lines)
-    return number_with(lines, offsets, n_splits), offsets
+    offsets = write_split_table(lines)
+    return number_with(lines, offsets), offsets
 
 
 def assign_ordinal(lines: DataFrame) -> DataFrame:

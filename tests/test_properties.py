@@ -115,7 +115,7 @@ def test_line_batch_stats_from_split_table_equal_run_stats(spark, log_root, n):
     try:
         lines, _ = T.read_log_lines(spark, log_root, DAY_PREFIX)
         flagged = P.flag_lines(lines)
-        offsets, _ = O.write_split_table(flagged)
+        offsets = O.write_split_table(flagged)
         got = O.line_batch_stats(offsets, n).first()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
