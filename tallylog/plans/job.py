@@ -20,7 +20,7 @@ from tallylog.operators import aggregates as A
 from tallylog.operators import batches as B
 from tallylog.functions import clf
 from tallylog.operators.parse import flag_lines, project_parsed
-from tallylog.plans.reports import cached_reports, chosen
+from tallylog.plans.reports import CACHED_BUILDERS, chosen
 from tallylog.sources import store
 from tallylog.sources.ordinals import SPLIT_COLUMNS, line_batch_stats, number_with, write_split_table
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
@@ -50,12 +50,16 @@ def staged_columns(query: str, keep_staging: bool, numbered: bool = False) -> li
     return cols + (SPLIT_COLUMNS if numbered else [])
 
 
-def write_reports_concurrently(results: dict[str, DataFrame], store_root: str, run_id: str) -> None:
-    """Each report is an independent Spark job over the same staged data; they are
-    submitted together so their small final stages overlap instead of queueing."""
-    with ThreadPoolExecutor(max_workers=max(1, len(results))) as pool:
-        futures = [pool.submit(store.write_results, {q: df}, store_root, run_id) for q, df in results.items()]
-        for f in futures:
+def write_reports_concurrently(parsed: DataFrame, query: str, store_root: str, run_id: str) -> None:
+    """Each chosen report is built and written by its own thread: independent Spark
+    jobs over the same cached data, so their small final stages (and Q2's top-k
+    step) overlap instead of queueing."""
+    def build_and_write(q: str) -> None:
+        store.write_results({q: CACHED_BUILDERS[q](parsed)}, store_root, run_id)
+
+    queries = chosen(query)
+    with ThreadPoolExecutor(max_workers=len(queries)) as pool:
+        for f in [pool.submit(build_and_write, q) for q in queries]:
             f.result()
 
 
@@ -133,7 +137,7 @@ def run_report_job(
         B.guard_empty_run(stats)
         # the reports read no batch, so they read the cache without the numbering join
         parsed = project_parsed(staged.filter(F.col("is_valid")))
-        write_reports_concurrently(cached_reports(parsed, query), store_root, run_id)
+        write_reports_concurrently(parsed, query, store_root, run_id)
         if keep_staging:
             work = with_line_batches(staged, offsets, batch_size)
             kept = store.materialize_parsed(work.select(*_KEPT_COLUMNS), f"{staging_root}/flagged")
