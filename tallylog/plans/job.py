@@ -105,6 +105,7 @@ def run_report_job(
     query: str = "all",
     name_prefix: str = DEFAULT_PREFIX,
     keep_staging: bool = False,
+    stage_to_table: bool = False,
     pipeline: str = "spark",
 ) -> str:
     """K1: one full run; returns its ``run_id``.
@@ -112,7 +113,10 @@ def run_report_job(
     ``batch_size`` None means one batch per input file. ``query`` is ``1``,
     ``2``, ``3`` or ``all``; only the chosen reports are computed and written.
     The clock starts before the first read and stops after the last report is
-    written (D16).
+    written (D16). The parsed columns are cached on the executors; with
+    ``stage_to_table`` they are written as parquet under the store's staging
+    folder instead (one write; a lost executor then costs no recomputation, and
+    the folder stays like kept staging).
     """
     if batch_size is not None and int(batch_size) <= 0:
         raise ValueError("batch size must be a positive integer")
@@ -125,8 +129,9 @@ def run_report_job(
     lines, _ = read_log_lines(spark, input_path, name_prefix)
     # One scan of the text: parse, then cache what the reports, the statistics and
     # (in line-batch mode) the numbering read.
-    staged = store.materialize_parsed(flag_lines(lines).select(*columns))
     staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
+    staged = store.materialize_parsed(
+        flag_lines(lines).select(*columns), f"{staging_root}/staged" if stage_to_table else None)
     try:
         # the split table is built from the cache (and materializes it); in line-batch
         # mode the statistics come from it, one row per split; in file-batch mode
@@ -151,7 +156,8 @@ def run_report_job(
             "total_records": int(stats["total_records"]), "malformed_count": int(stats["malformed_count"]),
         })
     finally:
-        staged.unpersist()
+        if not stage_to_table:
+            staged.unpersist()
     return run_id
 
 

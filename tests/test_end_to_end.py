@@ -125,3 +125,17 @@ def test_missing_inputs(spark, new_dir):
     write_file(folder, "other.log", FIXTURE_A)
     with pytest.raises(FileNotFoundError):
         list_inputs(spark, folder)
+
+
+@pytest.mark.parametrize("batch_size", [10, None])
+def test_job_staged_to_a_table_gives_the_same_run(spark, new_dir, batch_size):
+    folder = new_dir("in")
+    write_file(folder, "NASA_access_log_Jul95", FIXTURE_A)
+    store_root = new_dir("store")
+    run_id = run_report_job(spark, folder, store_root, batch_size=batch_size, stage_to_table=True)
+    rep = run_report(spark, store_root, run_id)
+    meta = rep["runs"].first()
+    assert (meta["total_records"], meta["malformed_count"]) == (13, 2)
+    assert meta["num_batches"] == (2 if batch_size else 1)
+    assert _q1(rep["q1"]) == Q1_EXPECTED and _q2(rep["q2"]) == Q2_EXPECTED and _q3(rep["q3"]) == Q3_EXPECTED
+    assert spark.read.parquet(f"{store_root}/staging/{run_id}/staged").count() == 15
