@@ -221,7 +221,7 @@ def batch_summary(spark, sf_dir):
 
 
 def guard_empty_run(spark, sf_dir):
-    stats = B.run_stats(flagged(spark, sf_dir)).persist()
+    stats = B.run_stats(flagged(spark, sf_dir))
     B.guard_empty_run(stats.first())
     return stats
 
