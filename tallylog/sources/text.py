@@ -15,6 +15,7 @@ the scan anyway.
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass
 
@@ -76,7 +77,9 @@ def list_inputs(spark: SparkSession, inputs: str | list[str], name_prefix: str =
                 files.append(f)
         return _renumber(files)
 
-    base = str(inputs).rstrip("/")
+    base = str(inputs).rstrip("/") or "/"
+    if not re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", base) and not base.startswith("/"):
+        base = os.path.abspath(base)  # a relative local path, as the listing reports it absolute
     try:
         listing = (
             spark.read.format("binaryFile").option("recursiveFileLookup", "true")

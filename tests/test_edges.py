@@ -286,3 +286,13 @@ def test_large_gzip_next_to_plain_files_only_moves_gzip_lines(spark, new_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [(i + 1, body[i]) for i in range(3000)]
+
+
+def test_relative_input_folder_keeps_the_prefix_rule(spark, new_dir, monkeypatch):
+    folder = new_dir("rel")
+    write_file(folder, "NASA_access_log_Jul95", ["a"])
+    write_file(folder, "notes.txt", ["b"])
+    import os
+    monkeypatch.chdir(os.path.dirname(folder))
+    files = T.list_inputs(spark, os.path.basename(folder))
+    assert [f.entry for f in files] == ["NASA_access_log_Jul95"]
