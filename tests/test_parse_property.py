@@ -88,3 +88,28 @@ def test_flag_lines_matches_the_rules(spark, lines):
     want = {i + 1: expected(line) for i, line in enumerate(lines)}
     bad = [(lines[k - 1], got[k], want[k]) for k in want if got[k] != want[k]]
     assert not bad, bad[:3]
+
+
+def _half_even_6dp(e: int, t: int):
+    """e/t to six decimals, ties to even, in exact integers (Python's own Decimal
+    rounding of the exact fraction as the cross-check)."""
+    from decimal import ROUND_HALF_EVEN, Decimal, localcontext
+    with localcontext() as ctx:
+        ctx.prec = 60
+        return (Decimal(e) / Decimal(t)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_EVEN)
+
+
+pairs = st.one_of(
+    st.tuples(st.integers(0, 10**9), st.integers(1, 10**9)).map(lambda p: (min(p), max(max(p), 1))),
+    st.tuples(st.integers(0, 64), st.sampled_from([64, 128, 256, 640, 1280, 2**20])),  # ties
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(pairs, min_size=100, max_size=300))
+def test_rate_is_exact_half_even(spark, rows):
+    from tallylog.functions.clf import rate_6dp
+    df = spark.createDataFrame(rows, "e bigint, t bigint")
+    got = [r[0] for r in df.select(rate_6dp("e", "t")).collect()]
+    assert got == [_half_even_6dp(e, t) for e, t in rows]
