@@ -89,7 +89,7 @@ def list_inputs(spark: SparkSession, inputs: str | list[str], name_prefix: str =
     except AnalysisException as exc:
         raise FileNotFoundError(f"input does not exist: {base}") from exc
     base_plain = _strip_scheme(base)
-    grouped: dict[str, list[tuple[str, str, int]]] = {}
+    grouped: dict[str, list[tuple[str, str, int, str]]] = {}
     for row in listing:
         plain = _strip_scheme(row["path"])
         rel = plain[len(base_plain):].lstrip("/") if plain.startswith(base_plain) else ""
