@@ -296,3 +296,11 @@ def test_relative_input_folder_keeps_the_prefix_rule(spark, new_dir, monkeypatch
     monkeypatch.chdir(os.path.dirname(folder))
     files = T.list_inputs(spark, os.path.basename(folder))
     assert [f.entry for f in files] == ["NASA_access_log_Jul95"]
+
+
+def test_single_file_input_taken_whatever_its_name(spark, new_dir):
+    path = write_file(new_dir("single"), "access.log", ["x", "y"])
+    files = T.list_inputs(spark, path)
+    assert [(f.entry, f.entry_index, f.file_order) for f in files] == [("access.log", 1, 1)]
+    lines, _ = T.read_log_lines(spark, path)
+    assert sorted(r["raw"] for r in lines.collect()) == ["x", "y"]
