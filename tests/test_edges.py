@@ -153,6 +153,8 @@ def test_d13_gzip_same_as_plain(spark, new_dir):
 def test_d14_numeric_batch_order(spark, new_dir):
     assert sorted(["batch_id=10", "batch_id=2", "batch_id=1"], key=T.natural_key) == \
         ["batch_id=1", "batch_id=2", "batch_id=10"]
+    assert sorted(["batch_1000.log", "batch_101.log", "batch_999.log"], key=T.natural_key) == \
+        ["batch_101.log", "batch_999.log", "batch_1000.log"]
     lines = lines_df(spark, [f"l{i}" for i in range(1, 13)])
     root = O.write_line_batches(lines, 1, new_dir("batches") + "/out")
     again, files = T.read_log_lines(spark, root, "batch_id=")
