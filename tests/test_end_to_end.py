@@ -139,3 +139,18 @@ def test_job_staged_to_a_table_gives_the_same_run(spark, new_dir, batch_size):
     assert meta["num_batches"] == (2 if batch_size else 1)
     assert _q1(rep["q1"]) == Q1_EXPECTED and _q2(rep["q2"]) == Q2_EXPECTED and _q3(rep["q3"]) == Q3_EXPECTED
     assert spark.read.parquet(f"{store_root}/staging/{run_id}/staged").count() == 15
+
+
+def test_two_runs_in_one_store_agree_both_ways(spark, new_dir):
+    from tallylog.operators.setops import diff_runs
+    folder = new_dir("in")
+    write_file(folder, "NASA_access_log_Jul95", FIXTURE_A[:8])
+    write_file(folder, "NASA_access_log_Aug95", FIXTURE_A[8:])
+    store_root = new_dir("store")
+    by_lines = run_report_job(spark, folder, store_root, batch_size=4)
+    by_files = run_report_job(spark, folder, store_root)
+    a, b = run_report(spark, store_root, by_lines), run_report(spark, store_root, by_files)
+    for q in ("q1", "q2", "q3"):
+        assert diff_runs(a[q], b[q]).count() == 0, q
+    assert a["runs"].first()["num_batches"] == 4 and b["runs"].first()["num_batches"] == 2
+    assert S.check_result_keys(spark, store_root).count() == 0
