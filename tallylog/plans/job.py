@@ -22,7 +22,9 @@ from tallylog.functions import clf
 from tallylog.operators.parse import flag_lines, project_parsed
 from tallylog.plans.reports import CACHED_BUILDERS, chosen
 from tallylog.sources import store
-from tallylog.sources.ordinals import SPLIT_COLUMNS, line_batch_stats, number_with, write_split_table
+from tallylog.sources.ordinals import (
+    SPLIT_COLUMNS, line_batch_stats, number_with, split_offsets, write_split_table,
+)
 from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
 
 # Columns each report reads; the statistics read is_valid and batch_id.
@@ -133,12 +135,16 @@ def run_report_job(
     staged = store.materialize_parsed(
         flag_lines(lines).select(*columns), f"{staging_root}/staged" if stage_to_table else None)
     try:
-        # the split table is built from the cache (and materializes it); in line-batch
-        # mode the statistics come from it, one row per split; in file-batch mode
-        # from one aggregate over the cache
-        offsets = write_split_table(staged) if numbered else None
-        stats = (line_batch_stats(offsets, batch_size) if batch_size is not None
-                 else B.run_stats(staged)).first()
+        # The split table is built from the cache (and materializes it). In line-batch
+        # mode the statistics come from it, one row per split; it is written (and
+        # counted) only when a numbering join will read it, for kept staging. In
+        # file-batch mode the statistics are one aggregate over the cache.
+        offsets = write_split_table(staged) if keep_staging else None
+        if batch_size is not None:
+            splits = offsets if offsets is not None else split_offsets(staged)
+            stats = line_batch_stats(splits, batch_size).first()
+        else:
+            stats = B.run_stats(staged).first()
         B.guard_empty_run(stats)
         # the reports read no batch, so they read the cache without the numbering join
         parsed = project_parsed(staged.filter(F.col("is_valid")))
