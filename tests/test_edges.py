@@ -306,3 +306,15 @@ def test_single_file_input_taken_whatever_its_name(spark, new_dir):
     assert [(f.entry, f.entry_index, f.file_order) for f in files] == [("access.log", 1, 1)]
     lines, _ = T.read_log_lines(spark, path)
     assert sorted(r["raw"] for r in lines.collect()) == ["x", "y"]
+
+
+def test_job_with_no_paths_writes_an_empty_q2(spark, new_dir):
+    folder = new_dir("nopath")
+    write_file(folder, "NASA_access_log_Jul95", [_line(i, request="GET", status="404" if i == 0 else "200")
+                                                 for i in range(4)])
+    store_root = new_dir("store")
+    run_id = run_report_job(spark, folder, store_root, batch_size=2)
+    rep = run_report(spark, store_root, run_id)
+    assert rep["q2"].count() == 0
+    assert rep["q1"].count() == 2 and rep["q3"].count() == 1
+    assert rep["runs"].first()["num_batches"] == 2
