@@ -29,19 +29,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for staged tables.
+    """The cluster-wide folder for staged tables: what ``spark.checkpoint.dir`` names.
 
-    It is the folder named by ``spark.checkpoint.dir``. Only when the session
-    names none (local tests) do we make one under the local temp folder and set
-    it, so that ``DataFrame.checkpoint()`` works as well.
+    A local session that names none (tests) gets a folder of its own under the
+    local temp folder, which all of its tasks see. A cluster session that names
+    none is refused, as its executors would not see each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not configured and context is not None:
         configured = context.getCheckpointDir()
     if not configured:
+        if context is None or not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tallylog-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if context is not None and not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
