@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import mixing, sharding, simhash
+from tallylog.llm import bpe, mixing, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": bpe.op1_bpe,
     "op7_simhash": simhash.op7_simhash,
     "op8_mixing": mixing.op8_mixing,
     "op10_sharding": sharding.op10_sharding,
