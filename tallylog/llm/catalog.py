@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import bpe, mixing, sharding, simhash
+from tallylog.llm import bpe, mixing, sharding, simhash, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
+    "op3_winnowing": winnowing.op3_winnowing,
     "op7_simhash": simhash.op7_simhash,
     "op8_mixing": mixing.op8_mixing,
     "op10_sharding": sharding.op10_sharding,
