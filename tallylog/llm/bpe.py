@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,12 +31,23 @@ from pyspark.sql import functions as F
 
 from tallylog.llm.common import table
 
-#: Pieces, and pairs of tokens, that a task remembers.
-REMEMBERED = 1 << 19
+#: Pieces and pairs of tokens, and words, that a worker remembers; it forgets all at this number and goes on.
+REMEMBERED = 1 << 18
+REMEMBERED_WORDS = 1 << 19
 #: Characters of texts, and of new pieces, that go into one trie.
 TRIE_CHARS = 1 << 20
+#: Rows that go out at once.
+SLICE = 256
 #: Cuts that are white space to every pre-tokeniser here.
 _SPACE = re.compile(r"[ \t\n\r]+")
+_PACK = {n: struct.Struct(f"<{n}I").pack for n in range(1, 33)}
+#: The rule of the vocabularies that cut words into runs of letters, single digits and runs of other marks.
+_PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: A Latin-1 letter run with punctuation behind it, in its composed form.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?")
+#: Byte-level symbols: printable bytes stand for themselves, the others come from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SYMBOLS = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
 #: All that may be white space besides.
 _ODD_SPACE = re.compile(r"[\s\u180e\u200b\ufeff]")
 
@@ -53,6 +65,9 @@ class TrieEncoder:
             raise ValueError("only plain BPE with a pre-tokeniser and without a decoder is read here")
         library = Tokenizer.from_file(path)
         self._normalizer, self._splitter = library.normalizer, library.pre_tokenizer
+        # lower case, letters in one run, punctuation in another, byte-level symbols: what _PLAIN stands for
+        split = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"].get("pretokenizers", []) if p["type"] == "Split"]
+        self._plain = split == [_PLAIN_SPLIT] and self._split(self._normalizer.normalize_str("Üb.'s")) == ["Ã¼b", ".'", "s"]
         self._end = model.get("end_of_word_suffix") or ""
         self._ids: dict[str, int] = model["vocab"]
         self._specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -68,16 +83,16 @@ class TrieEncoder:
             self._merges[a, b] = rank, c
             self._parts[c] = a, b, rank
         self._longest = max(len(s) - len(self._end) * s.endswith(self._end) for s in self._ids) if self._end else max(map(len, self._ids))
-        self._left_alone: dict[tuple[int, int], bool] = {}
+        self._left_alone: dict[int, bool] = {}
         self._made_whole: dict[int, bool] = {}
-        self._learnt: dict[str, list[int]] = {}  # words
-        self._known: dict[str, list[int]] = {}   # pieces
+        self._learnt: dict[str, bytes] = {}  # words
+        self._known: dict[str, bytes] = {}   # pieces
 
     def _stays(self, a: int, b: int) -> bool:
         """Does BPE leave the neighbours a, b as they are?"""
         if len(self._left_alone) >= REMEMBERED:
             self._left_alone.clear()
-        got = self._left_alone[a, b] = self._compatible(a, b)
+        got = self._left_alone[a << 32 | b] = self._compatible(a, b)
         return got
 
     def _compatible(self, a: int, b: int) -> bool:
@@ -106,7 +121,7 @@ class TrieEncoder:
         ids, left_alone, whole, stays, longest, end = self._ids.get, self._left_alone, self._whole, self._stays, self._longest, self._end
         last: list[int] = [-1]            # last token of each prefix of the path
         size: list[int] = [0]             # symbols in that token
-        path, learnt = "", self._learnt
+        path, learnt, packs = "", self._learnt, _PACK
         for word in words:
             n = len(word) - 1             # the last symbol carries the end mark: no node is shared there
             shared, most = 0, min(len(path), n)
@@ -119,7 +134,7 @@ class TrieEncoder:
                     token = ids(path[at:])
                     if token is not None:
                         if at:
-                            stay = left_alone.get((last[at], token))
+                            stay = left_alone.get(last[at] << 32 | token)
                             if stay is None:
                                 stay = stays(last[at], token)
                         else:
@@ -135,7 +150,7 @@ class TrieEncoder:
                 tokens.append(last[at])
                 at -= size[at]
             tokens.reverse()
-            learnt[word] = tokens
+            learnt[word] = pack(*tokens) if (pack := packs.get(len(tokens))) else np.array(tokens, "<u4").tobytes()
             last.pop()
             size.pop()
             path = word[:n]
@@ -158,9 +173,30 @@ class TrieEncoder:
             self._merges[a, b] = held
 
     def _words(self, pieces: list[str]) -> list[list[str]]:
+        """The pre-tokenised words of each piece: plain ones here, the others by the library."""
+        if not self._plain:
+            return self._asked(pieces)
+        out: list[list[str]] = []
+        ask: list[int] = []
+        for i, piece in enumerate(pieces):
+            m = _PLAIN.fullmatch(piece)
+            if m is None:
+                ask.append(i)
+                out.append([])
+                continue
+            run, marks = m.groups()
+            run = run.lower()
+            if not run.isascii():
+                run = run.encode().decode("latin-1").translate(_SYMBOLS)
+            out.append([run, marks] if marks else [run])
+        for i, words in zip(ask, self._asked([pieces[i] for i in ask])):
+            out[i] = words
+        return out
+
+    def _asked(self, pieces: list[str]) -> list[list[str]]:
         """The pre-tokenised words of each piece: many pieces in one call, set apart by white space."""
         if odd := [i for i, p in enumerate(pieces) if _ODD_SPACE.search(p)]:
-            plain = iter(self._words([p for p in pieces if not _ODD_SPACE.search(p)]))
+            plain = iter(self._asked([p for p in pieces if not _ODD_SPACE.search(p)]))
             alone = {i: self._split(self._normalizer.normalize_str(pieces[i]) if self._normalizer else pieces[i]) for i in odd}
             return [alone[i] if i in alone else next(plain) for i in range(len(pieces))]
         if not pieces:
@@ -191,15 +227,15 @@ class TrieEncoder:
                 part.append(todo.pop())
                 chars += len(part[-1])
             words = self._words(part)
-            if len(self._learnt) > REMEMBERED:
+            if len(self._learnt) > REMEMBERED_WORDS:
                 self._learnt.clear()
             self._encode_words(sorted({w for own in words for w in own if w not in self._learnt}))
             learnt, known = self._learnt, self._known
             for piece, own in zip(part, words):
-                known[piece] = learnt[own[0]] if len(own) == 1 else [t for w in own for t in learnt[w]]
+                known[piece] = learnt[own[0]] if len(own) == 1 else b"".join([learnt[w] for w in own])
 
-    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The token ids of whole texts, one after the other."""
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The token ids of whole texts, one after the other, as little-endian unsigned 32-bit integers."""
         split = self._special.split if self._special else lambda t: [t]
         at = 0
         while at < len(texts):
@@ -215,12 +251,12 @@ class TrieEncoder:
             self.learn({p for p in pieces if p not in self._known})
             known = self._known.__getitem__
             for text in runs:
-                yield np.concatenate([np.array([self._specials[run]], "<u4") if i % 2 else
-                                      np.fromiter(chain.from_iterable(map(known, run)), "<u4") for i, run in enumerate(text)])
+                yield b"".join([b"".join(map(known, run)) if i % 2 == 0 else _PACK[1](self._specials[run])
+                                for i, run in enumerate(text)])
 
     def encode(self, text: str) -> np.ndarray:
         """The token ids of a whole text."""
-        return next(self.encode_all([text]))
+        return np.frombuffer(next(self.encode_all([text])), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of token ids, special tokens included: their strings, one space between."""
@@ -237,38 +273,48 @@ def encoder(path: str) -> TrieEncoder:
     return _ENCODERS[path]
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """Add ``n_tokens`` (long) and ``token_ids`` (binary: little-endian unsigned 32-bit ids) to ``docs``.
+def _mapped(df: DataFrame, column: str, keep: list[str], made: pa.Schema, make: Callable) -> DataFrame:
+    """``keep`` of ``df`` and the columns ``made`` from ``column``, SLICE rows at a time."""
+    rows = df.select(*[F.col(f"`{c}`") for c in keep if c not in made.names], F.col(column).alias("__given"))
+    names = rows.columns[:-1]
+    schema = rows.drop("__given").schema
+    for f in made:
+        schema = schema.add(f.name, {"int64": "long", "binary": "binary", "string": "string"}[str(f.type)])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                columns = make(part.column(len(names)).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in range(len(names))], *[pa.array(c, f.type) for c, f in zip(columns, made)]],
+                    names=[*names, *made.names])
+
+    return rows.mapInArrow(apply, schema)
+
+
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (all columns unless given) of ``docs`` with ``n_tokens`` (long) and ``token_ids``
+    (binary: little-endian unsigned 32-bit ids).
 
     A null text counts as empty: no tokens. Columns of these names are replaced.
     ``vocabulary`` is the path of the file, the same on each executor.
     """
-    @F.arrow_udf("n_tokens long, token_ids binary")
-    def apply(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = encoder(vocabulary)
-        for batch in texts:
-            ids = [x.tobytes() for x in bpe.encode_all([t.as_py() or "" for t in batch])]
-            yield pa.StructArray.from_arrays(
-                [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["n_tokens", "token_ids"])
+    def make(texts: list[str | None]) -> tuple[list[int], list[bytes]]:
+        ids = list(encoder(vocabulary).encode_all([t or "" for t in texts]))
+        return [len(x) // 4 for x in ids], ids
 
-    return _added(docs, apply(F.col(text)), ["n_tokens", "token_ids"])
+    made = pa.schema([("n_tokens", pa.int64()), ("token_ids", pa.binary())])
+    return _mapped(docs, text, docs.columns if keep is None else keep, made, make)
 
 
-def decode(tokens: DataFrame, vocabulary: str, token_ids: str = "token_ids") -> DataFrame:
-    """Add ``decoded`` (string) to ``tokens``; null ids give an empty text. A column of this name is replaced."""
-    @F.arrow_udf("decoded string")
-    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def decode(tokens: DataFrame, vocabulary: str, token_ids: str = "token_ids", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (all columns unless given) of ``tokens`` with ``decoded`` (string); null ids give an empty text."""
+    def make(packed: list[bytes | None]) -> tuple[list[str]]:
         bpe = encoder(vocabulary)
-        for batch in batches:
-            yield pa.StructArray.from_arrays(
-                [pa.array([bpe.decode(np.frombuffer(b.as_py() or b"", "<u4")) for b in batch], pa.string())], names=["decoded"])
-
-    return _added(tokens, apply(F.col(token_ids)), ["decoded"])
-
+        return ([bpe.decode(np.frombuffer(b or b"", "<u4")) for b in packed],)
 
-def _added(df: DataFrame, made, names: list[str]) -> DataFrame:
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    return df.withColumn("__made", made).select(*kept, *[F.col(f"__made.{n}") for n in names])
+    return _mapped(tokens, token_ids, tokens.columns if keep is None else keep, pa.schema([("decoded", pa.string())]), make)
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -280,9 +326,9 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 def token_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids and of the decoded text of each row of ``docs`` (doc_id, text)."""
-    out = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
-    return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    tokens = encode(docs, vocabulary, keep=["doc_id"]).withColumn("ids_sha256", F.sha2("token_ids", 256))
+    out = decode(tokens, vocabulary, keep=["doc_id", "n_tokens", "ids_sha256"])
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

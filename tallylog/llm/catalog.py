@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import bpe, mixing, quality, sharding, simhash, winnowing
+from tallylog.llm import bpe, mixing, pii, quality, sharding, simhash, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
     "op3_winnowing": winnowing.op3_winnowing,
+    "op6_pii": pii.op6_pii,
     "op7_simhash": simhash.op7_simhash,
     "op8_mixing": mixing.op8_mixing,
     "op9_quality": quality.op9_quality,
