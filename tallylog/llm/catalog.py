@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import bpe, mixing, neighbours, pii, quality, sharding, simhash, winnowing
+from tallylog.llm import bpe, mixing, neighbours, pii, quality, sharding, simhash, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
     "op3_winnowing": winnowing.op3_winnowing,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_neighbours": neighbours.op5_neighbours,
     "op6_pii": pii.op6_pii,
     "op7_simhash": simhash.op7_simhash,
