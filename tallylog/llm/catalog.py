@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import bpe, mixing, neighbours, pii, quality, sharding, simhash, toxicity, winnowing
+from tallylog.llm import bpe, licences, mixing, neighbours, pii, quality, sharding, simhash, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
+    "op2_licences": licences.op2_licences,
     "op3_winnowing": winnowing.op3_winnowing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_neighbours": neighbours.op5_neighbours,
@@ -21,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_licences": licences.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +31,8 @@ def constants(values: list, kind: str) -> Column:
     if not values:
         return F.array().cast(f"array<{kind}>")
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, also where ``body`` uses it within another lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

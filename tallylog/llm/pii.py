@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallylog.llm.common import stage, table
+from tallylog.llm.common import let, stage, table
 
 KEY = "tallylog-surrogates-1"
 #: Draws after which a type's space of surrogates counts as used up.
@@ -144,11 +144,6 @@ def _pick(values: str, key: Column) -> Column:
     return F.get(F.split(F.lit(values), " "), F.conv(F.substring(_stream(key, F.lit(1)), 1, 1), 16, 10).cast("int"))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)``, with ``value`` worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def surrogate(entity: Column, draw: Column) -> Column:
     """The surrogate of an entity's core (struct of parse_entity) in the given draw, without lead; null for no entity."""
     kind, core, canon = entity["kind"], entity["core"], entity["canon"]
@@ -173,8 +168,8 @@ def surrogate(entity: Column, draw: Column) -> Column:
     def card(hex_: Column) -> Column:
         n = F.length(canon)
         body = F.concat(F.substring(canon, 1, 1), F.substring(_as_digits(hex_), F.lit(2), n - 2))
-        whole = _let(body, lambda b: F.concat(b, ((F.lit(10) - _luhn(F.concat(b, F.lit("0")))) % 10).cast("string")))
-        return _let(whole, lambda w: _refill(core, w, w))
+        whole = let(body, lambda b: F.concat(b, ((F.lit(10) - _luhn(F.concat(b, F.lit("0")))) % 10).cast("string")))
+        return let(whole, lambda w: _refill(core, w, w))
 
     def phone(hex_: Column) -> Column:
         code = F.substring_index(canon, "-", 1)
@@ -199,7 +194,7 @@ def surrogate(entity: Column, draw: Column) -> Column:
         return F.array_join(F.concat(given, F.array(family)), " ")
 
     hex_ = _stream(key, F.length(core) + 64)
-    return _let(hex_, lambda h: (
+    return let(hex_, lambda h: (
         F.when(kind == "email", email(h)).when(kind == "ip", ip(h)).when(kind == "card", card(h)).when(kind == "phone", phone(h))
         .when(kind == "aws_key", key_id(h)).when(kind == "secret", secret(h)).when(kind == "ssn", _plain(core, h))
         .when(kind == "male", name("male")).when(kind == "female", name("female"))
@@ -246,7 +241,7 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def rewritten(df: DataFrame, draw_of) -> DataFrame:
         pieces = F.split(F.col(text), ANY, -1)
-        e = F.transform(F.col("__m"), lambda m: _let(parse_entity(m), lambda x: F.struct(
+        e = F.transform(F.col("__m"), lambda m: let(parse_entity(m), lambda x: F.struct(
             F.coalesce(F.concat(x["lead"], surrogate(x, draw_of(x))), m).alias("s"), x["kind"].isNotNull().cast("int").alias("n"))))
         df = df.withColumn("__e", F.when(F.size("__m") > 0, e))
         new = F.array_join(F.zip_with(pieces, F.concat(F.col("__e.s"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")

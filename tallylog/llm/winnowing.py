@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallylog.llm.common import constants, stage, table
+from tallylog.llm.common import constants, let, stage, table
 
 K = 16
 WINDOW = 16
@@ -33,40 +33,51 @@ def _shifted_min(values: Column, by: int) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(by + 1), n), lambda a, b: F.least(a, b))
 
 
-def winnow(df: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW) -> DataFrame:
-    """Add ``out``: array of struct(hash long, place int) in order of place, places from 0.
+def minima(df: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW) -> DataFrame:
+    """Add ``out``: the choice of each window in order, packed (array of longs).
 
-    Hashes have 32 bits. A text shorter than ``k`` is one gram; one with fewer grams
-    than a window is one window; an empty or null text has no grams and an empty array.
+    A text shorter than ``k`` is one gram; one with fewer grams than a window is one
+    window; an empty or null text has no grams and an empty array.
     """
     b, g, m = f"__{out}_b", f"__{out}_g", f"__{out}_m"
     df = df.withColumn(b, F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-32"))
     grams = F.greatest(F.floor(F.length(b) / 4) - (k - 1), F.least(F.length(b), F.lit(1))).cast("int")
 
-    def gram(i: Column) -> Column:
-        h = F.xxhash64(F.substring(F.col(b), i * 4 + 1, F.lit(4 * k)))
-        return F.shiftleft(h.bitwiseAND(F.lit(0xFFFFFFFF)), 31).bitwiseOR(F.lit(LAST) - i)
+    def hashed(data: Column) -> Column:
+        def gram(i: Column) -> Column:
+            h = F.xxhash64(F.substring(data, i * 4 + 1, F.lit(4 * k)))
+            return F.shiftleft(h.bitwiseAND(F.lit(0xFFFFFFFF)), 31).bitwiseOR(F.lit(LAST) - i)
+
+        return F.transform(F.sequence(F.lit(0), grams - 1), gram)
 
-    df = df.withColumn(g, F.when(grams > 0, F.transform(F.sequence(F.lit(0), grams - 1), gram))
-                       .otherwise(F.array().cast("array<bigint>")))
+    # the bytes are bound once: read from the row, they would be copied for each gram
+    df = df.withColumn(g, F.when(grams > 0, let(F.col(b), hashed)).otherwise(F.array().cast("array<bigint>")))
     # minima over `done` hashes; then over `window`, by an overlap
     done, df = 1, df.withColumn(m, F.col(g))
     while done < window:
         by = min(done, window - done)
         df = df.withColumn(m, F.when(F.size(g) >= window, _shifted_min(F.col(m), by)))
         done += by
-    # a run of equal minima is one choice
-    minima = F.coalesce(F.col(m), F.when(F.size(g) > 0, F.array(F.array_min(g))).otherwise(F.col(g)))
-    chosen = F.transform(F.array_distinct(minima), lambda v: F.struct(
+    short = F.when(F.size(g) > 0, F.array(F.array_min(g))).otherwise(F.col(g))
+    return df.withColumn(out, F.coalesce(F.col(m), short)).drop(b, g, m)
+
+
+def unpacked(choices: Column) -> Column:
+    """Packed choices as struct(hash long, place int); hashes have 32 bits, places count code points from 0."""
+    return F.transform(choices, lambda v: F.struct(
         F.shiftright(v, 31).alias("hash"), (F.lit(LAST) - v.bitwiseAND(F.lit(LAST))).cast("int").alias("place")))
-    return df.withColumn(out, chosen).drop(b, g, m)
+
+
+def winnow(df: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW) -> DataFrame:
+    """Add ``out``: the fingerprint of ``text``, an array of struct(hash, place) in order of place."""
+    m = f"__{out}_windows"
+    return minima(df, text, m, k, window).withColumn(out, unpacked(F.array_distinct(m))).drop(m)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard likeness of the hash sets of two fingerprints, 0 to 1; 1 for two empty ones."""
-    x, y = F.array_distinct(a["hash"]), F.array_distinct(b["hash"])
-    both = F.size(F.array_intersect(x, y))
-    either = F.size(x) + F.size(y) - both
+    """Jaccard likeness of the hash sets of two packed fingerprints, 0 to 1; 1 for two empty ones."""
+    x, y = (F.transform(c, lambda v: F.shiftright(v, 31)) for c in (a, b))
+    both, either = F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
@@ -124,25 +135,35 @@ def fingerprints_with_edits(docs: DataFrame, k: int = K, window: int = WINDOW, b
         F.struct(F.floor(last / block).alias("block"), (last + 1).alias("at")))
     spread = (placed.withColumn("to", F.explode(F.when(F.col("n") % block == 0, F.array(own, ahead)).otherwise(F.array(own))))
               .select("to.block", "to.at", "n", "copies", "doc_id", "text").repartition("block"))
-    prints = winnow(spread, "text", "fingerprint", k, window).withColumn("n_chars", F.length("text"))
+    # `same`: so many choices are made by windows that lie before the edit, which the edited text shares
+    untouched = F.greatest(F.expr("n_chars - n_chars div 4") - (k + window - 2), F.lit(0)).cast("int")
+    prints = (minima(spread, "text", "windows", k, window).withColumn("n_chars", F.length("text"))
+              .withColumn("untouched", untouched).withColumn("own", F.array_distinct("windows"))
+              .withColumn("same", F.when(F.col("untouched") > 0, F.array_position("own", F.try_element_at("windows", "untouched"))).otherwise(0).cast("int"))
+              .drop("windows"))
     w = Window.partitionBy("block").orderBy("at")
+    once, more = F.lit(1).cast("bigint"), F.col("copies") - 1
     met = (prints.withColumn("need", F.lag(F.floor(F.col("n_chars") / 4).cast("int")).over(w))
            .withColumn("head", F.expr("substring(text, 1, need)"))
-           .withColumn("next", F.lead(F.struct("head", F.col("fingerprint.hash").alias("hash"))).over(w))
+           .withColumn("next", F.lead(F.struct("head", F.col("own").alias("print"))).over(w))
            .filter((F.col("block") == F.floor(F.col("n") / block)) & (F.col("at") == F.col("n")))
            # a repeated row is followed by its own copy, but for the last
-           .withColumn("self", F.struct(F.expr("substring(text, 1, n_chars div 4)").alias("head"),
-                                        F.col("fingerprint.hash").alias("hash")))
+           .withColumn("self", F.struct(F.expr("substring(text, 1, n_chars div 4)").alias("head"), F.col("own").alias("print")))
            .withColumn("case", F.explode(F.when(F.col("copies") > 1, F.array(
-               F.struct(F.lit(1).cast("bigint").alias("times"), F.col("next").alias("next")),
-               F.struct((F.col("copies") - 1).alias("times"), F.col("self").alias("next"))))
-               .otherwise(F.array(F.struct(F.lit(1).cast("bigint").alias("times"), F.col("next").alias("next"))))))
-           .select("doc_id", "text", "n_chars", "fingerprint", "case.times", "case.next")
-           .withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - n_chars div 4)"), "next.head")))
-    out = winnow(met, "edited", "edited_fingerprint", k, window).select(
-        "times", "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "edited", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next")).alias("near_next"))
+               F.struct(once.alias("times"), F.col("next")), F.struct(more.alias("times"), F.col("self").alias("next"))))
+               .otherwise(F.array(F.struct(once.alias("times"), F.col("next"))))))
+           .select("doc_id", "text", "n_chars", "untouched", "own", "same", "case.times", "case.next")
+           .withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - n_chars div 4)"), "next.head"))
+           .withColumn("tail", F.expr("substring(edited, untouched + 1)")))
+    # the windows that reach into the edit; none where nothing came in its place and some windows stay
+    late = F.when((F.col("untouched") > 0) & (F.length("next.head") == 0), F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.array_distinct("late"), lambda v: v - F.col("untouched")))
+    out = (minima(met, "tail", "late", k, window)
+           .withColumn("new", F.array_distinct(F.concat(F.slice("own", F.lit(1), F.col("same")), late)))
+           .select("times", "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "edited",
+                   unpacked(F.col("own")).alias("fingerprint"), unpacked(F.col("new")).alias("edited_fingerprint"),
+                   likeness(F.col("own"), F.col("new")).alias("near_edited"),
+                   likeness(F.col("own"), F.col("next.print")).alias("near_next")))
     return out.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).drop("time", "times")
 
 
