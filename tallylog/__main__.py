@@ -2,7 +2,6 @@
 
     spark-submit tallylog/__main__.py run --input hdfs:///logs --store hdfs:///reports \\
         [--batch-size 100000] [--query all|1|2|3] [--prefix NASA_access_log_] [--keep-staging]
-        [--stage-table]
     spark-submit tallylog/__main__.py report --store hdfs:///reports --run-id <id>
 """
 
@@ -39,8 +38,6 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--query", choices=sorted(QUERY_CHOICES), default="all")
     run.add_argument("--prefix", default=DEFAULT_PREFIX, help="input file name prefix in a folder")
     run.add_argument("--keep-staging", action="store_true")
-    run.add_argument("--stage-table", action="store_true",
-                     help="stage parsed columns as parquet in the store instead of the executor cache")
     rep = sub.add_parser("report", help="print a stored run")
     rep.add_argument("--store", required=True)
     rep.add_argument("--run-id", required=True)
@@ -49,8 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("tallylog").getOrCreate()
     if args.command == "run":
         run_id = run_report_job(spark, args.input, args.store, batch_size=args.batch_size,
-                                query=args.query, name_prefix=args.prefix, keep_staging=args.keep_staging,
-                                stage_to_table=args.stage_table)
+                                query=args.query, name_prefix=args.prefix, keep_staging=args.keep_staging)
         print(run_id)
         return 0
     try:
@@ -58,9 +54,11 @@ def main(argv: list[str] | None = None) -> int:
     except RunNotFound as exc:
         print(exc)
         return 1
-    for name in ("runs", "q1", "q2", "q3"):
+    for name in ("runs", "q1", "q2", "q3", "batches"):
         print(f"== {name}")
-        parts[name].show(n=10_000, truncate=False)
+        print("\t".join(parts[name].columns))
+        for row in parts[name].toLocalIterator():  # every row, a partition at a time
+            print("\t".join(map(str, row)))
     return 0
 
 

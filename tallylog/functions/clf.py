@@ -140,7 +140,7 @@ def batch_by_lines(ordinal: Column | str, batch_size: int) -> Column:
     """batch_id = floor((ordinal - 1) / N) + 1, for N > 0."""
     if batch_size is None or int(batch_size) <= 0:
         raise ValueError("batch size must be a positive integer")
-    return (int_div(_col(ordinal) - F.lit(1), F.lit(int(batch_size))) + 1).cast("int")
+    return (int_div(_col(ordinal) - F.lit(1), F.lit(int(batch_size))) + 1).cast("bigint")
 
 
 def rate_6dp(numerator: Column | str, denominator: Column | str) -> Column:
@@ -158,3 +158,13 @@ def rate_6dp(numerator: Column | str, denominator: Column | str) -> Column:
     scaled = q + F.when(up, F.lit(1)).otherwise(F.lit(0))
     value = scaled.cast("decimal(20,0)") / F.lit(RATE_SCALE).cast("decimal(7,0)")
     return F.when(d > 0, value.cast("decimal(20,6)"))
+
+
+#: The largest BIGINT: what a sum of bytes that does not fit is reported as.
+MAX_BYTES = (1 << 63) - 1
+
+
+def sum_bytes(value: Column | str) -> Column:
+    """Sum of non-negative BIGINTs; 0 without rows, MAX_BYTES where the sum does not fit."""
+    v = _col(value)
+    return F.coalesce(F.try_sum(v), F.when(F.count(v) > 0, F.lit(MAX_BYTES)), F.lit(0)).cast("bigint")

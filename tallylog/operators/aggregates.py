@@ -21,7 +21,7 @@ def _count() -> F.Column:
 
 
 def _bytes_sum(col: str = "bytes_transferred") -> F.Column:
-    return F.coalesce(F.sum(col), F.lit(0)).cast("bigint")
+    return clf.sum_bytes(col)
 
 
 # A1-A3: per-batch partials -------------------------------------------------
@@ -59,30 +59,19 @@ def path_metrics(parsed: DataFrame, with_hosts: bool = True) -> DataFrame:
 
 
 def q2_top_resources(parsed: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Top k paths by request_count desc, path asc, with rank 1..k."""
-    return rank_by_position(top_k_paths(path_metrics(parsed), k)).select(
-        "rank", "resource_path", "request_count", "total_bytes", "distinct_host_count")
+    """Top k paths by request_count desc, path asc, with rank 1..k.
 
-
-def q2_top_resources_limit_first(parsed: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Q2 with the limit before the distinct count, for data that is cached or staged.
-
-    The ranking needs only request counts, so the top k paths come from plain
-    per-path totals (one small action: at most k rows reach the driver, the
-    report itself). Exact distinct hosts are then counted for those k paths
-    only, instead of shuffling every distinct (path, host) pair of the log.
+    The ranking needs only request counts, so the top k come from plain per-path
+    totals; exact distinct hosts are counted for those k paths only, instead of
+    shuffling every distinct (path, host) pair of the log. ``parsed`` is read twice:
+    give it cached or written (``store.materialize_parsed``).
     """
-    top_rows = top_k_paths(path_metrics(parsed, with_hosts=False), k).collect()
-    paths = [r["resource_path"] for r in top_rows]
+    top = top_k_paths(path_metrics(parsed, with_hosts=False), k)
     hosts = (
-        filter_has_path(parsed).filter(F.col("resource_path").isin(paths))
+        filter_has_path(parsed).join(F.broadcast(top.select("resource_path")), "resource_path", "left_semi")
         .groupBy("resource_path").agg(F.count_distinct("host").alias("distinct_host_count"))
     )
-    top = parsed.sparkSession.createDataFrame(
-        [(r["resource_path"], r["request_count"], r["total_bytes"]) for r in top_rows],
-        "resource_path string, request_count bigint, total_bytes bigint")
-    ranked = rank_by_position(top.join(hosts, "resource_path", "left"))
-    return ranked.select(
+    return rank_by_position(top.join(F.broadcast(hosts), "resource_path", "left")).select(
         "rank", "resource_path", "request_count", "total_bytes",
         F.coalesce(F.col("distinct_host_count"), F.lit(0)).cast("bigint").alias("distinct_host_count"))
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallylog.functions import clf
+
 RUN_STATS_COLUMNS = ["total_records", "num_batches", "avg_batch_size", "malformed_count"]
 
 
 def num_batches(parsed: DataFrame) -> DataFrame:
     """max(batch_id) over parsed records; 0 when there are none."""
-    return parsed.agg(F.coalesce(F.max("batch_id"), F.lit(0)).cast("int").alias("num_batches"))
+    return parsed.agg(F.coalesce(F.max("batch_id"), F.lit(0)).cast("bigint").alias("num_batches"))
 
 
 def avg_batch_size_col(total: F.Column, batches: F.Column) -> F.Column:
@@ -27,7 +29,7 @@ def run_stats(flagged: DataFrame) -> DataFrame:
     valid = F.col("is_valid")
     counts = flagged.agg(
         F.count_if(valid).alias("total_records"),
-        F.coalesce(F.max(F.when(valid, F.col("batch_id"))), F.lit(0)).cast("int").alias("num_batches"),
+        F.coalesce(F.max(F.when(valid, F.col("batch_id"))), F.lit(0)).cast("bigint").alias("num_batches"),
         F.count_if(~valid).alias("malformed_count"),
     )
     return counts.select(
@@ -47,7 +49,7 @@ def batch_summary(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("batch_id").agg(
         F.count_if(valid).alias("record_count"),
         F.count_if(~valid).alias("malformed_count"),
-        F.coalesce(F.sum(F.when(valid, F.col("bytes_transferred"))), F.lit(0)).cast("bigint").alias("total_bytes"),
+        clf.sum_bytes(F.when(valid, F.col("bytes_transferred"))).alias("total_bytes"),
     )
 
 
@@ -56,8 +58,7 @@ class EmptyRunError(RuntimeError):
 
 
 def guard_empty_run(stats_row) -> None:
-    """Refuse a run with no parsed record (almost always a wrong input path)."""
+    """Refuse a run in which nothing was parsed."""
     if stats_row["total_records"] == 0:
         raise EmptyRunError(
-            f"No parsed records (malformed={stats_row['malformed_count']}). "
-            "Check the input path and its contents.")
+            f"the run has no valid record, {stats_row['malformed_count']} lines were malformed; is this the right input?")

@@ -27,13 +27,14 @@ def _zero(col: str) -> F.Column:
 
 def join_top_paths_hosts(path_totals: DataFrame, pairs: DataFrame, k: int = TOP_K) -> DataFrame:
     """Rank the top k of merged path totals, then count their distinct hosts from
-    the distinct (path, host) pairs. Missing host counts become 0."""
+    (path, host) pairs, distinct or not: the pairs of other paths go before any
+    are compared. Missing host counts become 0."""
     top = top_k_paths(path_totals, k)
     counts = (
-        pairs.join(F.broadcast(top.select("resource_path")), "resource_path")
-        .groupBy("resource_path").agg(F.count(F.lit(1)).alias("distinct_host_count"))
+        pairs.join(F.broadcast(top.select("resource_path")), "resource_path", "left_semi")
+        .groupBy("resource_path").agg(F.count_distinct("host").alias("distinct_host_count"))
     )
-    joined = top.join(counts, "resource_path", "left")
+    joined = top.join(F.broadcast(counts), "resource_path", "left")
     return rank_by_position(joined).select(
         "rank", "resource_path", "request_count", "total_bytes", _zero("distinct_host_count"))
 
@@ -76,16 +77,8 @@ def merge_hourly_left(errors: DataFrame, error_hosts: DataFrame, totals: DataFra
 
 
 def combine_stats_rows(**one_row_frames: DataFrame) -> DataFrame:
-    """J6 without a cross join: one-row frames of one column each are stacked with
-    ``unionByName`` (name, value as text) and folded back into a single row by
-    one global aggregate; each column gets its original type back."""
-    names = list(one_row_frames)
-    types = {n: f.schema[0].dataType for n, f in one_row_frames.items()}
-    stacked = reduce(DataFrame.unionByName, [
-        f.select(F.lit(n).alias("_name"), F.col(f.columns[0]).cast("string").alias("_value"))
-        for n, f in one_row_frames.items()
-    ])
-    return stacked.agg(*[
-        F.max(F.when(F.col("_name") == F.lit(n), F.col("_value"))).cast(types[n]).alias(n)
-        for n in names
-    ])
+    """J6 without a cross join: one-row frames of one column each are stacked by name,
+    the others' columns null, and folded into a single row by one global aggregate."""
+    named = [f.withColumnRenamed(f.columns[0], n) for n, f in one_row_frames.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+    return stacked.agg(*[F.max(n).alias(n) for n in one_row_frames])

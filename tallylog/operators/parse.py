@@ -65,13 +65,18 @@ def derive_fields(fields: DataFrame) -> DataFrame:
     )
 
 
+#: The fields that flag_lines derives.
+DERIVED_COLUMNS = [*FIELD_COLUMNS, "log_date", "log_hour", "is_valid", "http_method", "resource_path",
+                   "protocol_version", "status_code", "bytes_transferred"]
+
+
 def with_batch_id(lines: DataFrame, batch_size: int | None) -> DataFrame:
     """B2 when a batch size is given; otherwise B3 (the input file's index, 1 if unknown)."""
     if batch_size is not None:
         return lines.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
     if "file_index" in lines.columns:
-        return lines.withColumn("batch_id", F.col("file_index").cast("int"))
-    return lines.withColumn("batch_id", F.lit(1))
+        return lines.withColumn("batch_id", F.col("file_index").cast("bigint"))
+    return lines.withColumn("batch_id", F.lit(1).cast("bigint"))
 
 
 def evaluate_once(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -82,11 +87,18 @@ def evaluate_once(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*keep, F.inline(F.array(record)))
 
 
-def flag_lines(lines: DataFrame, batch_size: int | None = None, raw: str = "raw") -> DataFrame:
-    """Every input line with its parsed fields, ``batch_id`` and ``is_valid``."""
+def flag_lines(lines: DataFrame, batch_size: int | None = None, raw: str = "raw",
+               columns: list[str] | None = None) -> DataFrame:
+    """Every input line with its parsed fields, ``batch_id`` and ``is_valid``.
+
+    ``columns``: the parsed fields wanted (all unless given; ``is_valid`` always
+    comes). Only these are built: the generator that keeps each line's parse to
+    one evaluation also keeps Catalyst from pruning fields, so ask for what is read.
+    """
     base = with_batch_id(lines, batch_size)
     derived = derive_fields(extract_log_fields(base, raw))
-    return evaluate_once(derived, [c for c in derived.columns if c not in base.columns])
+    wanted = [c for c in DERIVED_COLUMNS if columns is None or c in columns or c == "is_valid"]
+    return evaluate_once(derived.select(*base.columns, *wanted), wanted)
 
 
 def filter_valid(flagged: DataFrame) -> DataFrame:
@@ -99,9 +111,11 @@ def count_malformed(flagged: DataFrame) -> DataFrame:
     return flagged.agg(F.count_if(~F.col("is_valid")).alias("malformed_count"))
 
 
-def parse_access_log(lines: DataFrame, batch_size: int | None = None, raw: str = "raw") -> DataFrame:
-    """Raw lines (``ordinal``, ``raw`` and optionally ``file_index``) to parsed records."""
-    flagged = flag_lines(lines, batch_size, raw)
+def parse_access_log(lines: DataFrame, batch_size: int | None = None, raw: str = "raw",
+                     columns: list[str] | None = None) -> DataFrame:
+    """Raw lines (``ordinal``, ``raw`` and optionally ``file_index``) to parsed records
+    (``columns``: the fields wanted, all unless given)."""
+    flagged = flag_lines(lines, batch_size, raw, columns)
     return project_parsed(filter_valid(flagged))
 
 

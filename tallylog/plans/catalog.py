@@ -20,9 +20,8 @@ from tallylog.operators import batches as B
 from tallylog.operators import joins as J
 from tallylog.operators import parse as P
 from tallylog.operators import ranking as W
-from tallylog.operators.setops import diff_runs
 from tallylog.plans import reports as R
-from tallylog.plans.job import run_report, run_report_job
+from tallylog.plans.job import diff_stored_runs, run_report, run_report_job
 from tallylog.session import staging_path
 from tallylog.sources import ordinals as O
 from tallylog.sources import store as S
@@ -38,7 +37,7 @@ _written: dict[tuple, str] = {}
 
 def _log_files(spark: SparkSession, sf_dir: str, compression: str | None = None) -> str:
     """The derived log as text files (written once per session, data and codec)."""
-    key = (id(spark), sf_dir, compression)
+    key = (spark.sparkContext.applicationId, sf_dir, compression)
     if key not in _written:
         _written[key] = write_event_log(spark, sf_dir, compression=compression)
     return _written[key]
@@ -48,12 +47,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log_lines(spark, sf_dir)
 
 
-def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.flag_lines(lines(spark, sf_dir), BATCH_SIZE)
+def flagged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The flagged lines with the parsed fields named (all unless given)."""
+    return P.flag_lines(lines(spark, sf_dir), BATCH_SIZE, columns=list(columns) or None)
 
 
-def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.project_parsed(P.filter_valid(flagged(spark, sf_dir)))
+def parsed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return P.project_parsed(P.filter_valid(flagged(spark, sf_dir, *columns)))
+
+
+def staged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The parsed records, written once for a query that reads them several times."""
+    return S.materialize_parsed(parsed(spark, sf_dir, *columns), staging_path(spark, "parsed"))
 
 
 def _file_lines(spark: SparkSession, sf_dir: str, compression: str | None = None) -> DataFrame:
@@ -83,7 +88,7 @@ def scan_gzip_lines(spark, sf_dir):
 
 def decode_latin1(spark, sf_dir):
     files = T.list_inputs(spark, _log_files(spark, sf_dir), DAY_PREFIX)
-    return spark.read.text([f.path for f in files]).select(
+    return spark.read.text([T.escape_glob(f.path) for f in files]).select(
         T.decode_latin1(F.col("value")).alias("raw")).withColumn("n_chars", F.length("raw"))
 
 
@@ -102,7 +107,7 @@ def tag_source_file(spark, sf_dir):
 
 def write_results(spark, sf_dir):
     store_root = staging_path(spark, "store")
-    S.write_results(R.direct_reports(parsed(spark, sf_dir), "1"), store_root, "run-s6")
+    S.write_results(R.direct_reports(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred"), "1"), store_root, "run-s6")
     return S.read_table(spark, store_root, "q1_daily_traffic").filter(F.col("run_id") == "run-s6").drop("run_id")
 
 
@@ -130,7 +135,10 @@ def write_line_batches(spark, sf_dir):
 
 
 def check_result_keys(spark, sf_dir):
-    store_root, _ = _job(spark, sf_dir)
+    """A good run, and a bad one: each q1 row twice, and no row in ``runs``."""
+    store_root, _ = _job(spark, sf_dir, query="1")
+    q1 = A.q1_daily_traffic(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred"))
+    S.write_results({"q1": q1.unionByName(q1)}, store_root, "bad-run")
     return S.check_result_keys(spark, store_root)
 
 
@@ -142,32 +150,32 @@ def extract_log_fields(spark, sf_dir):
 
 
 def filter_valid(spark, sf_dir):
-    return P.filter_valid(flagged(spark, sf_dir)).select(
+    return P.filter_valid(flagged(spark, sf_dir, *P.FIELD_COLUMNS)).select(
         "ordinal", "host", "timestamp_raw", "request_raw", "status_raw", "bytes_raw")
 
 
 def count_malformed(spark, sf_dir):
-    return P.count_malformed(flagged(spark, sf_dir))
+    return P.count_malformed(flagged(spark, sf_dir, "is_valid"))
 
 
 def derive_log_date(spark, sf_dir):
-    return flagged(spark, sf_dir).select("ordinal", "log_date")
+    return flagged(spark, sf_dir, "log_date").select("ordinal", "log_date")
 
 
 def derive_log_hour(spark, sf_dir):
-    return flagged(spark, sf_dir).select("ordinal", "log_hour")
+    return flagged(spark, sf_dir, "log_hour").select("ordinal", "log_hour")
 
 
 def split_request(spark, sf_dir):
-    return flagged(spark, sf_dir).select("ordinal", "http_method", "resource_path", "protocol_version")
+    return flagged(spark, sf_dir, "http_method", "resource_path", "protocol_version").select("ordinal", "http_method", "resource_path", "protocol_version")
 
 
 def normalize_bytes(spark, sf_dir):
-    return flagged(spark, sf_dir).select("ordinal", "bytes_transferred")
+    return flagged(spark, sf_dir, "bytes_transferred").select("ordinal", "bytes_transferred")
 
 
 def cast_status(spark, sf_dir):
-    return P.filter_valid(flagged(spark, sf_dir)).select("ordinal", "status_code")
+    return P.filter_valid(flagged(spark, sf_dir, "status_code")).select("ordinal", "status_code")
 
 
 def parse_access_log(spark, sf_dir):
@@ -175,11 +183,11 @@ def parse_access_log(spark, sf_dir):
 
 
 def filter_has_path(spark, sf_dir):
-    return P.filter_has_path(parsed(spark, sf_dir)).select("ordinal", "resource_path", "host")
+    return P.filter_has_path(parsed(spark, sf_dir, "resource_path", "host")).select("ordinal", "resource_path", "host")
 
 
 def filter_errors(spark, sf_dir):
-    return P.filter_errors(parsed(spark, sf_dir)).select("ordinal", "log_date", "log_hour", "status_code", "host")
+    return P.filter_errors(parsed(spark, sf_dir, "log_date", "log_hour", "status_code", "host")).select("ordinal", "log_date", "log_hour", "status_code", "host")
 
 
 def project_result_schema(spark, sf_dir):
@@ -201,27 +209,33 @@ def batch_by_file(spark, sf_dir):
 
 
 def batch_from_file_name(spark, sf_dir):
-    return _file_lines(spark, sf_dir).select("raw", O.batch_from_file_name().alias("batch_id"))
+    """Lines of files batch_NNN.log, but for every third batch, whose file has another name and index 7."""
+    batched = P.with_batch_id(lines(spark, sf_dir), BATCH_SIZE)
+    name = F.concat(F.lit("/logs/"), F.when(F.col("batch_id") % 3 == 0, "other_").otherwise("batch_"),
+                    F.lpad(F.col("batch_id").cast("string"), 3, "0"), F.lit(".log"))
+    return batched.select("ordinal", O.batch_from_file_name(name, F.lit(7)).alias("batch_id"))
 
 
 def num_batches(spark, sf_dir):
-    return B.num_batches(parsed(spark, sf_dir))
+    return B.num_batches(parsed(spark, sf_dir, "is_valid"))
 
 
 def avg_batch_size(spark, sf_dir):
-    return B.avg_batch_size(flagged(spark, sf_dir))
+    return B.avg_batch_size(flagged(spark, sf_dir, "is_valid"))
 
 
 def run_stats(spark, sf_dir):
-    return B.run_stats(flagged(spark, sf_dir))
+    return B.run_stats(flagged(spark, sf_dir, "is_valid"))
 
 
 def batch_summary(spark, sf_dir):
-    return B.batch_summary(flagged(spark, sf_dir))
+    """The batch table that a run stores."""
+    store_root, run_id = _job(spark, sf_dir, query="1")
+    return S.read_run_results(spark, store_root, run_id)["batches"]
 
 
 def guard_empty_run(spark, sf_dir):
-    stats = B.run_stats(flagged(spark, sf_dir))
+    stats = B.run_stats(flagged(spark, sf_dir, "is_valid"))
     B.guard_empty_run(stats.first())
     return stats
 
@@ -229,100 +243,102 @@ def guard_empty_run(spark, sf_dir):
 # ---------------------------------------------------------------- A: aggregations
 
 def q1_partial(spark, sf_dir):
-    return A.q1_partial(parsed(spark, sf_dir))
+    return A.q1_partial(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred"))
 
 
 def q2_partial(spark, sf_dir):
-    return A.q2_partial(parsed(spark, sf_dir))
+    return A.q2_partial(parsed(spark, sf_dir, "resource_path", "bytes_transferred"))
 
 
 def q3_partial(spark, sf_dir):
-    return A.q3_partial(parsed(spark, sf_dir))
+    return A.q3_partial(parsed(spark, sf_dir, "log_date", "log_hour", "status_code"))
 
 
 def q1_daily_traffic(spark, sf_dir):
-    return A.q1_daily_traffic(parsed(spark, sf_dir))
+    return A.q1_daily_traffic(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred"))
 
 
 def q2_top_resources(spark, sf_dir):
-    return A.q2_top_resources(parsed(spark, sf_dir))
+    return A.q2_top_resources(staged(spark, sf_dir, "resource_path", "host", "bytes_transferred"))
 
 
 def q3_hourly_errors(spark, sf_dir):
-    return A.q3_hourly_errors(parsed(spark, sf_dir))
+    return A.q3_hourly_errors(parsed(spark, sf_dir, "log_date", "log_hour", "status_code", "host"))
 
 
 def q1_merge_partials(spark, sf_dir):
-    return R.staged_q1(parsed(spark, sf_dir))
+    return R.staged_q1(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred"))
 
 
 def q2_merge_partials(spark, sf_dir):
-    return A.q2_merge_partials(A.q2_partial(parsed(spark, sf_dir)))
+    return A.q2_merge_partials(A.q2_partial(parsed(spark, sf_dir, "resource_path", "bytes_transferred")))
 
 
 def q3_merge_partials(spark, sf_dir):
-    return A.q3_merge_partials(A.q3_partial(parsed(spark, sf_dir)))
+    return A.q3_merge_partials(A.q3_partial(parsed(spark, sf_dir, "log_date", "log_hour", "status_code")))
 
 
 def q2_distinct_pairs(spark, sf_dir):
-    return A.q2_distinct_pairs(parsed(spark, sf_dir))
+    return A.q2_distinct_pairs(parsed(spark, sf_dir, "resource_path", "host"))
 
 
 def q3_distinct_pairs(spark, sf_dir):
-    return A.q3_distinct_pairs(parsed(spark, sf_dir))
+    return A.q3_distinct_pairs(parsed(spark, sf_dir, "log_date", "log_hour", "status_code", "host"))
 
 
 def distinct_hosts_by_path(spark, sf_dir):
-    return A.distinct_hosts_by_path(parsed(spark, sf_dir))
+    return A.distinct_hosts_by_path(parsed(spark, sf_dir, "resource_path", "host"))
 
 
 def distinct_error_hosts_by_hour(spark, sf_dir):
-    return A.distinct_error_hosts_by_hour(parsed(spark, sf_dir))
+    return A.distinct_error_hosts_by_hour(parsed(spark, sf_dir, "log_date", "log_hour", "status_code", "host"))
 
 
 def totals_by_hour(spark, sf_dir):
-    return A.totals_by_hour(parsed(spark, sf_dir))
+    return A.totals_by_hour(parsed(spark, sf_dir, "log_date", "log_hour"))
 
 
 def errors_by_hour(spark, sf_dir):
-    return A.errors_by_hour(parsed(spark, sf_dir))
+    return A.errors_by_hour(parsed(spark, sf_dir, "log_date", "log_hour", "status_code"))
 
 
 def total_records(spark, sf_dir):
-    return A.total_records(parsed(spark, sf_dir))
+    return A.total_records(parsed(spark, sf_dir, "is_valid"))
 
 
 def error_rate(spark, sf_dir):
-    return A.error_rate(A.q3_merge_partials(A.q3_partial(parsed(spark, sf_dir))))
+    return A.error_rate(A.q3_merge_partials(A.q3_partial(parsed(spark, sf_dir, "log_date", "log_hour", "status_code"))))
 
 
 # ---------------------------------------------------------------- J: joins
 
 def join_top_paths_hosts(spark, sf_dir):
-    return R.staged_q2(parsed(spark, sf_dir))
+    return R.staged_q2(staged(spark, sf_dir, "resource_path", "host", "bytes_transferred"))
 
 
 def join_errors_hosts(spark, sf_dir):
-    return R.staged_q3(parsed(spark, sf_dir))
+    return R.staged_q3(staged(spark, sf_dir, "log_date", "log_hour", "status_code", "host"))
 
 
 def join_metrics_hosts(spark, sf_dir):
-    p = parsed(spark, sf_dir)
+    p = staged(spark, sf_dir, "resource_path", "host", "bytes_transferred")
     return J.join_metrics_hosts(A.path_metrics(p, with_hosts=False), A.distinct_hosts_by_path(p))
 
 
 def join_hourly_three_way(spark, sf_dir):
-    p = parsed(spark, sf_dir)
+    p = staged(spark, sf_dir, "log_date", "log_hour", "status_code", "host")
     return J.join_hourly_three_way(A.errors_by_hour(p), A.distinct_error_hosts_by_hour(p), A.totals_by_hour(p))
 
 
 def merge_hourly_left(spark, sf_dir):
-    p = parsed(spark, sf_dir)
-    return J.merge_hourly_left(A.errors_by_hour(p), A.distinct_error_hosts_by_hour(p), A.totals_by_hour(p))
+    """Totals are given before noon and hosts from six o'clock on, so both defaults occur."""
+    p = staged(spark, sf_dir, "log_date", "log_hour", "status_code", "host")
+    return J.merge_hourly_left(A.errors_by_hour(p), A.distinct_error_hosts_by_hour(p).filter("log_hour >= 6"),
+                               A.totals_by_hour(p).filter("log_hour < 12"))
 
 
 def cross_join_stats(spark, sf_dir):
-    f = flagged(spark, sf_dir)
+    f = S.materialize_parsed(flagged(spark, sf_dir, "is_valid").select("batch_id", "is_valid"), staging_path(spark, "flags"))
     valid = P.filter_valid(f)
     combined = J.combine_stats_rows(
         total_records=A.total_records(valid),
@@ -338,25 +354,25 @@ def cross_join_stats(spark, sf_dir):
 # ---------------------------------------------------------------- W: sort, rank
 
 def sort_q1(spark, sf_dir):
-    return W.sort_q1(A.q1_daily_traffic(parsed(spark, sf_dir)))
+    return W.sort_q1(A.q1_daily_traffic(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred")))
 
 
 def top_k_paths(spark, sf_dir):
-    return W.top_k_paths(A.path_metrics(parsed(spark, sf_dir), with_hosts=False))
+    return W.top_k_paths(A.path_metrics(parsed(spark, sf_dir, "resource_path", "bytes_transferred"), with_hosts=False))
 
 
 def rank_by_position(spark, sf_dir):
-    top = W.top_k_paths(A.path_metrics(parsed(spark, sf_dir), with_hosts=False))
+    top = W.top_k_paths(A.path_metrics(parsed(spark, sf_dir, "resource_path", "bytes_transferred"), with_hosts=False))
     return W.rank_by_position(top).select("rank", "resource_path", "request_count")
 
 
 def dense_rank_paths(spark, sf_dir):
-    return W.dense_rank_paths(A.path_metrics(parsed(spark, sf_dir), with_hosts=False)).select(
+    return W.dense_rank_paths(A.path_metrics(parsed(spark, sf_dir, "resource_path", "bytes_transferred"), with_hosts=False)).select(
         "rank", "resource_path", "request_count")
 
 
 def sort_q3(spark, sf_dir):
-    return W.sort_q3(A.q3_hourly_errors(parsed(spark, sf_dir)))
+    return W.sort_q3(A.q3_hourly_errors(parsed(spark, sf_dir, "log_date", "log_hour", "status_code", "host")))
 
 
 def sort_q2_by_rank(spark, sf_dir):
@@ -367,8 +383,11 @@ def sort_q2_by_rank(spark, sf_dir):
 # ---------------------------------------------------------------- U, K
 
 def diff_runs_q3(spark, sf_dir):
-    p = parsed(spark, sf_dir)
-    return diff_runs(A.q3_hourly_errors(p), R.staged_q3(p))
+    """Two stored runs, the second over the days 01 to 09 only."""
+    root, store_root = _log_files(spark, sf_dir), staging_path(spark, "store")
+    first, second = (run_report_job(spark, root, store_root, batch_size=BATCH_SIZE, query="3", name_prefix=prefix)
+                     for prefix in (DAY_PREFIX, f"{DAY_PREFIX}2024-01-0"))
+    return diff_stored_runs(spark, store_root, first, second, "q3")
 
 
 def run_report_job_q2(spark, sf_dir):

@@ -1,9 +1,9 @@
 """The job surface (K1, K2).
 
-``run_report_job`` is what a ``spark-submit`` entry point calls: read the
-inputs, number and batch the lines, parse once, compute the chosen reports,
-write them, then write the ``runs`` row. Only the one-row run statistics come
-back to the driver.
+``run_report_job`` is what a ``spark-submit`` entry point calls: read the inputs,
+parse once into a staged table, take the run statistics and the batches from it,
+compute and write the chosen reports, then write the ``runs`` row. Only the one-row
+run statistics come back to the driver.
 """
 
 from __future__ import annotations
@@ -16,52 +16,38 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallylog.functions import clf
 from tallylog.operators import aggregates as A
 from tallylog.operators import batches as B
-from tallylog.functions import clf
 from tallylog.operators.parse import flag_lines, project_parsed
-from tallylog.plans.reports import CACHED_BUILDERS, chosen
+from tallylog.operators.setops import diff_runs
+from tallylog.plans.reports import BUILDERS, chosen
 from tallylog.sources import store
-from tallylog.sources.ordinals import (
-    SPLIT_COLUMNS, line_batch_stats, number_with, split_offsets, write_split_table,
-)
-from tallylog.sources.text import DEFAULT_PREFIX, read_log_lines
+from tallylog.sources.ordinals import SPLIT_COLUMNS, file_batch_stats, line_batch_stats, number_with, write_split_table
+from tallylog.sources.text import DEFAULT_PREFIX, files_frame, list_inputs, scan_spread
 
-# Columns each report reads; the statistics read is_valid and batch_id.
+# Columns each report reads; the statistics and batches read is_valid and bytes.
 REPORT_INPUTS = {
     "q1": ["log_date", "status_code", "bytes_transferred"],
     "q2": ["resource_path", "host", "bytes_transferred"],
     "q3": ["log_date", "log_hour", "status_code", "host"],
 }
-_RECORD_COLUMNS = ["is_valid", "batch_id", "host", "timestamp_raw", "log_date", "log_hour",
-                   "http_method", "resource_path", "protocol_version", "status_code", "bytes_transferred"]
-_KEPT_COLUMNS = ["is_valid", "ordinal", "batch_id", "host", "timestamp_raw", "log_date", "log_hour",
-                 "http_method", "resource_path", "protocol_version", "status_code", "bytes_transferred"]
-
-
-def staged_columns(query: str, keep_staging: bool, numbered: bool = False) -> list[str]:
-    """What to cache: the whole record when it is kept, else only what is read; plus
-    the split keys and row ids when lines are to be numbered from the cache."""
-    if keep_staging:
-        cols = list(_RECORD_COLUMNS)
-    else:
-        needed = {"is_valid", "batch_id"}
-        for q in chosen(query):
-            needed.update(REPORT_INPUTS[q])
-        cols = [c for c in _RECORD_COLUMNS if c in needed]
-    return cols + (SPLIT_COLUMNS if numbered else [])
-
-
-def write_reports_concurrently(parsed: DataFrame, query: str, store_root: str, run_id: str) -> None:
-    """Each chosen report is built and written by its own thread: independent Spark
-    jobs over the same cached data, so their small final stages (and Q2's top-k
-    step) overlap instead of queueing."""
-    def build_and_write(q: str) -> None:
-        store.write_results({q: CACHED_BUILDERS[q](parsed)}, store_root, run_id)
-
-    queries = chosen(query)
-    with ThreadPoolExecutor(max_workers=len(queries)) as pool:
-        for f in [pool.submit(build_and_write, q) for q in queries]:
+_RECORD_COLUMNS = ["host", "timestamp_raw", "log_date", "log_hour", "http_method", "resource_path",
+                   "protocol_version", "status_code", "bytes_transferred"]
+
+
+def staged_columns(query: str, keep_staging: bool) -> list[str]:
+    """Which parsed fields to stage: the whole record when it is kept, else only what is read."""
+    needed = {"bytes_transferred"}.union(*[REPORT_INPUTS[q] for q in chosen(query)])
+    return [c for c in _RECORD_COLUMNS if keep_staging or c in needed]
+
+
+def write_reports_concurrently(parsed: DataFrame, batches: DataFrame, query: str, store_root: str, run_id: str) -> None:
+    """The batches and each chosen report are built and written by a thread of their own:
+    independent Spark jobs over the same staged data, so their small final stages overlap."""
+    builds = {q: (lambda q=q: BUILDERS[q](parsed)) for q in chosen(query)} | {"batches": lambda: batches}
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        for f in [pool.submit(lambda q=q, b=b: store.write_results({q: b()}, store_root, run_id)) for q, b in builds.items()]:
             f.result()
 
 
@@ -88,16 +74,6 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def with_line_batches(held: DataFrame, offsets: DataFrame, batch_size: int | None) -> DataFrame:
-    """Ordinals (and line batches when a size is given) for lines already held with
-    their split keys, from the split table built out of that held copy, so the
-    text is scanned once."""
-    numbered = number_with(held, offsets)
-    if batch_size is not None:
-        numbered = numbered.withColumn("batch_id", clf.batch_by_lines("ordinal", batch_size))
-    return numbered
-
-
 def run_report_job(
     spark: SparkSession,
     input_path,
@@ -107,7 +83,6 @@ def run_report_job(
     query: str = "all",
     name_prefix: str = DEFAULT_PREFIX,
     keep_staging: bool = False,
-    stage_to_table: bool = False,
     pipeline: str = "spark",
 ) -> str:
     """K1: one full run; returns its ``run_id``.
@@ -115,58 +90,59 @@ def run_report_job(
     ``batch_size`` None means one batch per input file. ``query`` is ``1``,
     ``2``, ``3`` or ``all``; only the chosen reports are computed and written.
     The clock starts before the first read and stops after the last report is
-    written (D16). The parsed columns are cached on the executors; with
-    ``stage_to_table`` they are written as parquet under the store's staging
-    folder instead (one write; a lost executor then costs no recomputation, and
-    the folder stays like kept staging).
+    written (D16). The text is read once: the parsed columns that the run reads are
+    written, with their split keys and row ids, under the store's staging folder, and
+    everything else comes from there. That folder is dropped at the end, also of a
+    run that fails, unless ``keep_staging``.
     """
     if batch_size is not None and int(batch_size) <= 0:
         raise ValueError("batch size must be a positive integer")
-    numbered = batch_size is not None or keep_staging
-    columns = staged_columns(query, keep_staging, numbered)  # also validates the choice
+    columns = staged_columns(query, keep_staging)  # also validates the choice
     run_id = uuid.uuid4().hex
+    staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
     started_at = _now()
     t0 = time.monotonic()
 
-    lines, _ = read_log_lines(spark, input_path, name_prefix)
-    # One scan of the text: parse, then cache what the reports, the statistics and
-    # (in line-batch mode) the numbering read.
-    staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
-    staged = store.materialize_parsed(
-        flag_lines(lines).select(*columns), f"{staging_root}/staged" if stage_to_table else None)
+    files = list_inputs(spark, input_path, name_prefix)
+    flagged = flag_lines(scan_spread(spark, files), columns=columns)
+    kept = False
     try:
-        # The split table is built from the cache (and materializes it). In line-batch
-        # mode the statistics come from it, one row per split; it is written (and
-        # counted) only when a numbering join will read it, for kept staging. In
-        # file-batch mode the statistics are one aggregate over the cache.
-        offsets = write_split_table(staged) if keep_staging else None
-        if batch_size is not None:
-            splits = offsets if offsets is not None else split_offsets(staged)
-            stats = line_batch_stats(splits, batch_size).first()
-        else:
-            stats = B.run_stats(staged).first()
+        staged = store.materialize_parsed(flagged.select("is_valid", *columns, *SPLIT_COLUMNS), f"{staging_root}/parsed")
+        # one row a split: the file table meets this, not the lines
+        offsets = write_split_table(staged, files_frame(spark, files), f"{staging_root}/splits")
+        stats = (line_batch_stats(offsets, batch_size) if batch_size is not None else file_batch_stats(offsets)).first()
         B.guard_empty_run(stats)
-        # the reports read no batch, so they read the cache without the numbering join
+        numbered = number_with(staged, offsets)
+        batch_id = clf.batch_by_lines("ordinal", batch_size) if batch_size is not None else F.col("file_index").cast("bigint")
+        numbered = numbered.withColumn("batch_id", batch_id)
+        # the reports read no batch, so they read the staged records without the numbering join
         parsed = project_parsed(staged.filter(F.col("is_valid")))
-        write_reports_concurrently(parsed, query, store_root, run_id)
-        if keep_staging:
-            work = with_line_batches(staged, offsets, batch_size)
-            kept = store.materialize_parsed(work.select(*_KEPT_COLUMNS), f"{staging_root}/flagged")
-            write_kept_stages(project_parsed(kept.filter(F.col("is_valid"))), staging_root)
+        write_reports_concurrently(parsed, B.batch_summary(numbered), query, store_root, run_id)
         runtime_ms = int((time.monotonic() - t0) * 1000)
+        finished_at = _now()
+        if keep_staging:
+            flagged_path = f"{staging_root}/flagged"
+            rows = store.materialize_parsed(numbered.select("is_valid", "ordinal", "batch_id", *columns), flagged_path)
+            write_kept_stages(project_parsed(rows.filter(F.col("is_valid"))), staging_root)
         store.write_run_metadata(spark, store_root, {
             "run_id": run_id, "pipeline": pipeline, "query_name": str(query), "status": "completed",
-            "started_at": started_at, "finished_at": _now(), "runtime_ms": runtime_ms,
+            "started_at": started_at, "finished_at": finished_at, "runtime_ms": runtime_ms,
             "batch_size": int(batch_size) if batch_size is not None else 0,
             "num_batches": int(stats["num_batches"]), "avg_batch_size": float(stats["avg_batch_size"]),
             "total_records": int(stats["total_records"]), "malformed_count": int(stats["malformed_count"]),
         })
+        kept = keep_staging
     finally:
-        if not stage_to_table:
-            staged.unpersist()
+        if not kept:
+            store.drop_staging(spark, staging_root)
     return run_id
 
 
 def run_report(spark: SparkSession, store_root: str, run_id: str) -> dict[str, DataFrame]:
-    """K2: the run's metadata (with query_name) and its three reports, in report order."""
+    """K2: the run's metadata (with query_name), its three reports and its batches, in report order."""
     return store.read_run_results(spark, store_root, run_id)
+
+
+def diff_stored_runs(spark: SparkSession, store_root: str, first: str, second: str, query: str) -> DataFrame:
+    """U1 by run id: the rows of a report (``q1``, ``q2`` or ``q3``) that only one of two stored runs has."""
+    return diff_runs(run_report(spark, store_root, first)[query], run_report(spark, store_root, second)[query])

@@ -26,18 +26,11 @@ def chosen(query: str) -> list[str]:
         raise ValueError(f"query must be one of {sorted(QUERY_CHOICES)}, got {query!r}") from None
 
 
-def direct_reports(parsed: DataFrame, query: str = "all") -> dict[str, DataFrame]:
-    builders = {"q1": A.q1_daily_traffic, "q2": A.q2_top_resources, "q3": A.q3_hourly_errors}
-    return {q: builders[q](parsed) for q in chosen(query)}
-
+BUILDERS = {"q1": A.q1_daily_traffic, "q2": A.q2_top_resources, "q3": A.q3_hourly_errors}
 
-CACHED_BUILDERS = {"q1": A.q1_daily_traffic, "q2": A.q2_top_resources_limit_first, "q3": A.q3_hourly_errors}
 
-
-def cached_reports(staged: DataFrame, query: str = "all") -> dict[str, DataFrame]:
-    """The reports over data that is cached or written (the job): Q2 takes its limit
-    before the distinct count, which pays once a second pass is a cache scan."""
-    return {q: CACHED_BUILDERS[q](staged) for q in chosen(query)}
+def direct_reports(parsed: DataFrame, query: str = "all") -> dict[str, DataFrame]:
+    return {q: BUILDERS[q](parsed) for q in chosen(query)}
 
 
 def staged_q1(parsed: DataFrame) -> DataFrame:
@@ -45,7 +38,7 @@ def staged_q1(parsed: DataFrame) -> DataFrame:
 
 
 def staged_q2(parsed: DataFrame, k: int = TOP_K) -> DataFrame:
-    return J.join_top_paths_hosts(A.q2_merge_partials(A.q2_partial(parsed)), A.q2_distinct_pairs(parsed), k)
+    return J.join_top_paths_hosts(A.q2_merge_partials(A.q2_partial(parsed)), A.filter_has_path(parsed).select("resource_path", "host"), k)
 
 
 def staged_q3(parsed: DataFrame) -> DataFrame:

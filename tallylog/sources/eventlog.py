@@ -88,21 +88,9 @@ def _line(e: Column) -> Column:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that arrives in fewer partitions than the cluster has
-    cores (one small parquet file is one task); a source that is already wide,
-    as any large one is, is left alone and costs no shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # sessions without an RDD view (Spark Connect): leave as is
-        return df
-    return df.repartition(cores) if narrow else df
-
-
 def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ordinal BIGINT, raw STRING)``: one log line per event, ordinal = event_id + 1."""
-    e = spread(events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value"))
+    e = events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value")
     return e.select(
         (F.col("event_id") + 1).alias("ordinal"),
         _line(e).alias("raw"),
@@ -113,11 +101,10 @@ def write_event_log(
     spark: SparkSession,
     sf_dir: str,
     compression: str | None = None,
-    files_per_day: int = 1,
 ) -> str:
     """Write the derived log as text under a fresh folder in the shared folder.
 
-    Layout: ``<root>/day=DD/part-*.txt[.gz]``, one entry per calendar day of
+    Layout: ``<root>/day=YYYY-MM-DD/part-*.txt[.gz]``, one entry per calendar day of
     ``events.ts``, lines in ordinal order (``ts`` grows with ``event_id``).
     Returns ``<root>``. Read it back with ``name_prefix="day="``.
     """
@@ -125,12 +112,11 @@ def write_event_log(
     e = events(spark, sf_dir)
     lines = e.select(
         (F.col("event_id") + 1).alias("ordinal"),
-        F.substring(_ts_text(), 9, 2).alias("day"),
+        F.substring(_ts_text(), 1, 10).alias("day"),
         _line(e).alias("raw"),
     )
-    n_days = 31
     writer = (
-        lines.repartitionByRange(n_days * max(1, files_per_day), "ordinal")
+        lines.repartitionByRange("ordinal")
         .sortWithinPartitions("day", "ordinal")
         .select("day", "raw")
         .write.mode("errorifexists")

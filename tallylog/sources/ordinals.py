@@ -1,28 +1,18 @@
 """Line ordinals and batches taken from files.
 
-``assign_ordinal`` numbers every line 1..N over all inputs in input order with
-no global sort and without moving the lines:
-
-1. each line carries ``row_id`` from the scan (consecutive inside one split);
-2. one aggregate gives, per split (file_order, block_start), its first row_id
-   and its line count: one small row per split;
-3. running sums give the lines before each split: within a file over its
-   splits (a window partitioned by file, so spread over tasks), and across
-   files over the per-file totals (one row per input file, the same list the
-   driver already holds from the listing). That table is written as parquet
-   to the shared folder (one job, and the lineage is cut there), counted, and
-   broadcast when the count is under ``MAX_BROADCAST_SPLITS``;
-4. ordinal = lines_before + (row_id - first_row_id) + 1.
-
-The scan runs twice (steps 2 and 4), which is what any exact numbering of a
-distributed text needs; the lines themselves are never shuffled.
-
-Both scans must cut and pack the files into the same partitions. Spark sizes
-splits from ``spark.sql.files.minPartitionNum``, or when that is unset from the
-cores alive at planning time, which changes when executors are lost or added
-between the two scans. ``pin_split_planning`` therefore fixes that setting
-(only when the session leaves it unset) before the first scan. A planned scan
-keeps its partitions, so retried tasks read the same splits again.
+Every line is numbered 1..N over all inputs in input order with no global sort and
+without moving the lines for it:
+
+1. each line carries ``row_id`` from the scan (consecutive inside one split), and
+   the scanned lines are written once (the job: its staged records), so that row
+   ids and splits cannot change afterwards, whatever executors are lost;
+2. one aggregate gives, per split (file_path, block_start), its first row_id and
+   its line counts: one small row per split;
+3. the file table (one row per input file) is joined to that split table, not to
+   the lines, and running sums give the lines before each split: within a file, and
+   across files by blocks of files, so no window takes all files at once;
+4. ordinal = lines_before + (row_id - first_row_id) + 1, by an equi-join of the lines
+   with the split table, whose plan Spark picks from the measured size.
 """
 
 from __future__ import annotations
@@ -33,99 +23,102 @@ from pyspark.sql import functions as F
 from tallylog.functions import clf
 from tallylog.session import staging_path
 
-# Above this many splits the split table is joined without a broadcast hint
-# (one row is three numbers, so 5M rows stay near 100 MB).
-MAX_BROADCAST_SPLITS = 5_000_000
+SPLIT_KEYS = ["file_path", "block_start"]
+# Input files whose totals are summed in one window.
+FILES_IN_BLOCK = 1024
 
-SPLIT_KEYS = ["file_order", "block_start"]
 
-
-def split_offsets(lines: DataFrame) -> DataFrame:
-    """Per split: first row_id, line count, and the number of lines before it.
+def split_offsets(lines: DataFrame, file_table: DataFrame) -> DataFrame:
+    """Per split: its file, first row_id, line counts, and the number of lines before it.
 
     When the lines carry ``is_valid`` (parsed lines), each split also records its
     valid-line count and the largest row_id of a valid line, from which the run
-    statistics follow without another pass over the lines (``line_batch_stats``).
+    statistics follow without another pass over the lines.
     """
     aggs = [F.min("row_id").alias("first_row_id"), F.count(F.lit(1)).alias("n_lines")]
-    if "is_valid" in lines.columns:
+    flagged = "is_valid" in lines.columns
+    if flagged:
         aggs += [F.count_if(F.col("is_valid")).alias("n_valid"),
                  F.max(F.when(F.col("is_valid"), F.col("row_id"))).alias("last_valid_row_id")]
-    splits = lines.groupBy(*SPLIT_KEYS).agg(*aggs)
-    in_file = Window.partitionBy("file_order").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("before_in_file", F.coalesce(F.sum("n_lines").over(in_file), F.lit(0)))
-    across = Window.orderBy("file_order").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy(*SPLIT_KEYS).agg(*aggs).join(file_table, "file_path")
+
+    def before(partition: str, order: str, value: str) -> Column:
+        w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+    splits = splits.withColumn("before_in_file", before("file_path", "block_start", "n_lines"))
     files = (splits.groupBy("file_order").agg(F.sum("n_lines").alias("file_lines"))
-             .withColumn("before_file", F.coalesce(F.sum("file_lines").over(across), F.lit(0))))
-    extra = ["n_valid", "last_valid_row_id"] if "is_valid" in lines.columns else []
-    return splits.join(files.select("file_order", "before_file"), "file_order").select(
-        *SPLIT_KEYS, "first_row_id", "n_lines", *extra,
+             .withColumn("block", clf.int_div("file_order", F.lit(FILES_IN_BLOCK)))
+             .withColumn("before_in_block", before("block", "file_order", "file_lines")))
+    blocks = (files.groupBy("block").agg(F.sum("file_lines").alias("block_lines")).withColumn("all", F.lit(0))
+              .withColumn("before_block", before("all", "block", "block_lines")).select("block", "before_block"))
+    starts = files.join(blocks, "block").select("file_order", (F.col("before_block") + F.col("before_in_block")).alias("before_file"))
+    extra = ["n_valid", "last_valid_row_id"] if flagged else []
+    return splits.join(starts, "file_order").select(
+        *SPLIT_KEYS, "file_order", "file_index", "first_row_id", "n_lines", *extra,
         (F.col("before_file") + F.col("before_in_file")).cast("bigint").alias("lines_before"),
     )
 
 
-def write_split_table(lines: DataFrame) -> DataFrame:
-    """The split table written as parquet to the shared folder (cutting the lineage
-    there) and read back."""
+def write_split_table(lines: DataFrame, file_table: DataFrame, path: str | None = None) -> DataFrame:
+    """The split table written as parquet (under the shared folder unless a path is
+    given), where the lineage is cut, and read back."""
     spark = lines.sparkSession
-    path = staging_path(spark, "split-offsets")
-    split_offsets(lines).write.mode("errorifexists").parquet(path)
+    path = path or staging_path(spark, "split-offsets")
+    split_offsets(lines, file_table).write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
-def line_batch_stats(offsets: DataFrame, batch_size: int) -> DataFrame:
-    """B7 for line batches, from the split table alone (one row per split):
-    parsed records, malformed lines, and num_batches = the batch of the largest
-    ordinal held by a parsed record. Same row as ``run_stats`` over the lines."""
-    last_valid = F.col("lines_before") + F.col("last_valid_row_id") - F.col("first_row_id") + F.lit(1)
+def _stats(offsets: DataFrame, batches: Column) -> DataFrame:
     counts = offsets.agg(
         F.coalesce(F.sum("n_valid"), F.lit(0)).cast("bigint").alias("total_records"),
-        F.coalesce(F.max(clf.batch_by_lines(last_valid, batch_size)), F.lit(0)).cast("int").alias("num_batches"),
+        F.coalesce(F.max(batches), F.lit(0)).cast("bigint").alias("num_batches"),
         F.coalesce(F.sum(F.col("n_lines") - F.col("n_valid")), F.lit(0)).cast("bigint").alias("malformed_count"),
     )
-    total, batches = F.col("total_records"), F.col("num_batches")
+    total, n = F.col("total_records"), F.col("num_batches")
     return counts.select(
         "total_records", "num_batches",
-        F.coalesce(F.try_divide(total.cast("double"), batches.cast("double")), F.lit(0.0)).alias("avg_batch_size"),
+        F.coalesce(F.try_divide(total.cast("double"), n.cast("double")), F.lit(0.0)).alias("avg_batch_size"),
         "malformed_count",
     )
 
 
-def pin_split_planning(spark) -> None:
-    """Make file split planning independent of the number of live executors."""
-    if spark.conf.get("spark.sql.files.minPartitionNum", None):
-        return
-    leaf = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
-    n = int(leaf) if leaf else spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.minPartitionNum", str(n))
+def line_batch_stats(offsets: DataFrame, batch_size: int) -> DataFrame:
+    """B7 for line batches, from the split table alone (one row per split):
+    parsed records, malformed lines, and num_batches = the batch of the largest
+    ordinal held by a parsed record. Same row as ``run_stats`` over the lines."""
+    last_valid = F.col("lines_before") + F.col("last_valid_row_id") - F.col("first_row_id") + F.lit(1)
+    return _stats(offsets, clf.batch_by_lines(last_valid, batch_size))
+
+
+def file_batch_stats(offsets: DataFrame) -> DataFrame:
+    """B7 for file batches, from the split table alone: the last file with a parsed record counts."""
+    return _stats(offsets, F.when(F.col("n_valid") > 0, F.col("file_index")))
 
 
 SPLIT_COLUMNS = [*SPLIT_KEYS, "row_id"]
 
 
 def number_with(lines: DataFrame, offsets: DataFrame) -> DataFrame:
-    """ordinal = lines before the split + position in the split + 1, by a join to the
-    written split table, broadcast when its counted size is under ``MAX_BROADCAST_SPLITS``
-    (the count reads a small parquet table)."""
-    side = offsets.select(*SPLIT_KEYS, "first_row_id", "lines_before")
-    side = F.broadcast(side) if offsets.count() <= MAX_BROADCAST_SPLITS else side
-    return lines.join(side, SPLIT_KEYS).withColumn(
+    """ordinal = lines before the split + position in the split + 1, and file_index, by a
+    join to the written split table."""
+    side = offsets.select(*SPLIT_KEYS, "file_index", "first_row_id", "lines_before")
+    return lines.drop("file_index").join(side, SPLIT_KEYS).withColumn(
         "ordinal", F.col("lines_before") + (F.col("row_id") - F.col("first_row_id")) + F.lit(1)
     ).drop("first_row_id", "lines_before")
 
 
-def number_lines(lines: DataFrame, rescan: bool = True) -> tuple[DataFrame, DataFrame]:
+def number_lines(lines: DataFrame, written: bool = False) -> tuple[DataFrame, DataFrame]:
     """B1: the numbered lines and the written split table.
 
-    ``lines`` carries ``file_order``, ``block_start`` and ``row_id`` from
-    ``read_log_lines``. With ``rescan`` (the default) it is a text scan not yet
-    planned, which is read twice, so the split planning is pinned first. Pass
-    ``rescan=False`` for lines already held (cached or written) with those
-    columns: the split table is then built from that copy and the text is read
-    once."""
-    if rescan:
-        pin_split_planning(lines.sparkSession)
-    offsets = write_split_table(lines)
+    ``lines`` comes from ``read_log_lines``. It is written to the shared folder
+    first, so that its row ids are those of one scan; ``written``: it is already."""
+    if not written:
+        path = staging_path(lines.sparkSession, "scanned-lines")
+        lines.write.mode("errorifexists").parquet(path)
+        lines = lines.sparkSession.read.parquet(path)
+    table = lines.groupBy("file_path").agg(F.first("file_index").alias("file_index"), F.first("file_order").alias("file_order"))
+    offsets = write_split_table(lines, table)
     return number_with(lines, offsets), offsets
 
 
@@ -136,7 +129,7 @@ def assign_ordinal(lines: DataFrame) -> DataFrame:
 
 def batch_by_file(lines: DataFrame) -> DataFrame:
     """Without a batch size, each input file is one batch."""
-    return lines.withColumn("batch_id", F.col("file_index").cast("int"))
+    return lines.withColumn("batch_id", F.col("file_index").cast("bigint"))
 
 
 # A batch number in a file name such as batch_007.log, or in a
@@ -151,31 +144,31 @@ def batch_from_file_name(file_path: Column | str = "file_path", file_index: Colu
     index = F.col(file_index) if isinstance(file_index, str) else file_index
 
     def grab(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast("int")
+        return F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast("bigint")
 
-    return F.coalesce(grab(BATCH_NAME_PATTERN), grab(BATCH_FOLDER_PATTERN), index.cast("int"), F.lit(1))
+    return F.coalesce(grab(BATCH_NAME_PATTERN), grab(BATCH_FOLDER_PATTERN), index.cast("bigint"), F.lit(1).cast("bigint"))
 
 
-# Lines per written chunk of a batch: bounds what one task writes, whatever N is.
+# Lines that one task writes of a batch.
 CHUNK_LINES = 1_000_000
 
 
-def write_line_batches(lines: DataFrame, batch_size: int, root: str) -> str:
+def write_line_batches(lines: DataFrame, batch_size: int, root: str, chunk_lines: int = CHUNK_LINES) -> str:
     """Write the raw lines as numbered batches of exactly N lines.
 
     Layout ``root/batch_id=K/chunk=C/part-*.txt``: a batch is one folder, cut into
-    chunks of at most ``CHUNK_LINES`` lines, each chunk written by one task in
-    ordinal order. Reading the batches back in natural name order (batch, then
-    chunk) gives the original line order. A batch may take lines from two input
-    files. Ordinals are dense, so the layout is computed, not sampled: no
-    range-partitioning pass over the input.
+    chunks of at most ``chunk_lines`` lines, each written in ordinal order. Reading the
+    batches back in natural name order (batch, then chunk) gives the original line
+    order. A batch may take lines from two input files. The number of tasks comes
+    from the number of lines: about ``chunk_lines`` each, however the session is set.
     """
-    chunk = min(int(batch_size), CHUNK_LINES)
+    last = lines.agg(F.max("ordinal")).first()[0] or 0
+    tasks = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-last // chunk_lines))
     placed = lines.withColumns({
         "batch_id": clf.batch_by_lines("ordinal", batch_size),
-        "chunk": clf.int_div(F.col("ordinal") - F.lit(1), F.lit(chunk)),
+        "chunk": clf.int_div(F.pmod(F.col("ordinal") - F.lit(1), F.lit(int(batch_size))), F.lit(int(chunk_lines))),
     })
-    (placed.repartition("batch_id", "chunk")
+    (placed.repartition(tasks, "batch_id", "chunk")
      .sortWithinPartitions("batch_id", "chunk", "ordinal")
      .select("batch_id", "chunk", "raw")
      .write.mode("errorifexists").partitionBy("batch_id", "chunk").text(root))

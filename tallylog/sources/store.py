@@ -1,12 +1,14 @@
-"""The result store: runs, the three report tables, staging.
+"""The result store: runs, the three report tables, batches, staging.
 
-Layout under one root folder (parquet):
+Layout under one root folder (parquet), one folder for each run and table, so that
+runs never write into each other's folders and a reader of one run prunes to its own:
 
-    runs/                         one row per completed run
-    q1_daily_traffic/run_id=.../  the reports, partitioned by run_id, so a
-    q2_top_resources/run_id=.../  reader of one run prunes to its folder
+    runs/run_id=.../              one row per completed run
+    q1_daily_traffic/run_id=.../  the reports
+    q2_top_resources/run_id=.../
     q3_hourly_errors/run_id=.../
-    staging/<run_id>/parsed/      parsed records, only when kept
+    batches/run_id=.../           one row per batch
+    staging/<run_id>/...          parsed records; dropped after the run unless kept
 
 A run writes its report rows first and its ``runs`` row last; readers only
 accept runs that have that row (D15), so a crash mid-run leaves no visible run.
@@ -14,7 +16,7 @@ accept runs that have that row (D15), so a crash mid-run leaves no visible run.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("finished_at", T.TimestampType(), False),
     T.StructField("runtime_ms", T.LongType(), False),
     T.StructField("batch_size", T.IntegerType(), False),
-    T.StructField("num_batches", T.IntegerType(), False),
+    T.StructField("num_batches", T.LongType(), False),
     T.StructField("avg_batch_size", T.DoubleType(), False),
     T.StructField("total_records", T.LongType(), False),
     T.StructField("malformed_count", T.LongType(), False),
@@ -56,6 +58,12 @@ RESULT_SCHEMAS = {
         T.StructField("error_rate", T.DecimalType(20, 6), False),
         T.StructField("distinct_error_hosts", T.LongType(), False),
     ]),
+    "batches": T.StructType([
+        T.StructField("batch_id", T.LongType(), False),
+        T.StructField("record_count", T.LongType(), False),
+        T.StructField("malformed_count", T.LongType(), False),
+        T.StructField("total_bytes", T.LongType(), False),
+    ]),
 }
 
 QUERY_TABLES = {"q1": "q1_daily_traffic", "q2": "q2_top_resources", "q3": "q3_hourly_errors"}
@@ -64,11 +72,13 @@ PRIMARY_KEYS = {
     "q1_daily_traffic": ["run_id", "log_date", "status_code"],
     "q2_top_resources": ["run_id", "rank"],
     "q3_hourly_errors": ["run_id", "log_date", "log_hour"],
+    "batches": ["run_id", "batch_id"],
 }
 REPORT_ORDER = {
     "q1_daily_traffic": ["log_date", "status_code"],
     "q2_top_resources": ["rank"],
     "q3_hourly_errors": ["log_date", "log_hour"],
+    "batches": ["batch_id"],
 }
 
 
@@ -86,25 +96,25 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = RUNS_SCHEMA if table == "runs" else _with_run_schema(table)
     try:
         return spark.read.schema(schema).parquet(_table_path(root, table))
-    except Exception as exc:  # path missing: no run wrote this table yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:  # no run wrote this table yet
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
 
 def write_results(results: dict[str, DataFrame], root: str, run_id: str) -> None:
-    """Append each chosen report under ``run_id`` (partitioned by run_id)."""
+    """Write each chosen report (or the batches) of a run to its own folder."""
     for query, df in results.items():
         table = QUERY_TABLES.get(query, query)
         cols = [f.name for f in RESULT_SCHEMAS[table].fields]
-        (df.select(*cols).withColumn("run_id", F.lit(run_id))
-         .write.mode("append").partitionBy("run_id").parquet(_table_path(root, table)))
+        df.select(*cols).write.mode("errorifexists").parquet(f"{_table_path(root, table)}/run_id={run_id}")
 
 
 def write_run_metadata(spark: SparkSession, root: str, row: dict) -> None:
-    """Append the one ``runs`` row of a finished run (written last)."""
-    values = tuple(row[f.name] for f in RUNS_SCHEMA.fields)
-    spark.createDataFrame([values], RUNS_SCHEMA).write.mode("append").parquet(_table_path(root, "runs"))
+    """Write the one ``runs`` row of a finished run (written last)."""
+    fields = [f for f in RUNS_SCHEMA.fields if f.name != "run_id"]
+    df = spark.createDataFrame([tuple(row[f.name] for f in fields)], T.StructType(fields))
+    df.write.mode("errorifexists").parquet(f"{_table_path(root, 'runs')}/run_id={row['run_id']}")
 
 
 class RunNotFound(LookupError):
@@ -112,13 +122,13 @@ class RunNotFound(LookupError):
 
 
 def read_run_results(spark: SparkSession, root: str, run_id: str) -> dict[str, DataFrame]:
-    """Metadata and the three reports of one completed run, in report order."""
+    """Metadata, the three reports and the batches of one completed run, in report order."""
     runs = read_table(spark, root, "runs").filter(
         (F.col("run_id") == F.lit(run_id)) & (F.col("status") == F.lit("completed")))
     if runs.isEmpty():
         raise RunNotFound(f"No run found with run_id={run_id}")
     out = {"runs": runs}
-    for query, table in QUERY_TABLES.items():
+    for query, table in (*QUERY_TABLES.items(), ("batches", "batches")):
         df = read_table(spark, root, table).filter(F.col("run_id") == F.lit(run_id)).drop("run_id")
         out[query] = df.orderBy(*REPORT_ORDER[table])
     return out
@@ -137,11 +147,11 @@ def check_result_keys(spark: SparkSession, root: str) -> DataFrame:
         dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
                .select(F.lit(table).alias("table_name"), F.lit("duplicate_key").alias("violation"),
                        F.col("run_id"),
-                       F.to_json(F.struct(*[F.col(k).cast("string") for k in keys])).alias("detail")))
+                       F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys])).alias("detail")))
         parts.append(dup)
         nulls = df.filter(F.greatest(*[F.col(c).isNull().cast("int") for c in df.columns]) == 1).select(
             F.lit(table).alias("table_name"), F.lit("null_value").alias("violation"), F.col("run_id"),
-            F.to_json(F.struct(*[F.col(c).cast("string") for c in df.columns])).alias("detail"))
+            F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])).alias("detail"))
         parts.append(nulls)
         if table != "runs":
             orphans = (df.select("run_id").distinct().join(runs.select("run_id"), "run_id", "left_anti")
@@ -154,15 +164,14 @@ def check_result_keys(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
-def materialize_parsed(df: DataFrame, keep_path: str | None = None) -> DataFrame:
-    """Keep an intermediate for several readers.
+def materialize_parsed(df: DataFrame, path: str) -> DataFrame:
+    """Keep an intermediate for several readers: written as parquet to a shared
+    folder and read back, so the lineage is cut and a lost executor costs nothing."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Without ``keep_path`` it is persisted (memory, then local disk; a lost
-    executor's blocks are recomputed from the deterministic scan). With a path
-    it is written as parquet to the shared folder and read back, which also cuts
-    the lineage and stays after the run (``--keep-staging``).
-    """
-    if keep_path is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.write.mode("errorifexists").parquet(keep_path)
-    return df.sparkSession.read.parquet(keep_path)
+
+def drop_staging(spark: SparkSession, path: str) -> None:
+    """Remove a run's staging folder, in whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -8,9 +8,10 @@ month-year stamp such as ``Jul95`` in calendar order first, then the rest by
 name. Callers may pass an explicit list instead.
 
 The listing runs as a Spark job over the ``binaryFile`` source with only
-``path`` and ``length`` selected, so no file content is read; only the list
-of files (one row per file) comes back to the driver, which it needs to plan
-the scan anyway.
+``path`` and ``length`` selected, so no file content is read; the prefix is part of
+the listed path, so only the chosen files (one row each) come back to the driver,
+which it needs to plan the scan anyway. Names may hold any character: they are
+escaped before they are read as paths. A file named twice is read once.
 """
 
 from __future__ import annotations
@@ -29,9 +30,6 @@ from tallylog.functions.clf import MONTHS
 DEFAULT_PREFIX = "NASA_access_log_"
 _STAMP = re.compile(r"(" + "|".join(MONTHS) + r")(\d{2}|\d{4})(?!\d)")
 
-# Above this many files the file table is joined without a broadcast hint.
-MAX_BROADCAST_FILES = 1_000_000
-
 # Codecs whose files Hadoop cannot split (one task reads the file).
 UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
 
@@ -68,27 +66,48 @@ def entry_sort_key(name: str) -> tuple:
     return (1, 0, 0, natural_key(name))
 
 
+def escape_glob(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _listing(spark: SparkSession, path: str, only: str | None = None) -> list | None:
+    """(path, length, scan_path) of the files under a path; None where there is no such path.
+
+    ``only``: just the file of this name (without scheme).
+    """
+    reader = spark.read.format("binaryFile")
+    if only is None:
+        reader = reader.option("recursiveFileLookup", "true")
+    try:
+        found = reader.load(path).select("path", "length", F.col("_metadata.file_path").alias("scan_path"))
+        if only is not None:
+            found = found.filter(F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "") == F.lit(only))
+        return found.collect()
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def list_inputs(spark: SparkSession, inputs: str | list[str], name_prefix: str = DEFAULT_PREFIX) -> list[InputFile]:
     """Resolve a directory, a single file, or an explicit ordered list of them."""
     if isinstance(inputs, (list, tuple)):
-        files: list[InputFile] = []
+        files: dict[str, InputFile] = {}
         for item in inputs:
             for f in list_inputs(spark, item, name_prefix):
-                files.append(f)
-        return _renumber(files)
+                files.setdefault(f.path, f)
+        return _renumber(list(files.values()))
 
     base = str(inputs).rstrip("/") or "/"
     if not re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", base) and not base.startswith("/"):
         base = os.path.abspath(base)  # a relative local path, as the listing reports it absolute
-    try:
-        listing = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(base).select("path", "length", F.col("_metadata.file_path").alias("scan_path"))
-            .collect()
-        )
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"input does not exist: {base}") from exc
     base_plain = _strip_scheme(base)
+    listing = _listing(spark, f"{escape_glob(base)}/{escape_glob(name_prefix)}*") or []
+    if not listing:  # the input is a single file, taken whatever its name, or has no such entry
+        listing = _listing(spark, escape_glob(base), only=base_plain)
+        if listing is None:
+            raise FileNotFoundError(f"input does not exist: {base}")
     grouped: dict[str, list[tuple[str, str, int, str]]] = {}
     for row in listing:
         plain = _strip_scheme(row["path"])
@@ -156,8 +175,7 @@ def scan_lines(spark: SparkSession, files: list[InputFile]) -> DataFrame:
     the same files under the same split settings (a retried task reads the same
     split again), which is what ``assign_ordinal`` builds on.
     """
-    paths = [f.path for f in files]
-    scan = spark.read.text(paths)
+    scan = spark.read.text([escape_glob(f.path) for f in files])
     return scan.select(
         decode_latin1(F.col("value")).alias("raw"),
         F.col("_metadata.file_path").alias("file_path"),
@@ -166,52 +184,27 @@ def scan_lines(spark: SparkSession, files: list[InputFile]) -> DataFrame:
     )
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
-
-
-def conf_bytes(value: str) -> int:
-    """A Spark size setting ("134217728b", "64k", "128m") in bytes."""
-    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", value)
-    if not m or m.group(2).lower() not in _UNITS:
-        raise ValueError(f"not a size: {value!r}")
-    return int(m.group(1)) * _UNITS[m.group(2).lower()]
-
-
-def oversized_unsplittable(spark: SparkSession, files: list[InputFile]) -> list[InputFile]:
-    """Files one task must read whole (gzip and the like) that are larger than a split."""
-    split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return [f for f in files if f.path.lower().endswith(UNSPLITTABLE_SUFFIXES) and f.length > split_bytes]
-
-
 def scan_spread(spark: SparkSession, files: list[InputFile]) -> DataFrame:
-    """S1-S3 with skew handling for oversized unsplittable files.
+    """S1-S3 with skew handling for files that cannot be split (by their codec).
 
     Such a file is read by one task whatever its size; its lines are then dealt
     out round-robin right after the scan, so decompression stays one stream but
     parsing runs everywhere. Only those files' lines move: the other files are
     scanned on their own and stay where they are read. Row ids are taken at each
     scan; numbering needs them consecutive within a split only, and split keys
-    never repeat across the two scans. Inputs without such a file are one scan
-    with no shuffle.
+    never repeat across the two scans.
     """
-    big = oversized_unsplittable(spark, files)
-    if not big:
-        return scan_lines(spark, files)
-    big_paths = {f.path for f in big}
-    rest = [f for f in files if f.path not in big_paths]
-    spread = scan_lines(spark, big).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    whole = [f for f in files if f.path.lower().endswith(UNSPLITTABLE_SUFFIXES)]
+    rest = [f for f in files if not f.path.lower().endswith(UNSPLITTABLE_SUFFIXES)]
+    if not whole:
+        return scan_lines(spark, rest)
+    spread = scan_lines(spark, whole).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spread if not rest else scan_lines(spark, rest).unionByName(spread)
 
 
-def tag_source_file(lines: DataFrame, file_table: DataFrame, n_files: int) -> DataFrame:
-    """Attach file_entry, file_index (the input's position) and file_order.
-
-    The file table has one row per input file, a bound known from the listing;
-    it is broadcast when that bound is below ``MAX_BROADCAST_FILES``.
-    """
-    small = F.broadcast(file_table) if n_files <= MAX_BROADCAST_FILES else file_table
-    return lines.join(small, "file_path")
+def tag_source_file(lines: DataFrame, file_table: DataFrame) -> DataFrame:
+    """Attach file_entry, file_index (the input's position) and file_order."""
+    return lines.join(file_table, "file_path")
 
 
 def read_log_lines(
@@ -219,9 +212,7 @@ def read_log_lines(
 ) -> tuple[DataFrame, list[InputFile]]:
     """S1-S5 together: tagged raw lines and the ordered file list."""
     files = list_inputs(spark, inputs, name_prefix)
-    scanned = scan_spread(spark, files)
-    lines = tag_source_file(scanned, files_frame(spark, files), len(files))
-    return lines, files
+    return tag_source_file(scan_spread(spark, files), files_frame(spark, files)), files
 
 
 def union_inputs(frames: list[DataFrame]) -> DataFrame:
