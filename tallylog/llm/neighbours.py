@@ -38,7 +38,8 @@ MAX_PIVOTS = 1024
 LEAF = 64
 #: The production factor: recall against brute force is in the README.
 FACTOR = 5.0
-SLACK = 1e-9
+#: What rounding may add to a distance, times the largest norm.
+SLACK = 1e-6
 
 
 def usable(embedding: str) -> Column:
@@ -102,7 +103,7 @@ class Tree:
         todo = [(0, np.arange(n), np.zeros(n))]
         while todo:
             at, q, least = todo.pop()
-            q = q[least * factor <= bounds[q] + SLACK]
+            q = q[least * factor <= bounds[q] + SLACK * self.radius]
             if not len(q):
                 continue
             node = self.nodes[at]
@@ -224,7 +225,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
                     bound = b.column("bound").to_numpy(zero_copy_only=False)
                     # the cell's distances from its pivot, by the triangle inequality
                     least = np.maximum(np.maximum(lows[None, :] - d, d - highs[None, :]), 0.0)
-                    go = ~is_home & (least * factor <= bound[:, None] + SLACK)
+                    go = ~is_home & (least * factor <= bound[:, None] + SLACK * radius)
                 for i, c in enumerate(occupied.tolist()):
                     at = np.nonzero(go[:, i])[0]
                     for s in range(first[c], first[c] + shards[c]) if len(at) else ():
@@ -242,8 +243,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     # the k-th distance so far bounds what is still to find
     kth = home_found.filter(F.col("rank") == k).select("query_id", "score")
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    bounded = asked.join(kth, "query_id", "left").select("query_id", "vector", F.coalesce(
-        F.sqrt(F.greatest(norm + radius**2 - 2 * F.col("score"), F.lit(0.0))), F.lit(float("inf"))).alias("bound"))
+    so_far = F.sqrt(F.greatest(norm + radius**2 - 2 * F.col("score"), F.lit(0.0)))
+    bounded = asked.join(kth, "query_id", "left").select(
+        "query_id", "vector", F.when(F.col("score").isNotNull(), so_far).otherwise(float("inf")).alias("bound"))
     others = _search_groups(stage(bounded.mapInArrow(route(False), routed).withColumn("part", part), "ann-asked"), index, k, factor)
     best = _top(home_found.select("query_id", "vec_id", "score").unionByName(others), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
