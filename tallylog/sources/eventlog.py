@@ -101,15 +101,16 @@ def write_event_log(
     spark: SparkSession,
     sf_dir: str,
     compression: str | None = None,
+    copies: int = 1,
 ) -> str:
     """Write the derived log as text under a fresh folder in the shared folder.
 
     Layout: ``<root>/day=YYYY-MM-DD/part-*.txt[.gz]``, one entry per calendar day of
     ``events.ts``, lines in ordinal order (``ts`` grows with ``event_id``).
-    Returns ``<root>``. Read it back with ``name_prefix="day="``.
+    ``copies``: each line so many times. Returns ``<root>``. Read it back with ``name_prefix="day="``.
     """
     root = staging_path(spark, "eventlog")
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     lines = e.select(
         (F.col("event_id") + 1).alias("ordinal"),
         F.substring(_ts_text(), 1, 10).alias("day"),
