@@ -201,4 +201,4 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severities of all ``documents``, by a model fitted on labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return grade(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return grade(docs, fit(docs, table(spark, sf_dir, "labels"))).drop("text")
