@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from tallylog.llm.common import constants, stage, table
 
-#: Vectors in a shard.
-SHARD = 4096
+#: Vectors in a shard: what one task holds (8 MB at 64 components).
+SHARD = 1 << 14
 #: Queries that a task searches in a shard at once.
 QUERIES = 2048
 #: Pivots, at most; they are sent to all tasks.
@@ -94,8 +94,8 @@ class Tree:
             todo += [(rows[far], at, 1), (rows[near], at, 0)]
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int, factor: float) -> list[tuple[int, int, float]]:
-        """The best ``k`` of each query as (place of the query, vec_id, score), within ``bounds`` (distances)."""
-        n = len(queries)
+        """The best ``k`` of each query as (place of the query, vec_id, score), none beyond its ``bounds`` (distances)."""
+        n, given = len(queries), bounds
         lifted = np.hstack([queries, np.zeros((n, 1))])
         norm = np.einsum("ij,ij->i", queries, queries)
         best_score, best_id = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
@@ -126,7 +126,8 @@ class Tree:
             closer_far = int((sides[1][1] < sides[0][1]).sum() * 2 > len(q))
             for child, least in (sides if closer_far else sides[::-1]):  # the closer side is taken next
                 todo.append((child, q, least))
-        found = np.isfinite(best_score)
+        distance = np.sqrt(np.maximum(0.0, norm[:, None] + self.radius**2 - 2 * np.where(np.isfinite(best_score), best_score, 0.0)))
+        found = np.isfinite(best_score) & (distance <= given[:, None] + SLACK * self.radius)
         place = np.repeat(np.arange(n), k).reshape(n, k)
         return list(zip(place[found].tolist(), best_id[found].tolist(), best_score[found].tolist()))
 
