@@ -85,9 +85,10 @@ def leaf_budgets(counts: DataFrame, weights: dict[str, dict[str, int]], share: f
     dec = "decimal(38,0)"
     leaves = counts.withColumn("cap", (F.col("supply") * max_epochs).cast(dec))
     langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").cast(dec).alias("cap"))
-    domains = leaves.groupBy("domain").agg(F.sum("cap").cast(dec).alias("cap"))
-    total = counts.agg(F.floor(F.coalesce(F.sum("supply"), F.lit(0)) * F.lit(int(share * 1000)) / 1000).cast(dec).alias("given"))
-    domains = domains.join(F.broadcast(total)).withColumn("root", F.lit(0)).withColumn("w", _weight("domain", weights["domain"]))
+    domains = (leaves.groupBy("domain").agg(F.sum("cap").cast(dec).alias("cap"), F.sum("supply").alias("tokens"))
+               .withColumn("root", F.lit(0)).withColumn("w", _weight("domain", weights["domain"])))
+    whole_corpus = F.sum("tokens").over(Window.partitionBy("root")).cast("decimal(30,0)")
+    domains = domains.withColumn("given", F.call_function("div", whole_corpus * F.lit(int(share * 1000)), F.lit(1000)).cast(dec))
     domains = _fill(domains, ["root"], "domain")
     langs = langs.join(domains.select("domain", F.col("got").alias("given")), "domain")
     langs = _fill(langs.withColumn("w", _weight("lang", weights["lang"])), ["domain"], "lang")
