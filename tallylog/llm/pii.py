@@ -7,23 +7,34 @@ a phone number, the issuer digit and check digit of a card, the top domain of an
 address, the prefix of a key, and the private range of a network address stay; the
 replacement of a name has its gender and script.
 
-Distinctness: the distinct entities are counted and their surrogates compared. A
-surrogate that two entities share, or that is itself an entity of the documents,
-is drawn anew (the smallest entity keeps it) until no collision is left. Only the
-entities drawn anew are looked up by the rewriting, which draws all the others in
-place; so texts are not shuffled, but for those that hold such an entity.
+Names are found behind a title and replaced word by word: the family name follows
+from the surname alone, and a given name from the given name and gender, so the
+mentions of a person agree. Where a text holds a name behind a title, the untitled
+repeats of that name, of its surname and of its given names are replaced as well.
+
+Distinctness: the distinct units (entities; of names, the words) are counted and
+their surrogates compared. A surrogate that two units share, or that is itself a
+unit of the documents (a given name may be), is drawn anew (the smallest unit keeps
+it) until no collision is left. Draws after KEEP_FORMAT grow by a character each, and
+names with every draw, so no format can be used up: addresses get a longer local
+part, numbers and keys more characters, secrets other letters, and private network
+addresses go to 10.*, then get a suffix. Only the units drawn anew are looked up
+by the rewriting, which draws all the others in place; so texts are not shuffled,
+but for those that hold such a unit.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallylog.llm.common import let, stage, table
 
 KEY = "tallylog-surrogates-1"
-#: Draws after which a type's space of surrogates counts as used up.
-MAX_DRAWS = 100
+#: Draws that keep the format; each one after them adds a character.
+KEEP_FORMAT = 4
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _UPPER, _LOWER = "[A-ZÀ-ÖØ-Þ]", "[a-zß-öø-ÿ]"
@@ -38,16 +49,20 @@ TITLES = {
     "male_cyrillic": "г-н|господин",
     "female_cyrillic": "г-жа|госпожа",
 }
-#: Given names by gender and script, then syllables of family names by script.
+#: Given names by gender and script, then consonants and vowels of family names by script.
 GIVEN = {
-    "male": "James Robert Michael David Thomas Daniel Paul Mark Peter Simon Martin Victor Hugo Louis Felix Oscar",
-    "female": "Mary Anna Laura Susan Emma Julia Sarah Helen Clara Alice Marie Nora Ruth Vera Lucy Sofia",
-    "male_cyrillic": "Иван Пётр Павел Олег Игорь Роман Антон Максим Борис Семён Денис Артём Глеб Фёдор Егор Тимур",
-    "female_cyrillic": "Анна Мария Ольга Елена Ирина Вера Нина Дарья Юлия Алла Софья Полина Лидия Раиса Тамара Зоя",
+    "male": "James Robert Michael David Thomas Daniel Paul Mark Peter Simon Martin Victor Hugo Louis Felix Oscar "
+            "Adam Bruno Carl Edward Frank George Henry Isaac Jacob Leon Max Nathan Otto Philip Ralph Walter",
+    "female": "Mary Anna Laura Susan Emma Julia Sarah Helen Clara Alice Marie Nora Ruth Vera Lucy Sofia "
+              "Amelia Bella Carla Diana Edith Flora Grace Hanna Irene Judith Karen Linda Monica Olivia Paula Rosa",
+    "male_cyrillic": "Иван Пётр Павел Олег Игорь Роман Антон Максим Борис Семён Денис Артём Глеб Фёдор Егор Тимур "
+                     "Андрей Богдан Вадим Виктор Герман Даниил Захар Илья Кирилл Лев Марк Никита Руслан Степан Юрий Яков",
+    "female_cyrillic": "Анна Мария Ольга Елена Ирина Вера Нина Дарья Юлия Алла Софья Полина Лидия Раиса Тамара Зоя "
+                       "Алиса Белла Валерия Галина Диана Ева Жанна Инна Кира Лариса Марина Надежда Римма Светлана Ульяна Яна",
 }
 SYLLABLES = {
-    "latin": "ba be da do fa go ka la ma mo na pe ra ro sa to",
-    "cyrillic": "ба ве го да ер ка ла ме но пе ра ро со та ти фо",
+    "latin": " ".join(c + v for c in "bdfghjklmnprstvz" for v in "aeio"),
+    "cyrillic": " ".join(c + v for c in "бвгдзклмнпрстфхц" for v in "аеио"),
 }
 #: Labels in front of secrets.
 LABELS = "(?i:access_token|token|password|passwd|secret|api_key|apikey)"
@@ -135,26 +150,96 @@ def _refill(form: Column, digits: Column, letters: Column) -> Column:
     return F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("s"), F.lit(1).alias("at")), step, lambda a: a["s"])
 
 
+def _as_letters(hex_: Column) -> Column:
+    """Letters of all the alphabet: two for three hex digits."""
+    return F.translate(F.lower(F.base64(F.unhex(hex_))), "0123456789+/=\r\n", "abcdefghijkl")
+
+
 def _plain(form: Column, hex_: Column) -> Column:
-    return _refill(form, _as_digits(hex_), F.translate(hex_, "0123456789abcdef", "bcdfghjklmnpqrst"))
+    return _refill(form, _as_digits(hex_), _as_letters(hex_))
+
+
+def _pick(values: str, hex_: Column, i: Column) -> Column:
+    """One of the values, by the ``i``-th two digits of ``hex_``."""
+    return F.get(F.split(F.lit(values), " "), (F.conv(F.substring(hex_, 1 + 2 * i, F.lit(2)), 16, 10).cast("int") % len(values.split(" "))))
+
+
+def _script(gender: str) -> str:
+    return "cyrillic" if gender.endswith("cyrillic") else "latin"
+
+
+def _given(gender: str, word: Column, draw: Column) -> Column:
+    """The given name for one; draw n has n + 1 names, joined by a hyphen."""
+    hex_ = _stream(F.concat(F.lit(f"{gender}:"), word, F.lit(":"), draw.cast("string")), 2 * draw + 2)
+    return let(hex_, lambda h: F.array_join(F.transform(F.sequence(F.lit(0), draw), lambda i: _pick(GIVEN[gender], h, i)), "-"))
+
+
+def _family(script: str, word: Column, draw: Column) -> Column:
+    """The family name for a surname; draw n has n + 4 syllables."""
+    hex_ = _stream(F.concat(F.lit(f"{script}:"), word, F.lit(":"), draw.cast("string")), 2 * draw + 8)
+    return let(hex_, lambda h: F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), draw + 3), lambda i: _pick(SYLLABLES[script], h, i)), "")))
+
+
+def units(entity: Column) -> Column:
+    """array of struct(kind, canon): what of an entity (struct of parse_entity) has a surrogate of its own: names by words."""
+    def unit(kind: Column, canon: Column) -> Column:
+        return F.struct(kind.alias("kind"), canon.alias("canon"))
+
+    kind = entity["kind"]
+    words = F.split(entity["core"], " ")
+    given = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: unit(F.concat(F.lit("given:"), kind), w))
+    script = F.when(kind.endswith("cyrillic"), "family:cyrillic").otherwise("family:latin")
+    return F.when(kind.isin(*TITLES), F.concat(given, F.array(unit(script, F.element_at(words, -1))))).otherwise(F.array(unit(kind, entity["canon"])))
 
 
-def _pick(values: str, key: Column) -> Column:
-    """One of 16 values, by the keyed hash of ``key``."""
-    return F.get(F.split(F.lit(values), " "), F.conv(F.substring(_stream(key, F.lit(1)), 1, 1), 16, 10).cast("int"))
+def surrogate(entity: Column, draw_of: Callable[[Column, Column], Column]) -> Column:
+    """The surrogate of an entity's core (struct of parse_entity), without lead; null for no entity.
 
+    ``draw_of`` gives the draw of a unit by its kind and canon.
+    """
+    kind, core = entity["kind"], entity["core"]
 
-def surrogate(entity: Column, draw: Column) -> Column:
-    """The surrogate of an entity's core (struct of parse_entity) in the given draw, without lead; null for no entity."""
+    def name(gender: str) -> Column:
+        words = F.split(core, " ")
+        given, family = f"given:{gender}", f"family:{_script(gender)}"
+        first = F.transform(F.slice(words, F.lit(1), F.size(words) - 1),
+                            lambda w: let(draw_of(F.lit(given), w), lambda d: _given(gender, w, d)))
+        last = let(F.element_at(words, -1), lambda w: let(draw_of(F.lit(family), w), lambda d: _family(_script(gender), w, d)))
+        return F.array_join(F.concat(first, F.array(last)), " ")
+
+    out = F.when(kind.isNull(), F.lit(None).cast("string"))
+    for gender in TITLES:
+        out = out.when(kind == gender, name(gender))
+    return out.otherwise(let(draw_of(kind, entity["canon"]), lambda d: _drawn(entity, d)))
+
+
+def unit_surrogate(kind: Column, canon: Column, draw: Column) -> Column:
+    """The surrogate of a unit, as ``surrogate`` puts it in the place of the unit's canon."""
+    out = F.when(kind.isNull(), F.lit(None).cast("string"))
+    for gender in GIVEN:
+        out = out.when(kind == f"given:{gender}", _given(gender, canon, draw))
+    for script in SYLLABLES:
+        out = out.when(kind == f"family:{script}", _family(script, canon, draw))
+    return out.otherwise(_drawn(F.struct(kind.alias("kind"), canon.alias("core"), canon.alias("canon")), draw))
+
+
+def _drawn(entity: Column, draw: Column) -> Column:
+    """The surrogate, in the given draw, of the core of an entity that is no name."""
     kind, core, canon = entity["kind"], entity["core"], entity["canon"]
     key = F.concat(kind, F.lit(":"), canon, F.lit(":"), draw.cast("string"))
+    more = F.greatest(draw - KEEP_FORMAT, F.lit(0))
+
+    def digits(hex_: Column, n: Column) -> Column:
+        """``n`` digits for the end of a number; they are apart from those within it."""
+        return F.substring(_as_digits(F.reverse(hex_)), F.lit(1), n)
 
     def email(hex_: Column) -> Column:
         local, domain = F.substring_index(core, "@", 1), F.substring_index(core, "@", -1)
         top = F.regexp_extract(domain, "[.][A-Za-z]+$", 0)
         site = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
-        site_hex = _stream(F.concat(F.lit("domain:"), F.lower(domain)), F.length(domain))
-        return F.concat(_plain(local, hex_), F.lit("@"), _plain(site, site_hex), top)
+        site_hex = _stream(F.concat(F.lit("domain:"), F.lower(domain)), 2 * F.length(domain))
+        longer = F.substring(_as_letters(F.reverse(hex_)), F.lit(1), more)
+        return F.concat(_plain(local, hex_), longer, F.lit("@"), _plain(site, site_hex), top)
 
     def octet(hex_: Column, i: int) -> Column:
         return (F.conv(F.substring(hex_, 1 + 4 * i, 4), 16, 10).cast("int") % 254 + 1).cast("string")
@@ -163,42 +248,36 @@ def surrogate(entity: Column, draw: Column) -> Column:
         kept = F.regexp_extract(canon, r"^(?:10|127|192\.168|172\.(?:1[6-9]|2[0-9]|3[01])|169\.254)\.", 0)
         fresh = F.concat_ws(".", (F.conv(F.substring(hex_, 1, 4), 16, 10).cast("int") % 99 + 11).cast("string"), *[octet(hex_, i) for i in (1, 2, 3)])
         two = F.concat_ws(".", octet(hex_, 2), octet(hex_, 3))
-        return F.when(kept == "", fresh).when(kept.rlike("^(10|127)"), F.concat(kept, octet(hex_, 1), F.lit("."), two)).otherwise(F.concat(kept, two))
+        wide = F.concat(F.lit("10."), octet(hex_, 1), F.lit("."), two)
+        new = F.when(kept == "", fresh).when(more > 0, wide).when(kept.rlike("^(10|127)"), F.concat(kept, octet(hex_, 1), F.lit("."), two))
+        suffix = F.when(more > KEEP_FORMAT, F.concat(F.lit("-"), digits(hex_, more - KEEP_FORMAT))).otherwise("")
+        return F.concat(new.otherwise(F.concat(kept, two)), suffix)
 
     def card(hex_: Column) -> Column:
         n = F.length(canon)
         body = F.concat(F.substring(canon, 1, 1), F.substring(_as_digits(hex_), F.lit(2), n - 2))
         whole = let(body, lambda b: F.concat(b, ((F.lit(10) - _luhn(F.concat(b, F.lit("0")))) % 10).cast("string")))
-        return let(whole, lambda w: _refill(core, w, w))
+        return F.concat(let(whole, lambda w: _refill(core, w, w)), digits(hex_, more))
 
     def phone(hex_: Column) -> Column:
         code = F.substring_index(canon, "-", 1)
         d = _as_digits(hex_)
         d = F.concat(F.translate(F.substring(d, 1, 1), "01", "79"), F.substring(d, F.lit(2), F.length(d)))
         rest = F.substring(core, F.length(code) + 1, F.length(core))
-        return F.concat(code, _refill(rest, d, d))
+        return F.concat(code, _refill(rest, d, d), digits(hex_, more))
 
     def key_id(hex_: Column) -> Column:
-        return F.concat(F.substring(core, 1, 4), _plain(F.substring(core, F.lit(5), F.length(core)), hex_))
+        return F.concat(F.substring(core, 1, 4), _plain(F.substring(core, F.lit(5), F.length(core)), hex_),
+                        F.upper(F.substring(_as_letters(F.reverse(hex_)), F.lit(1), more)))
 
     def secret(hex_: Column) -> Column:
-        return F.when(core.rlike("^[0-9a-f]+$"), F.substring(hex_, F.lit(1), F.length(core))).otherwise(_plain(core, hex_))
-
-    def name(gender: str) -> Column:
-        script = "cyrillic" if gender.endswith("cyrillic") else "latin"
-        again = F.when(draw > 0, F.concat(canon, draw.cast("string"))).otherwise(F.lit(""))
-        words = F.split(core, " ")
-        given = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: _pick(GIVEN[gender], F.concat(F.lit(f"{gender}:"), w, again)))
-        last = F.element_at(words, -1)
-        family = F.initcap(F.concat(*[_pick(SYLLABLES[script], F.concat(F.lit(f"{script}{i}:"), last, again)) for i in range(4)]))
-        return F.array_join(F.concat(given, F.array(family)), " ")
+        other = F.when(more > 0, F.substring(_as_letters(hex_), F.lit(1), F.length(core) + more))
+        return other.when(core.rlike("^[0-9a-f]+$"), F.substring(hex_, F.lit(1), F.length(core))).otherwise(_plain(core, hex_))
 
-    hex_ = _stream(key, F.length(core) + 64)
+    hex_ = _stream(key, 2 * F.length(core) + 64)
     return let(hex_, lambda h: (
         F.when(kind == "email", email(h)).when(kind == "ip", ip(h)).when(kind == "card", card(h)).when(kind == "phone", phone(h))
-        .when(kind == "aws_key", key_id(h)).when(kind == "secret", secret(h)).when(kind == "ssn", _plain(core, h))
-        .when(kind == "male", name("male")).when(kind == "female", name("female"))
-        .when(kind == "male_cyrillic", name("male_cyrillic")).when(kind == "female_cyrillic", name("female_cyrillic"))))
+        .when(kind == "aws_key", key_id(h)).when(kind == "secret", secret(h)).when(kind == "ssn", F.concat(_plain(core, h), digits(h, more)))))
 
 
 def _matches(text: Column) -> Column:
@@ -208,24 +287,47 @@ def _matches(text: Column) -> Column:
 
 
 def redraws(entities: DataFrame) -> DataFrame:
-    """The entities (kind, canon; distinct) whose first surrogate collides: kind, canon, draw.
+    """The units (kind, canon; distinct) whose first surrogate collides: kind, canon, draw.
 
-    A surrogate collides with an entity of its kind, itself included, and with the
-    surrogate of an entity that has an earlier draw or, in the same draw, is smaller.
+    A surrogate collides with a unit of its kind, itself included (but not with a
+    given name), and with the surrogate of a unit that has an earlier draw or, in the
+    same draw, is smaller. As draws grow, there is always a next one to settle it.
     """
     entities = stage(entities, "pii-entities")
-    own = F.struct("kind", F.col("canon").alias("core"), "canon")
-    taken = entities.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
+    taken = entities.filter(~F.col("kind").startswith("given:")).select(F.col("kind").alias("k"), F.col("canon").alias("c"))
     drawn = entities.withColumn("draw", F.lit(0))
-    for _ in range(MAX_DRAWS):
-        drawn = stage(drawn.withColumn("new", surrogate(own, F.col("draw"))), "pii-drawn")
+    while True:
+        drawn = stage(drawn.withColumn("new", unit_surrogate(F.col("kind"), F.col("canon"), F.col("draw"))), "pii-drawn")
         place = F.row_number().over(Window.partitionBy("kind", "new").orderBy("draw", "canon"))
         clash = drawn.withColumn("place", place).join(taken, (F.col("kind") == F.col("k")) & (F.lower("new") == F.lower("c")), "left")
         marked = stage(clash.select("kind", "canon", "draw", ((F.col("place") > 1) | F.col("c").isNotNull()).alias("again")).distinct(), "pii-marked")
         if marked.filter("again").isEmpty():
             return marked.filter("draw > 0").select("kind", "canon", "draw")
         drawn = marked.select("kind", "canon", (F.col("draw") + F.col("again").cast("int")).alias("draw"))
-    raise ValueError(f"{MAX_DRAWS} draws did not give distinct surrogates")
+
+
+def _repeats(pieces: Column, names: Column) -> Column:
+    """``pieces`` of a text as struct(s, n): with the untitled repeats of ``names`` (struct(core, new)) replaced, and how many.
+
+    A repeat is a whole name, its surname or one of its given names, in the same
+    letter case and no part of a longer word; the longest goes first.
+    """
+    def words(part: Callable[[Column], Column]) -> Column:
+        return F.flatten(F.transform(names, lambda x: F.arrays_zip(part(F.split(x["core"], " ")).alias("core"), part(F.split(x["new"], " ")).alias("new"))))
+
+    # of words that are both, the surname counts
+    known = F.array_distinct(F.concat(names, words(lambda w: F.slice(w, F.size(w), F.lit(1))), words(lambda w: w)))
+    by_length = F.sort_array(F.array_distinct(F.transform(known, lambda x: F.struct(F.length(x["core"]).alias("l"), x["core"].alias("core")))), False)
+
+    def replaced(piece: Column, known: Column, pattern: Column) -> Column:
+        found = F.regexp_extract_all(piece, pattern, F.lit(0))
+        new = F.transform(found, lambda m: F.element_at(F.filter(known, lambda x: x["core"] == m), 1)["new"])
+        rest = F.zip_with(F.split(piece, pattern, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+        return F.struct(F.array_join(rest, "").alias("s"), F.size(found).alias("n"))
+
+    pattern = F.concat(F.lit(f"{_ALONE}(?:"), F.array_join(by_length["core"], "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    both = F.struct(known.alias("known"), pattern.alias("pattern"))
+    return let(both, lambda x: F.transform(pieces, lambda p: replaced(p, x["known"], x["pattern"])))
 
 
 def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -233,20 +335,25 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Adds ``n_entities`` (int, replaced if there). A null text stays null, with 0
     entities; a text without entities stays as it is. Repeated rows are replaced
-    alike. An empty table gives no rows. Columns named __m, __e, __mark, __draws are not allowed.
+    alike. An untitled repeat of a name counts as an entity. An empty table gives no
+    rows. Columns named __m, __e, __p, __names, __mark, __draws are not allowed.
     """
     found = docs.select(F.explode(_matches(F.col(text))).alias("m")).select(parse_entity(F.col("m")).alias("e"))
-    entities = found.filter("e.kind is not null").groupBy("e.kind", "e.canon").agg(F.count(F.lit(1)).alias("n")).select("kind", "canon")
+    of_each = found.filter("e.kind is not null").select(F.explode(units(F.col("e"))).alias("u"))
+    entities = of_each.groupBy("u.kind", "u.canon").agg(F.count(F.lit(1)).alias("n")).select("kind", "canon")
     again = stage(redraws(entities), "pii-redraws")
 
     def rewritten(df: DataFrame, draw_of) -> DataFrame:
         pieces = F.split(F.col(text), ANY, -1)
-        e = F.transform(F.col("__m"), lambda m: let(parse_entity(m), lambda x: F.struct(
-            F.coalesce(F.concat(x["lead"], surrogate(x, draw_of(x))), m).alias("s"), x["kind"].isNotNull().cast("int").alias("n"))))
-        df = df.withColumn("__e", F.when(F.size("__m") > 0, e))
-        new = F.array_join(F.zip_with(pieces, F.concat(F.col("__e.s"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+        e = F.transform(F.col("__m"), lambda m: let(parse_entity(m), lambda x: let(surrogate(x, draw_of), lambda new: F.struct(
+            F.coalesce(F.concat(x["lead"], new), m).alias("s"), x["kind"].isNotNull().cast("int").alias("n"),
+            F.when(x["kind"].isin(*TITLES), F.struct(x["core"].alias("core"), new.alias("new"))).alias("name")))))
+        df = df.withColumn("__e", F.when(F.size("__m") > 0, e)).withColumn("__names", F.array_distinct(F.filter("__e.name", lambda x: x.isNotNull())))
+        same = F.transform(pieces, lambda p: F.struct(p.alias("s"), F.lit(0).alias("n")))
+        df = df.withColumn("__p", F.when(F.size("__names") > 0, _repeats(pieces, F.col("__names"))).when(F.size("__m") > 0, same))
+        new = F.array_join(F.zip_with("__p.s", F.concat(F.col("__e.s"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
         df = df.withColumn(text, F.when(F.col("__e").isNotNull(), new).otherwise(F.col(text)))
-        df = df.withColumn("n_entities", F.coalesce(F.aggregate("__e.n", F.lit(0), lambda a, b: a + b), F.lit(0)))
+        df = df.withColumn("n_entities", F.coalesce(F.aggregate(F.concat("__e.n", "__p.n"), F.lit(0), lambda a, b: a + b), F.lit(0)))
         if "n_chars" in docs.columns:
             changed = F.col("n_entities") > 0
             df = df.withColumn("n_chars", F.when(changed, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
@@ -254,16 +361,16 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     rows = docs.withColumn("__m", _matches(F.col(text)))
     if again.isEmpty():
-        return rewritten(rows, lambda x: F.lit(0))
+        return rewritten(rows, lambda kind, canon: F.lit(0))
     # texts with an entity that was drawn anew get its draws, by their hash; the others stay where they are
     mark = F.sha2(F.col(text).cast("binary"), 256)
     with_any = rows.filter(F.size("__m") > 0).withColumn("__mark", mark)
-    each = with_any.select("__mark", F.explode("__m").alias("m")).select("__mark", parse_entity(F.col("m")).alias("e")).select("__mark", "e.kind", "e.canon")
+    each = with_any.select("__mark", F.explode("__m").alias("m")).select("__mark", parse_entity(F.col("m")).alias("e")).select("__mark", F.explode(units(F.col("e"))).alias("u")).select("__mark", "u.kind", "u.canon")
     draws = (each.join(again, ["kind", "canon"]).groupBy("__mark")
              .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws(":", "kind", "canon"), "draw"))).alias("__draws")))
-    some = rewritten(with_any.join(draws, "__mark", "left"), lambda x: F.coalesce(
-        F.try_element_at(F.col("__draws"), F.concat_ws(":", x["kind"], x["canon"])), F.lit(0)))
-    return some.unionByName(rewritten(rows.filter(F.size("__m") == 0), lambda x: F.lit(0)))
+    some = rewritten(with_any.join(draws, "__mark", "left"), lambda kind, canon: F.coalesce(
+        F.try_element_at(F.col("__draws"), F.concat_ws(":", kind, canon)), F.lit(0)))
+    return some.unionByName(rewritten(rows.filter(F.size("__m") == 0), lambda kind, canon: F.lit(0)))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,3 +201,32 @@ def test_pii_keeps_columns_and_clean_texts(spark):
         if not re.search(r"[0-9@]", old[r.doc_id].text):
             assert r.n_entities == 0
     assert pii.replace_pii(given_.limit(0)).count() == 0
+
+
+def test_pii_formats_are_never_used_up(spark):
+    rows = [(i, f"Mail {chr(97 + i)}@x.com now") for i in range(26)] + [(100, "password=-_-_-_-_-")]
+    rows += [(200 + i, f"From 192.168.{i // 256}.{i % 256} on") for i in range(0, 65536, 1)]
+    got = {r.doc_id: r.text for r in pii.replace_pii(spark.createDataFrame(rows, DOCS)).collect()}
+    assert len(got) == len(set(got.values())) == len(rows) and not set(got.values()) & {t for _, t in rows}
+    assert all(re.fullmatch(r"Mail [a-z]+@[a-z]\.com now", got[i]) for i in range(26))
+    assert len({got[i].split("@")[1] for i in range(26)}) == 1
+
+
+def test_pii_names_agree_over_mentions(spark):
+    given_ = ["Adam", "Brad", "Carl", "Dirk", "Egon", "Finn", "Gus", "Hank", "Ivo", "Jack"]
+    firsts = [f"{a}{b}" for a in given_ for b in ("o", "us", "in", "el", "an", "er")]
+    rows = [(i, f"Mr. {f} Smith came") for i, f in enumerate(firsts)] + [(100, "Mr Smith came"), (101, "Mrs Smith came")]
+    got = {r.doc_id: r.text for r in pii.replace_pii(spark.createDataFrame(rows, DOCS)).collect()}
+    family = got[100].split()[1]
+    assert family != "Smith" and got[101] == f"Mrs {family} came"
+    names = [re.fullmatch(rf"Mr\. ([\w-]+) {family} came", got[i])[1] for i in range(len(firsts))]
+    assert len(set(names)) == len(firsts) and all(set(n.split("-")) <= set(pii.GIVEN["male"].split()) for n in names)
+
+
+def test_pii_untitled_repeats_of_names(spark):
+    text = "John Smith, or Smith, met Mr. John Smith. Then John said: Smith's Smithson and smith stay, not Smith-Jones. г-н Иван Петров: Петров."
+    row = pii.replace_pii(spark.createDataFrame([(1, text), (2, "John Smith alone")], DOCS)).orderBy("doc_id").collect()
+    new, family, first = row[0].text, *re.search(r"Mr\. (\w+) (\w+)\.", row[0].text).group(2, 1)
+    last = re.search(r"г-н \w+ (\w+)", new)[1]
+    assert new.startswith(f"{first} {family}, or {family}, met Mr. {first} {family}. Then {first} said: {family}'s Smithson and smith stay, not {family}-Jones.")
+    assert new.endswith(f"{last}: {last}.") and row[0].n_entities == 8 and row[1].text == "John Smith alone"
