@@ -1,9 +1,10 @@
 """Licence scans by sentence rules, in DataFrame operations.
 
 1. A text is cut into sentences, which are normalised: lower case, one space for
-   any run of marks or white space.
+   any run of marks or white space. Line breaks cut as well.
 2. A normalised sentence that is a known licence sentence gets its identifier;
-   others get none.
+   others get none. A known sentence may also be cut up, by line breaks or by the
+   stops within it: it then is some pieces in a row, put together.
 3. Ordered licence rules are matched against the sequence of identifiers: a rule is a
    sequence of identifiers; where it occurs in a row, its sentences are consumed and
    the document has the rule's licence. Earlier rules go first, so a longer text of
@@ -34,22 +35,57 @@ SENTENCES: dict[str, list[str]] = {
     "CcBy4": ["licensed under cc by 4 0", "this work is licensed under cc by 4 0"],
     "CcBySa4": ["licensed under cc by sa 4 0", "this work is licensed under cc by sa 4 0"],
     "Cc0": ["released under cc0 1 0", "licensed under cc0 1 0", "this work is dedicated to the public domain"],
+    **{f"{name}Notice": [f"this {work} is free software you can redistribute it and or modify it under the terms of the gnu {kind} public license "
+                         f"as published by the free software foundation either version {version} of the license or at your option any later version"
+                         for work in ("program", "library", "file")]
+       for name, kind, version in (("Gpl3", "general", "3"), ("Gpl2", "general", "2"), ("Lgpl3", "lesser general", "3"))},
+    "GplWarranty": [f"this {work} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+                    "merchantability or fitness for a particular purpose" for work in ("program", "library", "file")],
+    "GplSee": [f"see the gnu {kind} public license for more details" for kind in ("general", "lesser general")],
+    "GplCopy": [f"you should have received a copy of the gnu {kind} public license along with this {work}"
+                for kind in ("general", "lesser general") for work in ("program", "library", "file")],
     "MitRef": ["released under the mit license", "licensed under the mit license"],
-    "Apache2Ref": ["licensed under the apache license version 2 0", "released under the apache license version 2 0"],
+    "Apache2Ref": ["licensed under the apache license version 2 0", "released under the apache license version 2 0",
+                   "licensed under the apache license version 2 0 the license"],
+    "Apache2Comply": ["you may not use this file except in compliance with the license"],
+    "Apache2Warranty": ["unless required by applicable law or agreed to in writing software distributed under the license is distributed on an "
+                        "as is basis without warranties or conditions of any kind either express or implied"],
+    "Apache2See": ["see the license for the specific language governing permissions and limitations under the license"],
     "Apache2Copy": ["you may obtain a copy of the license at http www apache org licenses license 2 0"],
     "Bsd2Cond": ["redistribution and use in source and binary forms with or without modification are permitted provided "
                  "that the following conditions are met"],
     "BsdSource": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
     "BsdBinary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
                   "disclaimer in the documentation and or other materials provided with the distribution"],
-    "MitGrant": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"],
+    "BsdName": [f"neither the name of {who} may be used to endorse or promote products derived from this software without specific "
+                "prior written permission" for who in ("the copyright holder nor the names of its contributors",
+                                                       "the copyright holders nor the names of its contributors",
+                                                       "the copyright holder nor the names of the contributors")],
+    "BsdWarranty": ["this software is provided by the copyright holders and contributors as is and any express or implied warranties including "
+                    "but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"],
+    "MitGrant": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+                 "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+                 "the software to deal in the software without restriction including without limitation the rights to use copy modify merge "
+                 "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to "
+                 "do so subject to the following conditions"],
+    "MitNotice": ["the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"],
+    "MitWarranty": ["the software is provided as is without warranty of any kind express or implied including but not limited to the warranties "
+                    "of merchantability fitness for a particular purpose and noninfringement"],
     "Mpl2Ref": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 #: Licences and the sequences of identifiers that stand for them, in order of precedence.
 RULES: list[tuple[str, list[str]]] = [
+    ("BSD-3-Clause", ["Bsd2Cond", "BsdSource", "BsdBinary", "BsdName", "BsdWarranty"]),
+    ("BSD-3-Clause", ["Bsd2Cond", "BsdSource", "BsdBinary", "BsdName"]),
+    ("BSD-2-Clause", ["Bsd2Cond", "BsdSource", "BsdBinary", "BsdWarranty"]),
     ("BSD-2-Clause", ["Bsd2Cond", "BsdSource", "BsdBinary"]),
+    ("Apache-2.0", ["Apache2Ref", "Apache2Comply", "Apache2Copy", "Apache2Warranty", "Apache2See"]),
+    ("Apache-2.0", ["Apache2Ref", "Apache2Comply", "Apache2Copy"]),
+    ("Apache-2.0", ["Apache2Ref", "Apache2Comply"]),
     ("Apache-2.0", ["Apache2Ref", "Apache2Copy"]),
     ("Apache-2.0", ["Apache2Ref"]),
+    *[(licence, [f"{name}Notice", *rest]) for rest in (["GplWarranty", "GplSee", "GplCopy"], ["GplWarranty", "GplSee"], [])
+      for licence, name in (("GPL-3.0", "Gpl3"), ("GPL-2.0", "Gpl2"), ("LGPL-3.0", "Lgpl3"))],
     ("GPL-3.0", ["Gpl3Work"]),
     ("GPL-2.0", ["Gpl2Work"]),
     ("LGPL-3.0", ["Lgpl3Work"]),
@@ -57,6 +93,8 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC-BY-SA-4.0", ["CcBySa4"]),
     ("CC-BY-4.0", ["CcBy4"]),
     ("CC0-1.0", ["Cc0"]),
+    ("MIT", ["MitGrant", "MitNotice", "MitWarranty"]),
+    ("MIT", ["MitGrant", "MitNotice"]),
     ("MIT", ["MitGrant"]),
     ("MIT", ["MitRef"]),
     ("MPL-2.0", ["Mpl2Ref"]),
@@ -65,8 +103,11 @@ RULES: list[tuple[str, list[str]]] = [
 
 #: Ends of sentences: a line break, or a full stop, mark or semicolon before white space or the end.
 CUT = r"[\n\r]+|[.!?;]+(?:[ \t]+|$)"
-#: Words that some known sentence holds; a text without any of them has no known sentence.
-HINT = r"(?i)license|licensed|cc0|rights reserved|public domain|redistribution|permission is hereby"
+#: Each known sentence holds one of these, as a part of one word; a text without any of them has no known sentence.
+HINT = r"(?i)licens|cc0|reserved|domain|redistribution|permission|warrant"
+#: A known sentence, as group 1, between cuts (bars) in a normalised text; cuts and an item's number may be in it or before it.
+KNOWN = r"(?<=\|)(?:[0-9] )?(" + "|".join(
+    t.replace(" ", "[ |]") for t in sorted((t for ts in SENTENCES.values() for t in ts), key=len, reverse=True)) + r")(?=\|)"
 
 
 #: What a rule leaves in the place of the identifiers that it took.
@@ -84,8 +125,11 @@ def _known() -> Column:
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known licence sentences of a text, in order; empty for a null text."""
     none = F.array().cast("array<string>")
-    normal = F.transform(F.split(text, CUT, -1), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    found = F.filter(F.transform(normal, lambda s: F.try_element_at(_known(), s)), lambda i: i.isNotNull())
+    # the text as |piece|piece|...|, U+0001 being a cut
+    cut = F.regexp_replace(F.lower(F.translate(text, "\x01", " ")), CUT, "\x01")
+    normal = F.regexp_replace(F.regexp_replace(cut, "[^a-z0-9\x01]+", " "), " ?\x01[ \x01]*", "|")
+    normal = F.concat(F.lit("|"), F.trim(normal), F.lit("|"))
+    found = F.transform(F.regexp_extract_all(normal, F.lit(KNOWN), F.lit(1)), lambda s: F.try_element_at(_known(), F.translate(s, "|", " ")))
     return F.coalesce(F.when(text.rlike(HINT), found), none)
 
 

@@ -151,6 +151,61 @@ def test_longer_rules_take_their_sentences_first(spark):
     assert row.licences == ["BSD-2-Clause", "Apache-2.0"] and row.unmatched == []
 
 
+HEADERS = {
+    "Apache-2.0": """ * Copyright 2020 A
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.""",
+    "MIT": """Copyright (c) 2020 A
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+    "GPL-3.0": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.""",
+    "Proprietary": "All rights\nreserved.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.",
+}
+
+
+def test_wrapped_licence_headers(spark):
+    names = list(HEADERS)
+    docs = spark.createDataFrame([(i, "Some words before.\n" + HEADERS[n] + "\nand after") for i, n in enumerate(names)], DOCS)
+    got = {r.doc_id: (r.licences, r.unmatched) for r in licences.scan_licences(docs).collect()}
+    assert {n: got[i] for i, n in enumerate(names)} == {n: ([n], []) for n in names}
+    assert all(re.search(licences.HINT, t) for ts in licences.SENTENCES.values() for t in ts)
+
+
 # ---------------------------------------------------------------- PII
 
 def _luhn(s):
