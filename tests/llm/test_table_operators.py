@@ -139,6 +139,25 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.search(three, three).count() == 6  # fewer candidates than asked for
 
 
+@pytest.mark.parametrize("shape", ["unlike norms", "low rank"])
+def test_neighbours_recall_on_vectors_that_prune(spark, shape, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 1000)
+    rng = np.random.default_rng(11)
+    if shape == "low rank":
+        x = rng.normal(size=(3000, 6)) @ rng.normal(size=(6, 32))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+    else:
+        x = rng.normal(size=(40, 32))[rng.integers(0, 40, 3000)] + 0.1 * rng.normal(size=(3000, 32))
+        x *= rng.lognormal(0, 1, 3000)[:, None]
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = _brute(rows, range(0, 3000, 60), 20)
+    got = {}
+    for r in neighbours.search(df, df.filter("vec_id % 60 = 0"), 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len({v for v, _ in want[q]} & got.get(q, set())) / 20 for q in want]) >= 0.9
+
+
 # ---------------------------------------------------------------- mixing
 
 def _fill(amount, children):
