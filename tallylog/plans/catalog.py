@@ -10,6 +10,7 @@ each entry is in ``tallylog.oracle.ORACLE_SQL`` under the same key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,11 +210,21 @@ def batch_by_file(spark, sf_dir):
 
 
 def batch_from_file_name(spark, sf_dir):
-    """Lines of files batch_NNN.log, but for every third batch, whose file has another name and index 7."""
+    """Lines of files batch_NNN.log, but for every third batch, whose file has another name and index 7.
+
+    Each batch is written as an entry of that name, and names are taken from the listed entries.
+    """
+    root = staging_path(spark, "named-batches")
     batched = P.with_batch_id(lines(spark, sf_dir), BATCH_SIZE)
-    name = F.concat(F.lit("/logs/"), F.when(F.col("batch_id") % 3 == 0, "other_").otherwise("batch_"),
-                    F.lpad(F.col("batch_id").cast("string"), 3, "0"), F.lit(".log"))
-    return batched.select("ordinal", O.batch_from_file_name(name, F.lit(7)).alias("batch_id"))
+    name = F.format_string("%s_%03d.log", F.when(F.col("batch_id") % 3 == 0, "other").otherwise("batch"), F.col("batch_id"))
+    (batched.withColumn("entry", name).repartition("entry").sortWithinPartitions("entry", "ordinal")
+     .select("entry", "raw").write.partitionBy("entry").text(root))
+    # in the order of the numbers, whichever word is before them
+    listed = sorted(T.list_inputs(spark, root, "entry="), key=lambda f: (int(f.entry.split("_")[1].split(".")[0]), f.file_order))
+    files = [replace(f, file_order=i) for i, f in enumerate(listed, 1)]
+    tagged = T.tag_source_file(T.scan_spread(spark, files), T.files_frame(spark, files))
+    file_name = F.substring(F.col("file_entry"), len("entry=") + 1, 1 << 20)
+    return O.assign_ordinal(tagged).select("ordinal", O.batch_from_file_name(file_name, F.lit(7)).alias("batch_id"))
 
 
 def num_batches(spark, sf_dir):

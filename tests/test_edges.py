@@ -189,6 +189,13 @@ def test_b4_batch_from_file_name(spark):
     assert [r[0] for r in df.select(O.batch_from_file_name()).collect()] == [7, 12, 5, 1]
 
 
+def test_b4_query_names_files_beyond_999(spark, monkeypatch):
+    from tallylog.plans import catalog
+    monkeypatch.setattr(catalog, "BATCH_SIZE", 1)
+    got = {r.ordinal: r.batch_id for r in catalog.batch_from_file_name(spark, "/root/testdata/sf0.001").collect()}
+    assert got == {i: 7 if i % 3 == 0 else i for i in range(1, 1001)}
+
+
 def test_diff_runs_reports_both_sides(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
