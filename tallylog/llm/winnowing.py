@@ -1,6 +1,6 @@
 """Document fingerprints by winnowing, in DataFrame operations only.
 
-The hashes of all k-grams of code points roll over a text; of each window of w
+All k-grams of code points of a text are hashed, each anew; of each window of w
 neighbouring hashes the smallest is chosen, the rightmost on ties. The chosen
 hashes, with their positions, are the fingerprint: any match of k + w - 1 code
 points shares one of them.
