@@ -196,6 +196,18 @@ def test_b4_query_names_files_beyond_999(spark, monkeypatch):
     assert got == {i: 7 if i % 3 == 0 else i for i in range(1, 1001)}
 
 
+def test_s11_query_checks_rows_of_every_report(spark, monkeypatch):
+    from oracle_compare import compare, duck
+    from tallylog.oracle import ORACLE_SQL
+    from tallylog.plans import catalog
+    from tallylog.sources import store as S
+    roots, check = [], S.check_result_keys
+    monkeypatch.setattr(S, "check_result_keys", lambda spark, root: roots.append(root) or check(spark, root))
+    ok, said = compare(catalog.check_result_keys(spark, "/root/testdata/sf0.001"), duck("/root/testdata/sf0.001"), ORACLE_SQL["check_result_keys"])
+    assert ok, said
+    assert all(S.read_table(spark, roots[0], t).count() for t in S.PRIMARY_KEYS)
+
+
 def test_diff_runs_reports_both_sides(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
