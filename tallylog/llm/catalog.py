@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import bpe, licences, mixing, neighbours, pii, quality, sharding, simhash, toxicity, winnowing
+from tallylog.llm import bpe, lexical, licences, mixing, neighbours, pii, quality, sharding, simhash, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
@@ -19,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_quality": quality.op9_quality,
     "op10_sharding": sharding.op10_sharding,
+    "op11_lexical": lexical.op11_lexical,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_licences": licences.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
+    "op11_lexical": lexical.ORACLE_SQL,
 }
