@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylog.llm import bpe, lexical, licences, mixing, neighbours, pii, quality, sharding, simhash, toxicity, whitening, winnowing
+from tallylog.llm import bpe, langid, lexical, licences, mixing, neighbours, pii, quality, sharding, simhash, toxicity, whitening, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1_bpe,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality.op9_quality,
     "op10_sharding": sharding.op10_sharding,
     "op11_lexical": lexical.op11_lexical,
+    "op12_langid": langid.op12_langid,
     "op13_whitening": whitening.op13_whitening,
 }
 
