@@ -129,8 +129,8 @@ def read_run_results(spark, sf_dir):
 
 
 def write_line_batches(spark, sf_dir):
-    numbered = O.assign_ordinal(_file_lines(spark, sf_dir))
-    root = O.write_line_batches(numbered, BATCH_SIZE, staging_path(spark, "batches"))
+    numbered, offsets = O.number_lines(_file_lines(spark, sf_dir))
+    root = O.write_line_batches(numbered, BATCH_SIZE, staging_path(spark, "batches"), offsets=offsets)
     again, _ = T.read_log_lines(spark, root, "batch_id=")
     return O.assign_ordinal(again).select("ordinal", O.batch_from_file_name().alias("batch_id"), "raw")
 
@@ -222,7 +222,7 @@ def batch_from_file_name(spark, sf_dir):
     # in the order of the numbers, whichever word is before them
     listed = sorted(T.list_inputs(spark, root, "entry="), key=lambda f: (int(f.entry.split("_")[1].split(".")[0]), f.file_order))
     files = [replace(f, file_order=i) for i, f in enumerate(listed, 1)]
-    tagged = T.tag_source_file(T.scan_spread(spark, files), T.files_frame(spark, files))
+    tagged = T.tag_source_file(T.scan_spread(T.pinned_session(spark), files), T.files_frame(spark, files))
     file_name = F.substring(F.col("file_entry"), len("entry=") + 1, 1 << 20)
     return O.assign_ordinal(tagged).select("ordinal", O.batch_from_file_name(file_name, F.lit(7)).alias("batch_id"))
 

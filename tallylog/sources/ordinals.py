@@ -1,18 +1,21 @@
 """Line ordinals and batches taken from files.
 
-Every line is numbered 1..N over all inputs in input order with no global sort and
-without moving the lines for it:
-
-1. each line carries ``row_id`` from the scan (consecutive inside one split), and
-   the scanned lines are written once (the job: its staged records), so that row
-   ids and splits cannot change afterwards, whatever executors are lost;
-2. one aggregate gives, per split (file_path, block_start), its first row_id and
-   its line counts: one small row per split;
-3. the file table (one row per input file) is joined to that split table, not to
-   the lines, and running sums give the lines before each split: within a file, and
-   across files by blocks of files, so no window takes all files at once;
+Every line is numbered 1..N over all inputs in input order with no global sort, and
+without moving or rewriting the lines for it:
+
+1. each line carries ``row_id`` from the scan, consecutive inside one split. Either the
+   scan is pinned (``read_log_lines``), so that a second scan gives the same ids, or the
+   lines come from a written table (the job: its staged records);
+2. one aggregate gives, per split and per block of ROWS_IN_BLOCK row ids in it, the first
+   row_id and the line counts: one small row per block. A file that no codec can split is
+   one split of any length, but many such blocks;
+3. the file table (one row per input file) meets those rows, not the lines, and running
+   sums give the lines before each block: within a file, and across files by blocks of
+   files, so no window takes all files at once. The result, the split table, is written;
 4. ordinal = lines_before + (row_id - first_row_id) + 1, by an equi-join of the lines
-   with the split table, whose plan Spark picks from the measured size.
+   with the split table, whose plan Spark picks from the measured size. No key of that
+   join holds more than ROWS_IN_BLOCK lines. A line that the split table does not hold
+   (the input has changed since) is an error, never a wrong number.
 """
 
 from __future__ import annotations
@@ -23,44 +26,57 @@ from pyspark.sql import functions as F
 from tallylog.functions import clf
 from tallylog.session import staging_path
 
-SPLIT_KEYS = ["file_path", "block_start"]
+SPLIT_COLUMNS = ["file_path", "block_start", "row_id"]
+# Row ids in a block, a power of two: the most lines that one join key holds.
+ROWS_IN_BLOCK = 1 << 20
 # Input files whose totals are summed in one window.
 FILES_IN_BLOCK = 1024
 
+BLOCK_KEYS = ["file_path", "block_start", "row_block"]
 
-def split_offsets(lines: DataFrame, file_table: DataFrame) -> DataFrame:
-    """Per split: its file, first row_id, line counts, and the number of lines before it.
 
-    When the lines carry ``is_valid`` (parsed lines), each split also records its
-    valid-line count and the largest row_id of a valid line, from which the run
-    statistics follow without another pass over the lines.
+def _with_row_block(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("row_block", F.shiftright("row_id", ROWS_IN_BLOCK.bit_length() - 1))
+
+
+def split_offsets(lines: DataFrame, file_table: DataFrame | None = None) -> DataFrame:
+    """Per block of a split: its file, first row_id, line counts, and the number of lines before it.
+
+    Without a ``file_table`` the lines carry file_index and file_order themselves
+    (``tag_source_file``). When they carry ``is_valid`` (parsed lines), each block also
+    records its valid-line count and the largest row_id of a valid line, from which the
+    run statistics follow without another pass over the lines.
     """
     aggs = [F.min("row_id").alias("first_row_id"), F.count(F.lit(1)).alias("n_lines")]
     flagged = "is_valid" in lines.columns
     if flagged:
         aggs += [F.count_if(F.col("is_valid")).alias("n_valid"),
                  F.max(F.when(F.col("is_valid"), F.col("row_id"))).alias("last_valid_row_id")]
-    splits = lines.groupBy(*SPLIT_KEYS).agg(*aggs).join(file_table, "file_path")
-
-    def before(partition: str, order: str, value: str) -> Column:
-        w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if file_table is None:
+        aggs += [F.first("file_index").alias("file_index"), F.first("file_order").alias("file_order")]
+    splits = _with_row_block(lines).groupBy(*BLOCK_KEYS).agg(*aggs)
+    if file_table is not None:
+        splits = splits.join(file_table, "file_path")
+
+    def before(partition: str, order: list[str], value: str) -> Column:
+        w = Window.partitionBy(partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(value).over(w), F.lit(0))
 
-    splits = splits.withColumn("before_in_file", before("file_path", "block_start", "n_lines"))
+    splits = splits.withColumn("before_in_file", before("file_path", ["block_start", "row_block"], "n_lines"))
     files = (splits.groupBy("file_order").agg(F.sum("n_lines").alias("file_lines"))
              .withColumn("block", clf.int_div("file_order", F.lit(FILES_IN_BLOCK)))
-             .withColumn("before_in_block", before("block", "file_order", "file_lines")))
+             .withColumn("before_in_block", before("block", ["file_order"], "file_lines")))
     blocks = (files.groupBy("block").agg(F.sum("file_lines").alias("block_lines")).withColumn("all", F.lit(0))
-              .withColumn("before_block", before("all", "block", "block_lines")).select("block", "before_block"))
+              .withColumn("before_block", before("all", ["block"], "block_lines")).select("block", "before_block"))
     starts = files.join(blocks, "block").select("file_order", (F.col("before_block") + F.col("before_in_block")).alias("before_file"))
     extra = ["n_valid", "last_valid_row_id"] if flagged else []
     return splits.join(starts, "file_order").select(
-        *SPLIT_KEYS, "file_order", "file_index", "first_row_id", "n_lines", *extra,
+        *BLOCK_KEYS, "file_order", "file_index", "first_row_id", "n_lines", *extra,
         (F.col("before_file") + F.col("before_in_file")).cast("bigint").alias("lines_before"),
     )
 
 
-def write_split_table(lines: DataFrame, file_table: DataFrame, path: str | None = None) -> DataFrame:
+def write_split_table(lines: DataFrame, file_table: DataFrame | None = None, path: str | None = None) -> DataFrame:
     """The split table written as parquet (under the shared folder unless a path is
     given), where the lineage is cut, and read back."""
     spark = lines.sparkSession
@@ -96,29 +112,24 @@ def file_batch_stats(offsets: DataFrame) -> DataFrame:
     return _stats(offsets, F.when(F.col("n_valid") > 0, F.col("file_index")))
 
 
-SPLIT_COLUMNS = [*SPLIT_KEYS, "row_id"]
-
-
 def number_with(lines: DataFrame, offsets: DataFrame) -> DataFrame:
-    """ordinal = lines before the split + position in the split + 1, and file_index, by a
-    join to the written split table."""
-    side = offsets.select(*SPLIT_KEYS, "file_index", "first_row_id", "lines_before")
-    return lines.drop("file_index").join(side, SPLIT_KEYS).withColumn(
-        "ordinal", F.col("lines_before") + (F.col("row_id") - F.col("first_row_id")) + F.lit(1)
-    ).drop("first_row_id", "lines_before")
+    """ordinal = lines before the block + place in the block + 1, and file_index, by a
+    join to the written split table. A line without a place in that table is an error."""
+    side = offsets.select(*BLOCK_KEYS, "file_index", "first_row_id", "n_lines", "lines_before")
+    place = F.col("row_id") - F.col("first_row_id")
+    ordinal = F.when(F.coalesce(place.between(0, F.col("n_lines") - 1), F.lit(False)), F.col("lines_before") + place + F.lit(1)).otherwise(
+        F.raise_error(F.concat(F.lit("the input has changed while its lines were numbered: "), F.col("file_path"))).cast("bigint"))
+    return _with_row_block(lines.drop("file_index")).join(side, BLOCK_KEYS, "left").withColumn("ordinal", ordinal).drop(
+        "row_block", "first_row_id", "n_lines", "lines_before")
 
 
-def number_lines(lines: DataFrame, written: bool = False) -> tuple[DataFrame, DataFrame]:
+def number_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """B1: the numbered lines and the written split table.
 
-    ``lines`` comes from ``read_log_lines``. It is written to the shared folder
-    first, so that its row ids are those of one scan; ``written``: it is already."""
-    if not written:
-        path = staging_path(lines.sparkSession, "scanned-lines")
-        lines.write.mode("errorifexists").parquet(path)
-        lines = lines.sparkSession.read.parquet(path)
-    table = lines.groupBy("file_path").agg(F.first("file_index").alias("file_index"), F.first("file_order").alias("file_order"))
-    offsets = write_split_table(lines, table)
+    ``lines`` comes from ``read_log_lines`` or from a written table of its columns. They
+    are read twice, once for the split table and once to be numbered, and never written here.
+    """
+    offsets = write_split_table(lines)
     return number_with(lines, offsets), offsets
 
 
@@ -153,16 +164,18 @@ def batch_from_file_name(file_path: Column | str = "file_path", file_index: Colu
 CHUNK_LINES = 1_000_000
 
 
-def write_line_batches(lines: DataFrame, batch_size: int, root: str, chunk_lines: int = CHUNK_LINES) -> str:
-    """Write the raw lines as numbered batches of exactly N lines.
+def write_line_batches(lines: DataFrame, batch_size: int, root: str, chunk_lines: int = CHUNK_LINES,
+                       offsets: DataFrame | None = None) -> str:
+    """Write the raw lines as numbered batches of exactly N lines; they are written once, here.
 
     Layout ``root/batch_id=K/chunk=C/part-*.txt``: a batch is one folder, cut into
     chunks of at most ``chunk_lines`` lines, each written in ordinal order. Reading the
     batches back in natural name order (batch, then chunk) gives the original line
     order. A batch may take lines from two input files. The number of tasks comes
     from the number of lines: about ``chunk_lines`` each, however the session is set.
+    ``offsets``: the split table of ``number_lines``, which saves a pass to count the lines.
     """
-    last = lines.agg(F.max("ordinal")).first()[0] or 0
+    last = (lines.agg(F.max("ordinal")) if offsets is None else offsets.agg(F.sum("n_lines"))).first()[0] or 0
     tasks = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-last // chunk_lines))
     placed = lines.withColumns({
         "batch_id": clf.batch_by_lines("ordinal", batch_size),

@@ -202,17 +202,41 @@ def scan_spread(spark: SparkSession, files: list[InputFile]) -> DataFrame:
     return spread if not rest else scan_lines(spark, rest).unionByName(spread)
 
 
+def pinned_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose scans cut the same files into the same splits whenever they run.
+
+    Spark sizes splits by the cores that are live when a scan starts. Here that number is
+    set once, so a second scan deals out the same row ids, though executors came or went
+    in between. All other settings are those of ``spark``, which is left as it is.
+    """
+    pinned = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            pinned.conf.set(key, value)
+    if pinned.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        cores = pinned.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        pinned.conf.set("spark.sql.files.minPartitionNum", str(max(int(cores), 1)))
+    return pinned
+
+
 def tag_source_file(lines: DataFrame, file_table: DataFrame) -> DataFrame:
-    """Attach file_entry, file_index (the input's position) and file_order."""
-    return lines.join(file_table, "file_path")
+    """Attach file_entry, file_index (the input's position) and file_order.
+
+    The result runs in the session of ``file_table``, whatever session scans the lines.
+    """
+    added = [c for c in file_table.columns if c != "file_path"]
+    return file_table.join(lines, "file_path").select("file_path", *[c for c in lines.columns if c != "file_path"], *added)
 
 
 def read_log_lines(
     spark: SparkSession, inputs: str | list[str], name_prefix: str = DEFAULT_PREFIX,
 ) -> tuple[DataFrame, list[InputFile]]:
-    """S1-S5 together: tagged raw lines and the ordered file list."""
+    """S1-S5 together: tagged raw lines and the ordered file list.
+
+    The scan is pinned, so the lines may be read several times and keep their row ids.
+    """
     files = list_inputs(spark, inputs, name_prefix)
-    return tag_source_file(scan_spread(spark, files), files_frame(spark, files)), files
+    return tag_source_file(scan_spread(pinned_session(spark), files), files_frame(spark, files)), files
 
 
 def union_inputs(frames: list[DataFrame]) -> DataFrame:
