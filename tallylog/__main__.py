@@ -1,13 +1,15 @@
-"""``spark-submit`` entry point: ``run`` a report job or print a stored ``report``.
+"""``spark-submit`` entry point: ``run`` a report job, print a stored ``report``, or ``sweep`` up after crashed runs.
 
     spark-submit tallylog/__main__.py run --input hdfs:///logs --store hdfs:///reports \\
         [--batch-size 100000] [--query all|1|2|3] [--prefix NASA_access_log_] [--keep-staging]
     spark-submit tallylog/__main__.py report --store hdfs:///reports --run-id <id>
+    spark-submit tallylog/__main__.py sweep --store hdfs:///reports --older-than-hours 24
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import os
 import sys
 
@@ -17,7 +19,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tallylog.plans.job import run_report, run_report_job  # noqa: E402
 from tallylog.plans.reports import QUERY_CHOICES  # noqa: E402
-from tallylog.sources.store import RunNotFound  # noqa: E402
+from tallylog.sources.store import RunNotFound, sweep_crashed_runs  # noqa: E402
 from tallylog.sources.text import DEFAULT_PREFIX  # noqa: E402
 
 
@@ -41,6 +43,9 @@ def main(argv: list[str] | None = None) -> int:
     rep = sub.add_parser("report", help="print a stored run")
     rep.add_argument("--store", required=True)
     rep.add_argument("--run-id", required=True)
+    sweep = sub.add_parser("sweep", help="drop what crashed runs left, and print their ids")
+    sweep.add_argument("--store", required=True)
+    sweep.add_argument("--older-than-hours", type=float, required=True, help="younger runs may still be in progress")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tallylog").getOrCreate()
@@ -49,6 +54,10 @@ def main(argv: list[str] | None = None) -> int:
                                 query=args.query, name_prefix=args.prefix, keep_staging=args.keep_staging)
         print(run_id)
         return 0
+    if args.command == "sweep":
+        for run_id in sweep_crashed_runs(spark, args.store, dt.timedelta(hours=args.older_than_hours)):
+            print(run_id)
+        return 0
     try:
         parts = run_report(spark, args.store, args.run_id)
     except RunNotFound as exc:

@@ -55,6 +55,15 @@ def join_metrics_hosts(metrics: DataFrame, host_counts: DataFrame) -> DataFrame:
         "resource_path", "request_count", "total_bytes", "distinct_host_count")
 
 
+def hourly_parts(hourly: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three hourly tables (errors, error hosts, totals) out of one table of hourly counts
+    (``aggregates.hourly_counts``), so that the records are read and shuffled once for all three.
+    Write that table first: it has a row an hour, and each part reads it."""
+    with_errors = hourly.filter(F.col("error_request_count") > 0)
+    return (with_errors.select(*HOUR_KEYS, "error_request_count"), with_errors.select(*HOUR_KEYS, "distinct_error_hosts"),
+            hourly.select(*HOUR_KEYS, "total_request_count"))
+
+
 def join_hourly_three_way(errors: DataFrame, error_hosts: DataFrame, totals: DataFrame) -> DataFrame:
     """Errors x error hosts x totals on (log_date, log_hour), inner joins."""
     joined = errors.join(error_hosts, HOUR_KEYS, "inner").join(totals, HOUR_KEYS, "inner")

@@ -149,10 +149,54 @@ TOP_PATHS = ", " + PATH_METRICS + """
 )""".replace("@K@", str(TOP_K))
 
 
-# A run whose q1 table holds each row twice and that has no row in ``runs``.
-BAD_KEYS = f"""SELECT 'q1_daily_traffic' AS table_name, 'duplicate_key' AS violation, 'bad-run' AS run_id,
-  '{{"run_id":"bad-run","log_date":"' || CAST(log_date AS VARCHAR) || '","status_code":"' || CAST(status_code AS VARCHAR) || '"}}' AS detail
-FROM ({Q1}) AS s UNION ALL SELECT 'q1_daily_traffic', 'missing_run', 'bad-run', NULL"""
+BATCHES = """SELECT batch_id, CAST(count(*) FILTER (WHERE is_valid) AS BIGINT) AS record_count,
+       CAST(count(*) FILTER (WHERE NOT is_valid) AS BIGINT) AS malformed_count,
+       CAST(COALESCE(sum(bytes_transferred) FILTER (WHERE is_valid), 0) AS BIGINT) AS total_bytes
+FROM flagged GROUP BY batch_id"""
+
+REPORT_COLUMNS = {
+    "q1_daily_traffic": ["log_date", "status_code", "request_count", "total_bytes"],
+    "q2_top_resources": ["rank", "resource_path", "request_count", "total_bytes", "distinct_host_count"],
+    "q3_hourly_errors": ["log_date", "log_hour", "error_request_count", "total_request_count", "error_rate", "distinct_error_hosts"],
+    "batches": ["batch_id", "record_count", "malformed_count", "total_bytes"],
+}
+REPORT_KEYS = {"q1_daily_traffic": 2, "q2_top_resources": 1, "q3_hourly_errors": 2, "batches": 1}  # so many columns from the left
+REPORT_NULLS = {"q1_daily_traffic": "total_bytes", "q2_top_resources": "resource_path", "q3_hourly_errors": "error_rate", "batches": "total_bytes"}
+
+REPORTS = f""", {PATH_METRICS}, {HOURLY},
+q1_daily_traffic AS ({Q1}),
+q2_top_resources AS ({Q2[Q2.index("SELECT CAST(row_number"):]}),
+q3_hourly_errors AS ({Q3[Q3.rindex("SELECT log_date, log_hour, error_request_count"):]}),
+batches AS ({BATCHES}),
+stats AS ({RUN_STATS})
+"""
+
+
+def _detail(run: str, columns: list[str]) -> str:
+    """The JSON text of the columns of a row that are not null, all as strings."""
+    return f"'{{\"run_id\":\"{run}\"' || " + " || ".join(f"',\"{c}\":\"' || CAST({c} AS VARCHAR) || '\"'" for c in columns) + " || '}'"
+
+
+# Of each report, a run holds each row twice and another a null in each; neither is in ``runs``.
+# A third run is there twice, each time with a null.
+BAD_KEYS = REPORTS + " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, 'duplicate_key' AS violation, 'doubled-run' AS run_id, {_detail("doubled-run", cols[:REPORT_KEYS[t]])} AS detail FROM {t}
+UNION ALL SELECT '{t}', 'missing_run', 'doubled-run', NULL UNION ALL SELECT '{t}', 'missing_run', 'nulled-run', NULL
+UNION ALL SELECT '{t}', 'null_value', 'nulled-run', {_detail("nulled-run", [c for c in cols if c != REPORT_NULLS[t]])} FROM {t}"""
+    for t, cols in REPORT_COLUMNS.items()) + f"""
+UNION ALL SELECT 'runs', 'duplicate_key', 'run-named-twice', '{{"run_id":"run-named-twice"}}'
+UNION ALL SELECT 'runs', 'null_value', 'run-named-twice',
+  '{{"run_id":"run-named-twice","query_name":"all","status":"completed","started_at":"2024-01-01 00:00:00","finished_at":"2024-01-01 00:00:00",'
+  || '"runtime_ms":"0","batch_size":"{BATCH_SIZE}","num_batches":"' || num_batches || '","avg_batch_size":"' || CAST(avg_batch_size AS VARCHAR)
+  || '","total_records":"' || total_records || '","malformed_count":"' || malformed_count || '"}}'
+FROM stats, range(2)"""
+
+# A complete run, and the one that is still in progress.
+SWEPT = REPORTS + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 'complete' AS run, CAST(count(*) AS BIGINT) AS n_rows FROM {t}" for t in REPORT_COLUMNS) + """
+UNION ALL SELECT 'runs', 'complete', CAST(1 AS BIGINT)
+UNION ALL SELECT 'q1_daily_traffic', 'in-progress', CAST(count(*) AS BIGINT) FROM q1_daily_traffic
+UNION ALL SELECT 'started', 'in-progress', CAST(1 AS BIGINT)"""
 
 # Hourly errors where totals are known before noon and hosts from six o'clock on.
 PARTLY_KNOWN = ", " + HOURLY + f""", known AS (
@@ -169,7 +213,7 @@ BODIES = {
     # S
     "scan_log_lines": "SELECT raw FROM lines",
     "scan_gzip_lines": "SELECT raw FROM lines",
-    "decode_latin1": "SELECT raw, CAST(length(raw) AS INTEGER) AS n_chars FROM lines",
+    "decode_latin1": "SELECT raw || chr(CAST(192 + ordinal % 64 AS INTEGER)) AS raw, CAST(length(raw) + 1 AS INTEGER) AS n_chars FROM lines",
     "union_inputs": "SELECT raw FROM lines UNION ALL SELECT raw FROM lines",
     "tag_source_file": f"SELECT raw, 'day=' || day AS file_entry, {DAY_INDEX} AS file_index FROM lines",
     "write_results": Q1,
@@ -181,6 +225,7 @@ BODIES = {
     "read_run_results": Q3,
     "write_line_batches": "SELECT ordinal, batch_id, raw FROM flagged",
     "check_result_keys": BAD_KEYS,
+    "sweep_crashed_runs": SWEPT,
     # P
     "extract_log_fields": "SELECT ordinal, host, timestamp_raw, request_raw, status_raw, bytes_raw FROM fields",
     "filter_valid": ("SELECT ordinal, host, timestamp_raw, request_raw, status_raw, bytes_raw "
@@ -203,12 +248,10 @@ BODIES = {
     "num_batches": "SELECT CAST(COALESCE(max(batch_id), 0) AS BIGINT) AS num_batches FROM parsed",
     "avg_batch_size": f"SELECT avg_batch_size FROM ({RUN_STATS}) AS s",
     "run_stats": RUN_STATS,
-    "batch_summary": (
-        "SELECT batch_id, CAST(count(*) FILTER (WHERE is_valid) AS BIGINT) AS record_count, "
-        "CAST(count(*) FILTER (WHERE NOT is_valid) AS BIGINT) AS malformed_count, "
-        "CAST(COALESCE(sum(bytes_transferred) FILTER (WHERE is_valid), 0) AS BIGINT) AS total_bytes "
-        "FROM flagged GROUP BY batch_id"),
-    "guard_empty_run": RUN_STATS,
+    "batch_summary": BATCHES,
+    "guard_empty_run": (
+        f"SELECT 'whole log' AS input, CASE WHEN total_records = 0 THEN 'refused' ELSE 'accepted' END AS outcome, total_records, malformed_count "
+        f"FROM ({RUN_STATS}) AS s UNION ALL SELECT 'malformed lines', 'refused', CAST(0 AS BIGINT), malformed_count FROM ({RUN_STATS}) AS s"),
     # A
     "q1_partial": ("SELECT batch_id, log_date, status_code, CAST(count(*) AS BIGINT) AS request_count, "
                    "CAST(COALESCE(sum(bytes_transferred), 0) AS BIGINT) AS total_bytes "

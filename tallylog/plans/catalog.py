@@ -9,6 +9,7 @@ each entry is in ``tallylog.oracle.ORACLE_SQL`` under the same key.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -88,7 +89,11 @@ def scan_gzip_lines(spark, sf_dir):
 
 
 def decode_latin1(spark, sf_dir):
-    files = T.list_inputs(spark, _log_files(spark, sf_dir), DAY_PREFIX)
+    """Each line with one more character, U+00C0 to U+00FF, written as one byte that is no UTF-8."""
+    root = staging_path(spark, "latin1")
+    text = F.concat(F.col("raw"), F.char(F.lit(192) + F.col("ordinal") % 64))
+    lines(spark, sf_dir).select(F.encode(text, "ISO-8859-1").cast("string").alias("raw")).write.text(root)
+    files = T.list_inputs(spark, root, "part-")
     return spark.read.text([T.escape_glob(f.path) for f in files]).select(
         T.decode_latin1(F.col("value")).alias("raw")).withColumn("n_chars", F.length("raw"))
 
@@ -135,12 +140,43 @@ def write_line_batches(spark, sf_dir):
     return O.assign_ordinal(again).select("ordinal", O.batch_from_file_name().alias("batch_id"), "raw")
 
 
+#: The column that a run of the key checks leaves empty, by table.
+NULLED = {"runs": "pipeline", "q1_daily_traffic": "total_bytes", "q2_top_resources": "resource_path",
+          "q3_hourly_errors": "error_rate", "batches": "total_bytes"}
+
+
 def check_result_keys(spark, sf_dir):
-    """A good run, and a bad one: each q1 row twice, and no row in ``runs``."""
+    """A good run, one with each row twice, one with a null in each row; the latter two have no
+    row in ``runs``, and a fourth run has two rows there, each with a null."""
+    store_root, run_id = _job(spark, sf_dir)
+    good = S.read_run_results(spark, store_root, run_id)
+    nulled = {q: df.withColumn(NULLED[S.QUERY_TABLES.get(q, q)], F.lit(None).cast(df.schema[NULLED[S.QUERY_TABLES.get(q, q)]].dataType))
+              for q, df in good.items()}
+    reports = [*S.QUERY_TABLES, "batches"]
+    S.write_results({q: good[q].unionByName(good[q]) for q in reports}, store_root, "doubled-run")
+    S.write_results({q: nulled[q] for q in reports}, store_root, "nulled-run")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    twice = nulled["runs"].drop("run_id").withColumns({"started_at": at, "finished_at": at, "runtime_ms": F.lit(0).cast("bigint")})
+    twice.unionByName(twice).write.parquet(f"{store_root}/runs/run_id=run-named-twice")
+    return S.check_result_keys(spark, store_root)
+
+
+def sweep_crashed_runs(spark, sf_dir):
+    """What is in the store after a sweep: a complete run, one killed between two of its reports, one
+    whose mark is lost as well, and one that is still in progress."""
     store_root, _ = _job(spark, sf_dir)
     q1 = A.q1_daily_traffic(parsed(spark, sf_dir, "log_date", "status_code", "bytes_transferred"))
-    S.write_results({"q1": q1.unionByName(q1)}, store_root, "bad-run")
-    return S.check_result_keys(spark, store_root)
+    now = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=3)
+    S.write_started(spark, store_root, "killed", now - dt.timedelta(days=3))
+    S.write_started(spark, store_root, "in-progress", now - dt.timedelta(hours=1))
+    for run_id in ("killed", "unmarked", "in-progress"):
+        S.write_results({"q1": q1}, store_root, run_id)
+    S.materialize_parsed(q1, f"{S.staging_folder(store_root, 'killed')}/parsed")
+    S.sweep_crashed_runs(spark, store_root, older_than=dt.timedelta(days=1), now=now)
+    kind = F.when(F.col("run_id").isin("killed", "unmarked", "in-progress"), F.col("run_id")).otherwise(F.lit("complete"))
+    parts = [S.read_table(spark, store_root, t).groupBy(kind.alias("run")).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "run", "n_rows") for t in [*S.PRIMARY_KEYS, "started"]]
+    return T.union_inputs(parts)
 
 
 # ---------------------------------------------------------------- P: parse
@@ -246,9 +282,18 @@ def batch_summary(spark, sf_dir):
 
 
 def guard_empty_run(spark, sf_dir):
-    stats = B.run_stats(flagged(spark, sf_dir, "is_valid"))
-    B.guard_empty_run(stats.first())
-    return stats
+    """What the guard says of the whole log, and of its malformed lines alone."""
+    every = flagged(spark, sf_dir, "is_valid")
+    out = []
+    for name, rows in (("whole log", every), ("malformed lines", every.filter(~F.col("is_valid")))):
+        stats = B.run_stats(rows)
+        try:
+            B.guard_empty_run(stats.first())
+            outcome = "accepted"
+        except B.EmptyRunError:
+            outcome = "refused"
+        out.append(stats.select(F.lit(name).alias("input"), F.lit(outcome).alias("outcome"), "total_records", "malformed_count"))
+    return T.union_inputs(out)
 
 
 # ---------------------------------------------------------------- A: aggregations
@@ -336,16 +381,19 @@ def join_metrics_hosts(spark, sf_dir):
     return J.join_metrics_hosts(A.path_metrics(p, with_hosts=False), A.distinct_hosts_by_path(p))
 
 
+def _hourly_parts(spark, sf_dir):
+    counts = A.hourly_counts(parsed(spark, sf_dir, "log_date", "log_hour", "status_code", "host"))
+    return J.hourly_parts(S.materialize_parsed(counts, staging_path(spark, "hourly")))
+
+
 def join_hourly_three_way(spark, sf_dir):
-    p = staged(spark, sf_dir, "log_date", "log_hour", "status_code", "host")
-    return J.join_hourly_three_way(A.errors_by_hour(p), A.distinct_error_hosts_by_hour(p), A.totals_by_hour(p))
+    return J.join_hourly_three_way(*_hourly_parts(spark, sf_dir))
 
 
 def merge_hourly_left(spark, sf_dir):
     """Totals are given before noon and hosts from six o'clock on, so both defaults occur."""
-    p = staged(spark, sf_dir, "log_date", "log_hour", "status_code", "host")
-    return J.merge_hourly_left(A.errors_by_hour(p), A.distinct_error_hosts_by_hour(p).filter("log_hour >= 6"),
-                               A.totals_by_hour(p).filter("log_hour < 12"))
+    errors, hosts, totals = _hourly_parts(spark, sf_dir)
+    return J.merge_hourly_left(errors, hosts.filter("log_hour >= 6"), totals.filter("log_hour < 12"))
 
 
 def cross_join_stats(spark, sf_dir):
@@ -424,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "read_run_results": read_run_results,
     "write_line_batches": write_line_batches,
     "check_result_keys": check_result_keys,
+    "sweep_crashed_runs": sweep_crashed_runs,
     # P
     "extract_log_fields": extract_log_fields,
     "filter_valid": filter_valid,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,20 +93,23 @@ def run_report_job(
     The clock starts before the first read and stops after the last report is
     written (D16). The text is read once: the parsed columns that the run reads are
     written, with their split keys and row ids, under the store's staging folder, and
-    everything else comes from there. That folder is dropped at the end, also of a
-    run that fails, unless ``keep_staging``.
+    everything else comes from there. That folder is dropped at the end, unless
+    ``keep_staging``; a run that fails drops all it has written. A clean-up that fails is a warning: the run is
+    what its ``runs`` row says, and ``store.sweep_crashed_runs`` drops what is left. So it
+    does after a run that was killed, whose mark was written before anything else.
     """
     if batch_size is not None and int(batch_size) <= 0:
         raise ValueError("batch size must be a positive integer")
     columns = staged_columns(query, keep_staging)  # also validates the choice
     run_id = uuid.uuid4().hex
-    staging_root = f"{store_root.rstrip('/')}/staging/{run_id}"
+    staging_root = store.staging_folder(store_root, run_id)
     started_at = _now()
     t0 = time.monotonic()
 
     files = list_inputs(spark, input_path, name_prefix)
     flagged = flag_lines(scan_spread(spark, files), columns=columns)
-    kept = False
+    complete = False
+    store.write_started(spark, store_root, run_id, started_at, keep_staging)
     try:
         staged = store.materialize_parsed(flagged.select("is_valid", *columns, *SPLIT_COLUMNS), f"{staging_root}/parsed")
         # one row a split: the file table meets this, not the lines
@@ -131,13 +135,22 @@ def run_report_job(
             "num_batches": int(stats["num_batches"]), "avg_batch_size": float(stats["avg_batch_size"]),
             "total_records": int(stats["total_records"]), "malformed_count": int(stats["malformed_count"]),
         })
-        kept = keep_staging
+        complete = True
     finally:
-        if not kept:
-            store.drop_staging(spark, staging_root)
+        _clean_up(spark, store_root, run_id, complete, keep_staging)
     return run_id
 
 
+def _clean_up(spark: SparkSession, store_root: str, run_id: str, complete: bool, keep_staging: bool) -> None:
+    try:
+        if complete:
+            store.finish_run(spark, store_root, run_id, keep_staging)
+        else:
+            store.discard_run(spark, store_root, run_id)
+    except Exception as exc:  # whatever it is, it must not hide how the run itself ended
+        warnings.warn(f"what run {run_id} no longer needs is left for a sweep: {exc}", stacklevel=2)
+
+
 def run_report(spark: SparkSession, store_root: str, run_id: str) -> dict[str, DataFrame]:
     """K2: the run's metadata (with query_name), its three reports and its batches, in report order."""
     return store.read_run_results(spark, store_root, run_id)

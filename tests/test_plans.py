@@ -105,3 +105,17 @@ def test_parse_to_partial_aggregate_is_one_codegen_stage(spark):
     stages = {op.split(")")[0] for op in ops[start:end]}
     assert stages == {"*(2"} or (len(stages) == 1 and next(iter(stages)).startswith("*("))
     assert any("Generate" in op for op in ops[start:end])
+
+
+def test_hourly_tables_come_from_one_scan_and_one_aggregate(spark, monkeypatch):
+    from tallylog.sources import store as S
+    plans = []
+    write = S.materialize_parsed
+    monkeypatch.setattr(S, "materialize_parsed", lambda df, path: plans.append(_plan(df)) or write(df, path))
+    for query in (catalog.join_hourly_three_way, catalog.merge_hourly_left):
+        plans.clear()
+        joined = _plan(query(spark, SF))
+        assert len(plans) == 1 and plans[0].count("FileScan") == 1  # one table, an hour a row, from one scan of the log
+        exchanges = [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line]
+        assert len(exchanges) == 2 and "host" in exchanges[1] and "host" not in exchanges[0]  # records by hour and host, then hours
+        assert "host)" not in joined and "regexp" not in joined

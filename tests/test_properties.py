@@ -124,3 +124,67 @@ def test_line_batch_stats_from_split_table_equal_run_stats(spark, log_root, n):
     assert got.asDict() == want.asDict()
     tagged, _ = T.read_log_lines(spark, log_root, DAY_PREFIX)
     assert by_file.asDict() == B.run_stats(P.flag_lines(tagged)).first().asDict()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_gzip_file_has_no_hot_join_key(spark, new_dir, monkeypatch):
+    from fixtures import write_file
+    folder = new_dir("gz")
+    body = [f"line {i}" for i in range(5000)]
+    write_file(folder, "NASA_access_log_Jul95.gz", body[:4000])
+    write_file(folder, "NASA_access_log_Aug95", body[4000:])
+    monkeypatch.setattr(O, "ROWS_IN_BLOCK", 256)
+    lines, _ = T.read_log_lines(spark, folder)
+    numbered, offsets = O.number_lines(lines)
+    sizes = [r.n_lines for r in offsets.collect()]
+    assert max(sizes) <= 256 and len(sizes) >= 20 and sum(sizes) == 5000
+    assert offsets.groupBy(*O.BLOCK_KEYS).count().filter("count > 1").count() == 0
+    got = sorted(tuple(r) for r in numbered.select("ordinal", "raw").collect())
+    assert got == [(i + 1, x) for i, x in enumerate(body)]
+
+
+def test_numbering_does_not_write_the_lines(spark, log_root, new_dir, monkeypatch):
+    import os
+    folder = new_dir("numbering")
+    monkeypatch.setattr(O, "staging_path", lambda spark, name: f"{folder}/{name}")
+    lines, _ = T.read_log_lines(spark, log_root, DAY_PREFIX)
+    numbered, offsets = O.number_lines(lines)
+    assert numbered.count() == 1000
+    assert os.listdir(folder) == ["split-offsets"] and "raw" not in offsets.columns
+    scan = next(x for x in _plan(lines.groupBy("file_path").count()).splitlines() if "FileScan text" in x)
+    assert "value" not in scan.split("ReadSchema")[1]  # counting reads no text column
+
+
+def test_ordinals_survive_a_change_of_cores_between_the_two_scans(spark, log_root, expected_lines):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "256")
+        lines, _ = T.read_log_lines(spark, log_root, DAY_PREFIX)
+        before = lines.select("raw").rdd.getNumPartitions()
+        numbered, _ = O.number_lines(lines)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "61")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        got = sorted(tuple(r) for r in numbered.select("ordinal", "raw").collect())
+        unpinned = T.scan_lines(spark, T.list_inputs(spark, log_root, DAY_PREFIX)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert got == expected_lines and unpinned > 2 * before
+
+
+def test_input_that_changes_while_it_is_numbered_is_an_error(spark, new_dir):
+    from fixtures import write_file
+    folder = new_dir("changing")
+    path = write_file(folder, "NASA_access_log_Jul95", ["a", "b"])
+    lines, _ = T.read_log_lines(spark, folder)
+    numbered = O.assign_ordinal(lines)
+    assert sorted(r.ordinal for r in numbered.collect()) == [1, 2]
+    with open(path, "w") as f:
+        f.write("a\n" * 2 + "c")
+    with pytest.raises(Exception, match="has changed"):
+        lines, _ = T.read_log_lines(spark, folder)
+        O.number_with(lines, O.write_split_table(lines.limit(1))).collect()
