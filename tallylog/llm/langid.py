@@ -145,7 +145,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
             for places, parts in grouped(_text(t) for t in b.column("text")):
                 window, part = windows(parts)
                 of = kinds[places][part]
-                key = _mix(hashes(window, 0, ORDER) + of.astype(np.uint64) * np.uint64(_FACTOR))
+                key = _mix(_mix(hashes(window, 0, ORDER)) + of.astype(np.uint64) * np.uint64(_FACTOR))
                 code, unique = pd.factorize(key)
                 if not len(unique):
                     continue
