@@ -19,8 +19,9 @@ it) until no collision is left. Draws after KEEP_FORMAT grow by a character each
 names with every draw, so no format can be used up: addresses get a longer local
 part, numbers and keys more characters, secrets other letters, and private network
 addresses go to 10.*, then get a suffix. Only the units drawn anew are looked up
-by the rewriting, which draws all the others in place; so texts are not shuffled,
-but for those that hold such a unit.
+by the rewriting, which draws all the others in place. So texts without an entity are
+never shuffled; those with one are joined with the draws, by the hash of the text, if
+any unit was drawn anew (Spark broadcasts the draws while they are few).
 """
 
 from __future__ import annotations
@@ -37,17 +38,26 @@ KEY = "tallylog-surrogates-1"
 KEEP_FORMAT = 4
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_UPPER, _LOWER = "[A-ZÀ-ÖØ-Þ]", "[a-zß-öø-ÿ]"
-_LATIN = f"{_UPPER}{_LOWER}+(?:[-']{_UPPER}{_LOWER}+)?"
-_CYRILLIC = "[А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?"
+#: A word of a name, whole: any Latin or Cyrillic letters after a capital, inner capitals, hyphens and apostrophes.
+_LETTER = r"[\p{IsLatin}\p{IsCyrillic}\p{M}]"
+_CAPITAL = r"[\p{Lu}&&[\p{IsLatin}\p{IsCyrillic}]]"
+_WORD = rf"{_CAPITAL}{_LETTER}*+(?:-{_LETTER}++|['\u2019]{_CAPITAL}{_LETTER}*+)*+(?![\p{{L}}\p{{N}}_])"
+_INITIALS = rf"(?:{_CAPITAL}\.)++"
+_SPACE = r"[\s\u00A0]"
+#: Words in lower case that stand within names.
+PARTICLES = "van von der den de del della di da dos du la le ten ter zu bin ibn al el"
+_PARTICLE = f"(?:{'|'.join(PARTICLES.split())})"
+_NAME = rf"(?:(?:{_INITIALS}|{_WORD}|{_PARTICLE}){_SPACE}){{0,4}}{_WORD}"
 _ALONE = r"(?<![\p{L}\p{N}_])"
 
-#: Titles by gender and script.
+#: Titles by gender. The second line of each are words of other meanings too, and count in front of a known given name only.
 TITLES = {
-    "male": "Mr|Mister|Sir|Monsieur|Herrn|Herr|Señor|Don",
-    "female": "Mrs|Ms|Miss|Madame|Madam|Mme|Mlle|Frau|Señorita|Señora|Doña",
-    "male_cyrillic": "г-н|господин",
-    "female_cyrillic": "г-жа|госпожа",
+    "male": "Mr Mister Monsieur Herrn Herr Señor г-н господин",
+    "female": "Mrs Ms Madame Mme Mlle Frau Señorita Señora Doña г-жа госпожа",
+}
+WEAK_TITLES = {
+    "male": "Sir Don",
+    "female": "Miss Madam",
 }
 #: Given names by gender and script, then consonants and vowels of family names by script.
 GIVEN = {
@@ -67,27 +77,39 @@ SYLLABLES = {
 #: Labels in front of secrets.
 LABELS = "(?i:access_token|token|password|passwd|secret|api_key|apikey)"
 _LABEL = f"{LABELS}[ ]?[=:][ ]?[\"']?"
+#: A secret ends with white space, a quote or a mark that separates, and not with the mark of a sentence.
+_SECRET = r"[^\s\"'<>,;]"
+_SECRET_END = r"[^\s\"'<>,;.!?:)\]}]"
+
+
+def _any_case(titles: str) -> str:
+    """Titles as they are and in capitals; the longer first."""
+    both = {t for title in titles.split() for t in (title, title.upper())}
+    return "|".join(sorted(both, key=lambda t: (-len(t), t)))
 
 
-def _title(kind: str) -> str:
-    return f"(?:{TITLES[kind]})" + ("" if kind.endswith("cyrillic") else r"\.?") + "[ ]"
+def _title(gender: str) -> str:
+    """A title with what stands between it and the name."""
+    given = "|".join(" ".join(GIVEN[g] for g in GIVEN if g.startswith(gender)).split())
+    after = rf"(?:\.{_SPACE}{{0,3}}|{_SPACE}{{1,3}})"
+    return rf"(?:(?:{_any_case(TITLES[gender])}){after}|(?:{_any_case(WEAK_TITLES[gender])}){after}(?=(?i:{given})(?![\p{{L}}\p{{N}}_])))"
 
 
 #: What an entity looks like, in order of precedence; a secret comes with its label and a name with its title.
 PATTERNS = [
-    r"(?<![\w.+%-])[A-Za-z0-9][\w.+%-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    rf"(?<![A-Za-z0-9]){_LABEL}[A-Za-z0-9+/_-]{{8,512}}(?![A-Za-z0-9+/_-])",
+    r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}][\p{L}\p{N}_.+%-]*+@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*+(?<!-))\.(?=[\p{L}\p{N}]))++\p{L}{2,}+(?!\p{N})",
+    rf"(?<![A-Za-z0-9]){_LABEL}(?:{_SECRET}{{7,}}|(?={_SECRET}*+(?<=[0-9]{_SECRET}{{0,7}})){_SECRET}{{3,6}}){_SECRET_END}",
     r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     r"(?<![0-9+])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![0-9])",
     r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
     r"(?<![0-9(])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
-    *[f"{_ALONE}{_title(k)}{name}(?: {name}){{0,2}}" for k in TITLES for name in (_CYRILLIC if k.endswith("cyrillic") else _LATIN,)],
+    *[f"{_ALONE}{_title(gender)}{_NAME}" for gender in TITLES],
 ]
 ANY = "|".join(PATTERNS)
 #: What a text with an entity holds; it is faster to look for.
-HINT = f"[0-9@]|AKIA|ASIA|{LABELS}|" + "|".join(f"(?:{t}){'' if k.endswith('cyrillic') else '[.]?'} " for k, t in TITLES.items())
+HINT = f"[0-9@]|AKIA|ASIA|{LABELS}|" + "|".join(rf"(?:{_any_case(t)})[.\s\u00A0]" for t in (*TITLES.values(), *WEAK_TITLES.values()))
 
 
 def _digits(s: Column) -> Column:
@@ -109,25 +131,30 @@ def parse_entity(e: Column) -> Column:
     """struct(kind, lead, core, canon) of a match; kind is null where it is no entity after all.
 
     ``lead`` (label or title) stays; ``core`` is replaced; ``canon`` is what makes two entities the same: an
-    address in lower case, the digits of a number.
+    address in lower case, the country code and digits of a phone number, the digits of a card.
     """
     card = r"^(?:[0-9]{4}[ -]?){3}[0-9]{1,7}$"
-    names = [(k, f"^{_title(k)}") for k in TITLES]
-    kind = F.when(e.contains("@") & ~e.rlike(f"^{_LABEL}"), "email").when(e.rlike(f"^{_LABEL}"), "secret").when(e.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$"), "aws_key")
+    kind = F.when(e.rlike(f"^{_LABEL}"), "secret").when(e.contains("@"), "email").when(e.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$"), "aws_key")
     kind = kind.when(e.rlike("^[0-9]{1,3}([.][0-9]{1,3}){3}$"), "ip").when(e.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
     kind = kind.when(e.rlike(card), F.when(_luhn(_digits(e)) == 0, "card"))
-    for k, lead in names:
-        kind = kind.when(e.rlike(lead), k)
-    kind = kind.when(e.rlike("^[+(0-9]"), "phone")
-    lead = F.regexp_extract(e, f"^(?:{_LABEL}|" + "|".join(lead[1:] for _, lead in names) + ")", 0)
+    lead = F.regexp_extract(e, f"^(?:{_LABEL}|" + "|".join(_title(gender) for gender in TITLES) + ")", 0)
     core = F.substring(e, F.length(lead) + 1, F.length(e))
-    code = F.regexp_extract(core, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9])", 1)
+    script = F.when(core.rlike(r"^\p{IsCyrillic}"), "_cyrillic").otherwise("")
+    for gender in TITLES:
+        kind = kind.when(e.rlike(f"^{_title(gender)}"), F.concat(F.lit(gender), script))
+    kind = kind.when(e.rlike("^[+(0-9]"), "phone")
+    code = _country_code(core)
     canon = (F.when(kind == "email", F.lower(core)).when(kind == "card", _digits(core))
-             .when(kind == "phone", F.concat(code, F.lit("-"), _digits(F.substring(core, F.length(code) + 1, F.length(core)))))
+             .when(kind == "phone", F.concat(F.when(code == "", "+1").otherwise(code), F.lit("-"), _digits(F.substring(core, F.length(code) + 1, F.length(core)))))
              .otherwise(core))
     return F.struct(kind.alias("kind"), lead.alias("lead"), core.alias("core"), canon.alias("canon"))
 
 
+def _country_code(phone: Column) -> Column:
+    """The country code that a number is written with; numbers in US form without one are of +1."""
+    return F.regexp_extract(phone, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9])", 1)
+
+
 def _stream(key: Column, length: Column) -> Column:
     """At least ``length`` hex digits of the keyed hash of ``key``."""
     parts = F.transform(F.sequence(F.lit(0), F.floor(length / 64).cast("int")),
@@ -144,7 +171,7 @@ def _refill(form: Column, digits: Column, letters: Column) -> Column:
     def step(a: Column, c: Column) -> Column:
         at = a["at"]
         letter = F.substring(letters, at, F.lit(1))
-        new = F.when(c.rlike("[0-9]"), F.substring(digits, at, F.lit(1))).when(c.rlike("[a-z]"), letter).when(c.rlike("[A-Z]"), F.upper(letter))
+        new = F.when(c.rlike("[0-9]"), F.substring(digits, at, F.lit(1))).when(c.rlike(r"\p{Lu}"), F.upper(letter)).when(c.rlike(r"\p{L}"), letter)
         return F.struct(F.concat(a["s"], F.coalesce(new, c)).alias("s"), (at + F.when(new.isNull(), 0).otherwise(1)).alias("at"))
 
     return F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("s"), F.lit(1).alias("at")), step, lambda a: a["s"])
@@ -180,35 +207,59 @@ def _family(script: str, word: Column, draw: Column) -> Column:
     return let(hex_, lambda h: F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), draw + 3), lambda i: _pick(SYLLABLES[script], h, i)), "")))
 
 
+def _is_word(token: Column) -> Column:
+    """Is a token of a name a word, and neither initials nor a particle?"""
+    return token.rlike(r"^\p{Lu}") & ~token.endswith(".")
+
+
+def _tokens(name: Column) -> Column:
+    return F.split(name, _SPACE)
+
+
 def units(entity: Column) -> Column:
-    """array of struct(kind, canon): what of an entity (struct of parse_entity) has a surrogate of its own: names by words."""
+    """array of struct(kind, canon): what of an entity (struct of parse_entity) has a surrogate of its own: names by words,
+    in whatever letter case."""
     def unit(kind: Column, canon: Column) -> Column:
         return F.struct(kind.alias("kind"), canon.alias("canon"))
 
     kind = entity["kind"]
-    words = F.split(entity["core"], " ")
-    given = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: unit(F.concat(F.lit("given:"), kind), w))
+    tokens = _tokens(entity["core"])
+    given = F.transform(F.filter(F.slice(tokens, F.lit(1), F.size(tokens) - 1), _is_word), lambda w: unit(F.concat(F.lit("given:"), kind), F.lower(w)))
     script = F.when(kind.endswith("cyrillic"), "family:cyrillic").otherwise("family:latin")
-    return F.when(kind.isin(*TITLES), F.concat(given, F.array(unit(script, F.element_at(words, -1))))).otherwise(F.array(unit(kind, entity["canon"])))
+    return F.when(kind.isin(*GIVEN), F.concat(given, F.array(unit(script, F.lower(F.element_at(tokens, -1)))))).otherwise(F.array(unit(kind, entity["canon"])))
+
+
+def _in_case(new: Column, old: Column) -> Column:
+    return F.when((F.length(old) > 1) & (old == F.upper(old)), F.upper(new)).otherwise(new)
 
 
 def surrogate(entity: Column, draw_of: Callable[[Column, Column], Column]) -> Column:
     """The surrogate of an entity's core (struct of parse_entity), without lead; null for no entity.
 
-    ``draw_of`` gives the draw of a unit by its kind and canon.
+    ``draw_of`` gives the draw of a unit by its kind and canon. Of a name, particles and the
+    spaces between words stay, and initials become others.
     """
     kind, core = entity["kind"], entity["core"]
 
     def name(gender: str) -> Column:
-        words = F.split(core, " ")
+        tokens = _tokens(core)
         given, family = f"given:{gender}", f"family:{_script(gender)}"
-        first = F.transform(F.slice(words, F.lit(1), F.size(words) - 1),
-                            lambda w: let(draw_of(F.lit(given), w), lambda d: _given(gender, w, d)))
-        last = let(F.element_at(words, -1), lambda w: let(draw_of(F.lit(family), w), lambda d: _family(_script(gender), w, d)))
-        return F.array_join(F.concat(first, F.array(last)), " ")
+
+        def initials(w: Column) -> Column:
+            return F.array_join(F.transform(F.regexp_extract_all(w, F.lit(r"\p{Lu}"), F.lit(0)),
+                                            lambda c: F.concat(F.substring(_given(gender, F.lower(c), F.lit(0)), 1, 1), F.lit("."))), "")
+
+        def word(w: Column) -> Column:
+            drawn = let(draw_of(F.lit(given), F.lower(w)), lambda d: _in_case(_given(gender, F.lower(w), d), w))
+            return F.when(_is_word(w), drawn).when(w.endswith("."), initials(w)).otherwise(w)
+
+        first = F.transform(F.slice(tokens, F.lit(1), F.size(tokens) - 1), word)
+        last = let(F.element_at(tokens, -1), lambda w: let(draw_of(F.lit(family), F.lower(w)), lambda d: _in_case(_family(_script(gender), F.lower(w), d), w)))
+        spaces = F.concat(F.regexp_extract_all(core, F.lit(_SPACE), F.lit(0)), F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.concat(first, F.array(last)), spaces, lambda a, b: F.concat(a, b)), "")
 
     out = F.when(kind.isNull(), F.lit(None).cast("string"))
-    for gender in TITLES:
+    for gender in GIVEN:
         out = out.when(kind == gender, name(gender))
     return out.otherwise(let(draw_of(kind, entity["canon"]), lambda d: _drawn(entity, d)))
 
@@ -235,7 +286,7 @@ def _drawn(entity: Column, draw: Column) -> Column:
 
     def email(hex_: Column) -> Column:
         local, domain = F.substring_index(core, "@", 1), F.substring_index(core, "@", -1)
-        top = F.regexp_extract(domain, "[.][A-Za-z]+$", 0)
+        top = F.regexp_extract(domain, r"[.]\p{L}+$", 0)
         site = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
         site_hex = _stream(F.concat(F.lit("domain:"), F.lower(domain)), 2 * F.length(domain))
         longer = F.substring(_as_letters(F.reverse(hex_)), F.lit(1), more)
@@ -260,7 +311,7 @@ def _drawn(entity: Column, draw: Column) -> Column:
         return F.concat(let(whole, lambda w: _refill(core, w, w)), digits(hex_, more))
 
     def phone(hex_: Column) -> Column:
-        code = F.substring_index(canon, "-", 1)
+        code = _country_code(core)
         d = _as_digits(hex_)
         d = F.concat(F.translate(F.substring(d, 1, 1), "01", "79"), F.substring(d, F.lit(2), F.length(d)))
         rest = F.substring(core, F.length(code) + 1, F.length(core))
@@ -309,11 +360,12 @@ def redraws(entities: DataFrame) -> DataFrame:
 def _repeats(pieces: Column, names: Column) -> Column:
     """``pieces`` of a text as struct(s, n): with the untitled repeats of ``names`` (struct(core, new)) replaced, and how many.
 
-    A repeat is a whole name, its surname or one of its given names, in the same
-    letter case and no part of a longer word; the longest goes first.
+    A repeat is a whole name, its surname or one of its given names (no initials, no
+    particles), in the same letter case and no part of a longer word; the longest goes first.
     """
     def words(part: Callable[[Column], Column]) -> Column:
-        return F.flatten(F.transform(names, lambda x: F.arrays_zip(part(F.split(x["core"], " ")).alias("core"), part(F.split(x["new"], " ")).alias("new"))))
+        pairs = F.flatten(F.transform(names, lambda x: F.arrays_zip(part(_tokens(x["core"])).alias("core"), part(_tokens(x["new"])).alias("new"))))
+        return F.filter(pairs, lambda x: _is_word(x["core"]) & (F.length(x["core"]) > 1))
 
     # of words that are both, the surname counts
     known = F.array_distinct(F.concat(names, words(lambda w: F.slice(w, F.size(w), F.lit(1))), words(lambda w: w)))
@@ -325,7 +377,7 @@ def _repeats(pieces: Column, names: Column) -> Column:
         rest = F.zip_with(F.split(piece, pattern, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
         return F.struct(F.array_join(rest, "").alias("s"), F.size(found).alias("n"))
 
-    pattern = F.concat(F.lit(f"{_ALONE}(?:"), F.array_join(by_length["core"], "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    pattern = F.concat(F.lit(f"{_ALONE}(?:"), F.array_join(F.transform(by_length["core"], lambda c: F.replace(c, F.lit("."), F.lit("[.]"))), "|"), F.lit(r")(?![\p{L}\p{N}_])"))
     both = F.struct(known.alias("known"), pattern.alias("pattern"))
     return let(both, lambda x: F.transform(pieces, lambda p: replaced(p, x["known"], x["pattern"])))
 
@@ -336,8 +388,10 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     Adds ``n_entities`` (int, replaced if there). A null text stays null, with 0
     entities; a text without entities stays as it is. Repeated rows are replaced
     alike. An untitled repeat of a name counts as an entity. An empty table gives no
-    rows. Columns named __m, __e, __p, __names, __mark, __draws are not allowed.
+    rows. Texts of any length are searched whole. Other columns, of any name, are kept;
+    those of the names __m, __e, __p, __names, __mark, __draws are not allowed.
     """
+    kept = [F.col(f"`{c}`") for c in docs.columns]
     found = docs.select(F.explode(_matches(F.col(text))).alias("m")).select(parse_entity(F.col("m")).alias("e"))
     of_each = found.filter("e.kind is not null").select(F.explode(units(F.col("e"))).alias("u"))
     entities = of_each.groupBy("u.kind", "u.canon").agg(F.count(F.lit(1)).alias("n")).select("kind", "canon")
@@ -347,7 +401,7 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
         pieces = F.split(F.col(text), ANY, -1)
         e = F.transform(F.col("__m"), lambda m: let(parse_entity(m), lambda x: let(surrogate(x, draw_of), lambda new: F.struct(
             F.coalesce(F.concat(x["lead"], new), m).alias("s"), x["kind"].isNotNull().cast("int").alias("n"),
-            F.when(x["kind"].isin(*TITLES), F.struct(x["core"].alias("core"), new.alias("new"))).alias("name")))))
+            F.when(x["kind"].isin(*GIVEN), F.struct(x["core"].alias("core"), new.alias("new"))).alias("name")))))
         df = df.withColumn("__e", F.when(F.size("__m") > 0, e)).withColumn("__names", F.array_distinct(F.filter("__e.name", lambda x: x.isNotNull())))
         same = F.transform(pieces, lambda p: F.struct(p.alias("s"), F.lit(0).alias("n")))
         df = df.withColumn("__p", F.when(F.size("__names") > 0, _repeats(pieces, F.col("__names"))).when(F.size("__m") > 0, same))
@@ -357,7 +411,7 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
         if "n_chars" in docs.columns:
             changed = F.col("n_entities") > 0
             df = df.withColumn("n_chars", F.when(changed, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-        return df.select(*docs.columns, *(["n_entities"] if "n_entities" not in docs.columns else []))
+        return df.select(*kept, *(["n_entities"] if "n_entities" not in docs.columns else []))
 
     rows = docs.withColumn("__m", _matches(F.col(text)))
     if again.isEmpty():
