@@ -186,25 +186,37 @@ def _plain(form: Column, hex_: Column) -> Column:
     return _refill(form, _as_digits(hex_), _as_letters(hex_))
 
 
-def _pick(values: str, hex_: Column, i: Column) -> Column:
+def _one_of(lists: dict[str, str], which: Column) -> Column:
+    """The list of values of a kind, as an array."""
+    out = F.when(F.lit(False), F.lit(""))
+    for name, values in lists.items():
+        out = out.when(which == name, values)
+    return F.split(out, " ")
+
+
+def _pick(values: Column, hex_: Column, i: Column) -> Column:
     """One of the values, by the ``i``-th two digits of ``hex_``."""
-    return F.get(F.split(F.lit(values), " "), (F.conv(F.substring(hex_, 1 + 2 * i, F.lit(2)), 16, 10).cast("int") % len(values.split(" "))))
+    return F.get(values, F.conv(F.substring(hex_, 1 + 2 * i, F.lit(2)), 16, 10).cast("int") % F.size(values))
+
+
+def _script(gender: Column) -> Column:
+    return F.when(gender.endswith("cyrillic"), "cyrillic").otherwise("latin")
 
 
-def _script(gender: str) -> str:
-    return "cyrillic" if gender.endswith("cyrillic") else "latin"
+def _named(lists: dict[str, str], which: Column, word: Column, draw: Column, n: Column, between: str) -> Column:
+    """``n`` values of a list, by the keyed hash of a word."""
+    both = F.struct(_stream(F.concat_ws(":", which, word, draw.cast("string")), 2 * n).alias("h"), _one_of(lists, which).alias("values"))
+    return let(both, lambda x: F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: _pick(x["values"], x["h"], i)), between))
 
 
-def _given(gender: str, word: Column, draw: Column) -> Column:
+def _given(gender: Column, word: Column, draw: Column) -> Column:
     """The given name for one; draw n has n + 1 names, joined by a hyphen."""
-    hex_ = _stream(F.concat(F.lit(f"{gender}:"), word, F.lit(":"), draw.cast("string")), 2 * draw + 2)
-    return let(hex_, lambda h: F.array_join(F.transform(F.sequence(F.lit(0), draw), lambda i: _pick(GIVEN[gender], h, i)), "-"))
+    return _named(GIVEN, gender, word, draw, draw + 1, "-")
 
 
-def _family(script: str, word: Column, draw: Column) -> Column:
+def _family(script: Column, word: Column, draw: Column) -> Column:
     """The family name for a surname; draw n has n + 4 syllables."""
-    hex_ = _stream(F.concat(F.lit(f"{script}:"), word, F.lit(":"), draw.cast("string")), 2 * draw + 8)
-    return let(hex_, lambda h: F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), draw + 3), lambda i: _pick(SYLLABLES[script], h, i)), "")))
+    return F.initcap(_named(SYLLABLES, script, word, draw, draw + 4, ""))
 
 
 def _is_word(token: Column) -> Column:
@@ -240,38 +252,30 @@ def surrogate(entity: Column, draw_of: Callable[[Column, Column], Column]) -> Co
     spaces between words stay, and initials become others.
     """
     kind, core = entity["kind"], entity["core"]
+    tokens = _tokens(core)
+    given, family = F.concat(F.lit("given:"), kind), F.concat(F.lit("family:"), _script(kind))
 
-    def name(gender: str) -> Column:
-        tokens = _tokens(core)
-        given, family = f"given:{gender}", f"family:{_script(gender)}"
-
-        def initials(w: Column) -> Column:
-            return F.array_join(F.transform(F.regexp_extract_all(w, F.lit(r"\p{Lu}"), F.lit(0)),
-                                            lambda c: F.concat(F.substring(_given(gender, F.lower(c), F.lit(0)), 1, 1), F.lit("."))), "")
-
-        def word(w: Column) -> Column:
-            drawn = let(draw_of(F.lit(given), F.lower(w)), lambda d: _in_case(_given(gender, F.lower(w), d), w))
-            return F.when(_is_word(w), drawn).when(w.endswith("."), initials(w)).otherwise(w)
-
-        first = F.transform(F.slice(tokens, F.lit(1), F.size(tokens) - 1), word)
-        last = let(F.element_at(tokens, -1), lambda w: let(draw_of(F.lit(family), F.lower(w)), lambda d: _in_case(_family(_script(gender), F.lower(w), d), w)))
-        spaces = F.concat(F.regexp_extract_all(core, F.lit(_SPACE), F.lit(0)), F.array(F.lit("")))
-        return F.array_join(F.zip_with(F.concat(first, F.array(last)), spaces, lambda a, b: F.concat(a, b)), "")
+    def word(w: Column) -> Column:
+        """Of a token of a name but the last: a given name, initials or a particle."""
+        drawn = F.transform(F.when(w.endswith("."), F.regexp_extract_all(w, F.lit(r"\p{Lu}"), F.lit(0))).otherwise(F.array(w)),
+                            lambda c: let(F.when(w.endswith("."), 0).otherwise(draw_of(given, F.lower(c))), lambda d: _given(kind, F.lower(c), d)))
+        return F.when(_is_word(w), _in_case(drawn[0], w)).when(
+            w.endswith("."), F.array_join(F.transform(drawn, lambda n: F.concat(F.substring(n, 1, 1), F.lit("."))), "")).otherwise(w)
 
-    out = F.when(kind.isNull(), F.lit(None).cast("string"))
-    for gender in GIVEN:
-        out = out.when(kind == gender, name(gender))
-    return out.otherwise(let(draw_of(kind, entity["canon"]), lambda d: _drawn(entity, d)))
+    first = F.transform(F.slice(tokens, F.lit(1), F.size(tokens) - 1), word)
+    last = let(F.element_at(tokens, -1), lambda w: let(draw_of(family, F.lower(w)), lambda d: _in_case(_family(_script(kind), F.lower(w), d), w)))
+    spaces = F.concat(F.regexp_extract_all(core, F.lit(_SPACE), F.lit(0)), F.array(F.lit("")))
+    name = F.array_join(F.zip_with(F.concat(first, F.array(last)), spaces, lambda a, b: F.concat(a, b)), "")
+    return (F.when(kind.isNull(), F.lit(None).cast("string")).when(kind.isin(*GIVEN), name)
+            .otherwise(let(draw_of(kind, entity["canon"]), lambda d: _drawn(entity, d))))
 
 
 def unit_surrogate(kind: Column, canon: Column, draw: Column) -> Column:
     """The surrogate of a unit, as ``surrogate`` puts it in the place of the unit's canon."""
-    out = F.when(kind.isNull(), F.lit(None).cast("string"))
-    for gender in GIVEN:
-        out = out.when(kind == f"given:{gender}", _given(gender, canon, draw))
-    for script in SYLLABLES:
-        out = out.when(kind == f"family:{script}", _family(script, canon, draw))
-    return out.otherwise(_drawn(F.struct(kind.alias("kind"), canon.alias("core"), canon.alias("canon")), draw))
+    of = F.substring_index(kind, ":", -1)
+    return (F.when(kind.isNull(), F.lit(None).cast("string")).when(kind.startswith("given:"), _given(of, canon, draw))
+            .when(kind.startswith("family:"), _family(of, canon, draw))
+            .otherwise(_drawn(F.struct(kind.alias("kind"), canon.alias("core"), canon.alias("canon")), draw)))
 
 
 def _drawn(entity: Column, draw: Column) -> Column:
