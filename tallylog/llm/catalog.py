@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_licences": licences.ORACLE_SQL,
+    "op5_neighbours": neighbours.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
     "op11_lexical": lexical.ORACLE_SQL,
 }

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tallylog.llm.common import stage, table
 
 LEAF = ["domain", "lang", "source"]
-#: Hex digits of the order key that make a hash range: 4096 of them in each leaf.
-RANGE_DIGITS = 3
+#: Documents of a hash range, about: what one task sorts to find where a leaf's prefix ends.
+RANGE_ROWS = 4096
 
 #: Production weights; a name that is not listed weighs 1.
 WEIGHTS = {"domain": {"web": 3, "books": 2}, "lang": {"en": 4, "fr": 2, "de": 2}, "source": {"src0": 2}}
@@ -99,17 +99,27 @@ def leaf_budgets(counts: DataFrame, weights: dict[str, dict[str, int]], share: f
                          (F.col("got").cast("bigint") - whole * F.col("supply")).alias("rest"))
 
 
+def range_digits(rows: int, size: int | None = None) -> int:
+    """Hex digits of the order key that make a hash range: with any number of rows, and all of them in one leaf, a
+    range holds about ``size`` of them."""
+    digits = 1
+    while 16**digits * (size or RANGE_ROWS) < rows:
+        digits += 1
+    return digits
+
+
 def plan_mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: float, max_epochs: int, seed: int) -> DataFrame:
     """The mix as one row a leaf: the budgets and ``cutoff``, the largest order key taken from the last epoch.
 
     ``docs``: domain, lang, source, doc_id, tokens.
     """
     docs = stage(docs, "mix-tokens")
+    digits = range_digits(docs.count())
     counts = docs.groupBy(*LEAF).agg(F.sum("tokens").alias("supply"))
     leaves = stage(leaf_budgets(counts, weights, share, max_epochs), "mix-leaves")
     keyed = (docs.join(leaves.filter("rest > 0"), LEAF)
              .withColumn("key", _order_key(seed, F.col("whole_epochs"), F.col("doc_id")))
-             .withColumn("range", F.substring("key", 1, RANGE_DIGITS)))
+             .withColumn("range", F.substring("key", 1, digits)))
     by_range = keyed.groupBy(*LEAF, "range").agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
     w = Window.partitionBy(*LEAF).orderBy("range")
     ends = (by_range.withColumn("upto", F.sum("n").over(w))

@@ -36,6 +36,8 @@ QUERIES = 2048
 #: Pivots, at most; they are sent to all tasks.
 MAX_PIVOTS = 1024
 LEAF = 64
+#: Wholly equal rows beyond this number are grouped before they are dealt to shards.
+COPIES = SHARD // 4
 #: The production factor. 1 is exact; at 5, clustered vectors of unlike norms or of low rank lost a fifth of their neighbours or more.
 FACTOR = 1.0
 #: What rounding may add to a distance, times the largest norm.
@@ -98,7 +100,8 @@ class Tree:
         n, given = len(queries), bounds
         lifted = np.hstack([queries, np.zeros((n, 1))])
         norm = np.einsum("ij,ij->i", queries, queries)
-        best_score, best_id = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+        best_score, best_row = np.full((n, k), -np.inf), np.full((n, k), len(self.ids))
+        by_id = np.append(self.ids, np.iinfo(np.int64).max)  # the ids of rows; the last stands for none
         bounds = bounds.copy()
         todo = [(0, np.arange(n), np.zeros(n))]
         while todo:
@@ -112,10 +115,10 @@ class Tree:
                 score = np.einsum("qd,nd->qn", queries[q], self.vectors[rows])
                 score[self.ids[rows][None, :] == query_ids[q][:, None]] = -np.inf
                 all_score = np.hstack([best_score[q], score])
-                all_id = np.hstack([best_id[q], np.broadcast_to(self.ids[rows], score.shape)])
-                order = np.lexsort((all_id, -all_score), axis=-1)[:, :k]
+                all_row = np.hstack([best_row[q], np.broadcast_to(rows, score.shape)])
+                order = np.lexsort((by_id[all_row], -all_score), axis=-1)[:, :k]
                 best_score[q] = np.take_along_axis(all_score, order, 1)
-                best_id[q] = np.take_along_axis(all_id, order, 1)
+                best_row[q] = np.take_along_axis(all_row, order, 1)
                 worst = best_score[q, k - 1]
                 squared = norm[q] + self.radius**2 - 2 * worst
                 bounds[q] = np.minimum(bounds[q], np.where(np.isfinite(worst), np.sqrt(np.maximum(0.0, squared)), np.inf))
@@ -128,8 +131,11 @@ class Tree:
                 todo.append((child, q, least))
         distance = np.sqrt(np.maximum(0.0, norm[:, None] + self.radius**2 - 2 * np.where(np.isfinite(best_score), best_score, 0.0)))
         found = np.isfinite(best_score) & (distance <= given[:, None] + SLACK * self.radius)
-        place = np.repeat(np.arange(n), k).reshape(n, k)
-        return list(zip(place[found].tolist(), best_id[found].tolist(), best_score[found].tolist()))
+        place, rows = np.nonzero(found)[0], best_row[found]
+        score = np.zeros(len(rows))
+        for i in range(queries.shape[1]):  # entry by entry from the first, as anyone else would add them up
+            score += queries[place, i] * self.vectors[rows, i]
+        return list(zip(place.tolist(), self.ids[rows].tolist(), score.tolist()))
 
 
 def _search_groups(queries: DataFrame, index: DataFrame, k: int, factor: float) -> DataFrame:
@@ -154,24 +160,45 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _few_copies(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` (vec_id, vector) without the copies of a wholly equal row that can be in no result: the ``k`` + 1st and on.
+
+    Only rows with over COPIES copies are grouped, so that no shard is filled by one row.
+    """
+    mark = F.xxhash64("vec_id", "vector").alias("mark")
+    many = stage(rows.select(mark).groupBy("mark").count().filter(F.col("count") > COPIES).select("mark"), "ann-copied")
+    if many.isEmpty():
+        return rows
+    marked = rows.select(mark, "vec_id", "vector")
+    few = (marked.join(many, "mark", "left_semi").groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("n"))
+           .select("vec_id", "vector", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k)).cast("int")))).select("vec_id", "vector"))
+    return marked.join(many, "mark", "left_anti").select("vec_id", "vector").unionByName(few)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = FACTOR) -> DataFrame:
     """The ``k`` vectors of ``vectors`` (vec_id, embedding) nearest to each of ``queries`` (same columns).
 
     Returns query_id, rank (int, from 1), vec_id, score: largest inner product first,
     ties to the smaller vec_id; fewer rows where there are fewer candidates. A vector
     that is null, zero or holds a null or non-finite component takes no part, nor does
-    one with a null id. A query's own id is no candidate. All vectors have one length.
+    one with a null id, one whose length is not the commonest (the longer one on a tie), or
+    one whose squared norm a double cannot hold. A query's own id is no candidate.
     Repeated ids: rows of ``queries`` with one id are searched once (the first by
     value); rows of ``vectors`` that share an id are candidates each. Empty tables give no rows.
+    Other columns, of any name, are not read; there are no texts.
     """
     spark = vectors.sparkSession
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = vectors.filter(usable("embedding") & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    common = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    fits = (F.size("vector") == (common.d if common else 0)) & (squares < float("inf"))
+    rows = _few_copies(rows.filter(fits), k)
     asked = (queries.filter(usable("embedding") & F.col("vec_id").isNotNull())
              .select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
-             .groupBy("query_id").agg(F.min("vector").alias("vector")))
-    count, squared = rows.agg(F.count(F.lit(1)), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()
+             .filter(fits).groupBy("query_id").agg(F.min("vector").alias("vector")))
+    count, squared = rows.agg(F.count(F.lit(1)), F.max(squares)).first()
     if not count:
         return empty
     radius = float(np.sqrt(squared)) * (1 + 1e-12)
@@ -256,3 +283,14 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all ``embeddings`` to each whose vec_id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+#: The exact answer, which factor 1 gives.
+ORACLE_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+             AND len([x FOR x IN embedding IF x <> 0]) > 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tallylog.llm.common import constants, stage, table
 
 LOWEST = -(1 << 63)
+#: Rows of an interval, about: what one task sorts and numbers.
+INTERVAL_ROWS = 1 << 18
 
 
 def _interval(bounds: list[tuple[int, int]]) -> Column:
@@ -47,7 +49,7 @@ def _probes(lo: tuple[int, int], hi: tuple[int, int], last_row: int, n: int) ->
 
 
 def shard_by_bytes(df: DataFrame, key: str, size: Column, shards: int = 8, tolerance: float = 0.001,
-                   intervals_per_shard: int = 32, probes: int = 16) -> DataFrame:
+                   interval_rows: int = INTERVAL_ROWS, least_intervals: int = 32, probes: int = 16) -> DataFrame:
     """Deal ``df`` into ``shards`` contiguous key ranges of near equal bytes.
 
     Returns the columns of ``df`` with ``shard`` (int, from 0) and ``slot`` (long,
@@ -58,8 +60,10 @@ def shard_by_bytes(df: DataFrame, key: str, size: Column, shards: int = 8, toler
     A shard misses its share by half of ``tolerance`` times a share, or by half of
     one row where single rows are heavier than that. An empty table gives no rows.
 
-    The driver holds the counts of the intervals: at most ``probes`` new ones for
-    each of ``shards * intervals_per_shard`` heavy ones a round.
+    The number of intervals follows from the number of rows: about one for each
+    ``interval_rows`` of them, ``least_intervals`` a shard at least, so that a task has as
+    much to sort and number at any size. The driver holds the boundary and the counts of
+    each interval (40 bytes; 400,000 intervals for 10^11 rows), tasks the boundaries.
     """
     spark = df.sparkSession
     kept = [c for c in df.columns if c not in ("shard", "slot")]
@@ -74,9 +78,10 @@ def shard_by_bytes(df: DataFrame, key: str, size: Column, shards: int = 8, toler
     if not count:
         return rows.select("row.*", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"))
 
-    heavy, many = total / (shards * intervals_per_shard), 4 * count / (shards * intervals_per_shard)
+    intervals = max(shards * least_intervals, -(-count // interval_rows))
+    heavy, many = total / intervals, 4 * count / intervals
     bounds, end = [(lowest, 0)], (highest, last_row + 1)
-    new = _probes(bounds[0], end, last_row, shards * intervals_per_shard * 4)
+    new = _probes(bounds[0], end, last_row, intervals * 4)
     while True:
         bounds = sorted({*bounds, *new})
         weights = [(0, 0)] * len(bounds)

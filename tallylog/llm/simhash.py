@@ -270,7 +270,7 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, r: int = MAX_BITS) ->
     found = near_duplicates(prints, r)
     chosen = (prints.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
               .groupBy("root").agg(F.min("__row").alias("__row")).select("__row"))
-    return rows.join(chosen, "__row", "left_semi").select(*docs.columns)
+    return rows.join(chosen, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -157,7 +157,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = TRAINING_ROWS) -> Ordi
     """Fit on at most ``sample`` labelled rows: ``docs`` (doc_id, text), ``labels`` (doc_id, toxic 0 or 1).
 
     Rows without a label, or with a null one, are not trained on; of several labels
-    of a doc_id the largest counts.
+    of a doc_id the largest counts, and of rows of equal features and label one. Whole
+    texts are read, however long; empty tables give a model that knows no words.
     """
     chosen = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
@@ -172,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = TRAINING_ROWS) -> Ordi
     one = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     got = one.mapInArrow(prepare, "doc_id long, toxic int, places binary").collect()
     got.sort(key=lambda r: r.doc_id)  # the sums of the fit come in one order
-    got = list({(r.places[:24], r.toxic > 0): r for r in reversed(got)}.values())[::-1]  # near copies share their six smallest places: one stays
+    got = list({(r.places, r.toxic > 0): r for r in reversed(got)}.values())[::-1]  # of rows with equal features and label one stays
     rows = [np.frombuffer(r.places, np.int32) for r in got]
     toxic = np.array([int(r.toxic > 0) for r in got], np.int64)
     return fit_ordinal(rows, severity_grades(rows, toxic) if rows else toxic, 3)
