@@ -151,6 +151,7 @@ def test_longer_rules_take_their_sentences_first(spark):
     assert row.licences == ["BSD-2-Clause", "Apache-2.0"] and row.unmatched == []
 
 
+# Public licence headers.
 HEADERS = {
     "Apache-2.0": """ * Copyright 2020 A
  *
@@ -206,6 +207,45 @@ def test_wrapped_licence_headers(spark):
     assert all(re.search(licences.HINT, t) for ts in licences.SENTENCES.values() for t in ts)
 
 
+#: Lines that name a licence without its text.
+LINES = {
+    "Copyright 2020 Foo, all rights reserved.": "Proprietary",
+    "This file is licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "This program is licensed under the GNU General Public License version 3 or later.": "GPL-3.0",
+    "This library is released under the GNU Lesser General Public License, version 2.1 only.": "LGPL-2.1",
+    "Licensed under the MIT license, see LICENSE.": "MIT",
+    "The Software is licensed under the MIT License.": "MIT",
+    "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0",
+    "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0": "EPL-2.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby granted, provided that the above\n"
+    "copyright notice and this permission notice appear in all copies.": "ISC",
+    "This software is\nreleased under the\nISC license.": "ISC",
+    "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0",
+    "We provided a licence to nobody, and published it under the table.": "",
+}
+
+
+def test_licence_lines(spark):
+    docs = spark.createDataFrame([(i, f"Some words.\n{t}\nand more") for i, t in enumerate(LINES)], DOCS)
+    got = {r.doc_id: ",".join(r.licences) for r in licences.scan_licences(docs).collect()}
+    assert list(map(got.get, range(len(LINES)))) == list(LINES.values())
+
+
+def test_licence_sql_follows_wrapped_texts(spark):
+    import duckdb
+    texts = [*HEADERS.values(), *LINES, *(f"x {a}, {b}" for a in list(LINES)[:4] for b in list(LINES)[4:8]), "", "licensed under", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas().astype({"text": "string"}))
+    want = sorted(con.execute(licences.ORACLE_SQL).fetchall())
+    out = licences.scan_licences(frame)
+    got = sorted((r.doc_id, *(",".join(r[c]) for c in ("sentence_ids", "licences", "unmatched"))) for r in out.collect())
+    assert got == want
+
+
 # ---------------------------------------------------------------- PII
 
 def _luhn(s):
