@@ -3,6 +3,12 @@
 Each stage is a function of (spark, docs, sf_dir) and calls one operator; its result
 is written as Parquet and read again as the next one's docs. All but the last return
 the columns of documents.
+
+A null text counts as empty: the classifier judges it as it judges an empty one, it has
+no words, no PII and no tokens. Null languages and sources are a leaf of the mix of their
+own. Repeated rows (one doc_id, one text) come out once, as near-dedup keeps one of each
+component, that of the smallest doc_id; ties of the mix go by a keyed hash of the doc_id.
+Other columns of the table are left out by the first stage. An empty table gives no rows.
 """
 
 from __future__ import annotations
