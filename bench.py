@@ -23,6 +23,7 @@ from tallylog.operators import batches as B  # noqa: E402
 from tallylog.operators import parse as P  # noqa: E402
 from tallylog.plans.job import run_report_job  # noqa: E402
 from tallylog.session import local_session, staging_path  # noqa: E402
+from tallylog.sources.store import materialize_parsed  # noqa: E402
 from tallylog.sources.eventlog import DAY_PREFIX, event_log_lines, write_event_log  # noqa: E402
 
 BATCH_SIZE = 100_000  # as in the published run
@@ -70,7 +71,8 @@ def main() -> None:
         "parse_all_lines": lambda: P.flag_lines(lines, BATCH_SIZE).write.format("noop").mode("overwrite").save(),
         "run_stats": lambda: B.run_stats(P.flag_lines(lines, BATCH_SIZE, columns=["is_valid"])).collect(),
         "q1_daily_traffic": lambda: A.q1_daily_traffic(parsed("q1")).collect(),
-        "q2_top_resources": lambda: A.q2_top_resources(parsed("q2")).collect(),
+        # reads its records twice, so it gets them staged, as the job does; the staging is timed
+        "q2_top_resources": lambda: A.q2_top_resources(materialize_parsed(parsed("q2"), staging_path(spark, "parsed"))).collect(),
         "q3_hourly_errors": lambda: A.q3_hourly_errors(parsed("q3")).collect(),
     }
     times |= {name: _timed(fn) for name, fn in queries.items()}
