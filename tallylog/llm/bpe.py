@@ -297,8 +297,10 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str]
     """``keep`` (all columns unless given) of ``docs`` with ``n_tokens`` (long) and ``token_ids``
     (binary: little-endian unsigned 32-bit ids).
 
-    A null text counts as empty: no tokens. Columns of these names are replaced.
-    ``vocabulary`` is the path of the file, the same on each executor.
+    A null text counts as empty: no tokens. Columns of these names are replaced; __given
+    is not allowed. Whole texts are encoded, however long (a task holds a text and its
+    ids). Rows are neither moved nor dropped; repeated ones are encoded alike, and an empty
+    table gives no rows. ``vocabulary`` is the path of the file, the same on each executor.
     """
     def make(texts: list[str | None]) -> tuple[list[int], list[bytes]]:
         ids = list(encoder(vocabulary).encode_all([t or "" for t in texts]))
@@ -309,7 +311,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str]
 
 
 def decode(tokens: DataFrame, vocabulary: str, token_ids: str = "token_ids", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns unless given) of ``tokens`` with ``decoded`` (string); null ids give an empty text."""
+    """``keep`` (all columns unless given) of ``tokens`` with ``decoded`` (string); null ids give an empty text.
+    Other columns, repeated rows, long rows and empty tables are as in ``encode``."""
     def make(packed: list[bytes | None]) -> tuple[list[str]]:
         bpe = encoder(vocabulary)
         return ([bpe.decode(np.frombuffer(b or b"", "<u4")) for b in packed],)

@@ -144,6 +144,7 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]] = WEIGHTS, share: fl
     doc_id have one order key and are taken or left together, with all their tokens;
     a null doc_id counts as ''. A leaf without tokens gives nothing; documents
     without tokens come with the prefix that they stand in. An empty table gives no rows.
+    Texts, however long, are counted whole where they are. Other columns, of any name, are kept.
     """
     added = ("domain", "tokens", "epoch", "order_key")
     kept = [c for c in docs.columns if c not in added]

@@ -217,7 +217,8 @@ def fit(docs: DataFrame, sample: int = TRAINING_ROWS) -> QualityModel:
 def classify(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """Add ``quality_score``, ``label_posterior`` (doubles) and ``keep`` (boolean) to ``docs``; columns of these names are replaced.
 
-    A null text counts as empty. The rows are neither moved nor dropped.
+    A null text counts as empty. Whole texts are read, however long. The rows are neither moved nor dropped, repeated
+    ones are scored alike, and an empty table gives no rows. A column named __made is not allowed.
     """
     @F.arrow_udf("quality_score double, label_posterior double")
     def apply(texts: pa.Array) -> pa.Array:

@@ -59,6 +59,7 @@ def shard_by_bytes(df: DataFrame, key: str, size: Column, shards: int = 8, toler
     by their place in the staged table and may be parted at a shard boundary.
     A shard misses its share by half of ``tolerance`` times a share, or by half of
     one row where single rows are heavier than that. An empty table gives no rows.
+    The columns of ``df``, texts of any length among them, are staged and exchanged once each.
 
     The number of intervals follows from the number of rows: about one for each
     ``interval_rows`` of them, ``least_intervals`` a shard at least, so that a task has as

@@ -183,7 +183,9 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """Add ``expected_severity`` (double), ``severity`` (int, the likeliest grade), ``toxic_chance`` (double) and
     ``toxic`` (boolean) to ``docs``; columns of these names are replaced.
 
-    A null or empty text has no words: it gets what the thresholds alone say. The rows are neither moved nor dropped.
+    A null or empty text has no words: it gets what the thresholds alone say. Whole texts are read, however long. The
+    rows are neither moved nor dropped, repeated ones are graded alike, and an empty table gives no rows. A column named
+    __made is not allowed.
     """
     fields = {"expected_severity": pa.float64(), "severity": pa.int32(), "toxic_chance": pa.float64(), "toxic": pa.bool_()}
 

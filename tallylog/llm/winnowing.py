@@ -116,7 +116,8 @@ def fingerprints_with_edits(docs: DataFrame, k: int = K, window: int = WINDOW, b
     Repeated rows are one group with a count. Blocks of ``block`` neighbouring
     groups meet in one window; the first of each block goes to the block before as
     well. Texts are moved to find their place and to meet their neighbours, and at
-    no other time.
+    no other time. A long text is hashed whole: a task holds some arrays with a long for
+    each of its code points. Other columns, of any name, are not read.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
     groups, total = _places(texts.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("copies")))

@@ -20,7 +20,7 @@ from test_table_operators import _components, _fingerprint  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from tallylog.llm import bpe, mixing, neighbours, quality, sharding, simhash, toxicity  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -183,3 +183,23 @@ def test_toxicity_fit_drops_equal_features_only(spark, monkeypatch):
     labels = spark.createDataFrame([(i, 0) for i in range(4)], "doc_id long, toxic int")
     toxicity.fit(docs, labels)
     assert len(rows) == 3
+
+
+def test_toxicity_equals_a_fit_and_scores_without_spark(spark):
+    docs = spark.read.parquet(f"{SF2}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF2}/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    label = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None:
+            label[r.doc_id] = max(label.get(r.doc_id, 0), int(r.toxic))
+    once = {}
+    for i in sorted(i for i in label if i in texts):
+        once.setdefault((toxicity.text_places(texts[i]).tobytes(), label[i] > 0), i)
+    rows = [np.frombuffer(places, np.int32) for places, _ in once]
+    toxic = np.array([int(y) for _, y in once])
+    model = toxicity.fit_ordinal(rows, toxicity.severity_grades(rows, toxic), 3)
+    assert 3 < len(label) <= toxicity.TRAINING_ROWS
+    for r in toxicity.op4_toxicity(spark, SF2).collect():
+        p = model.grades(toxicity.text_places(texts[r.doc_id]))
+        assert r.severity == int(p.argmax()) and r.expected_severity == pytest.approx(float(p @ np.arange(3)), abs=1e-6), r.doc_id
