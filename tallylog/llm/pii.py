@@ -95,21 +95,44 @@ def _title(gender: str) -> str:
     return rf"(?:(?:{_any_case(TITLES[gender])}){after}|(?:{_any_case(WEAK_TITLES[gender])}){after}(?=(?i:{given})(?![\p{{L}}\p{{N}}_])))"
 
 
+_FIRST_OF_TITLES = "".join(sorted({c[0] for t in (*TITLES.values(), *WEAK_TITLES.values()) for w in t.split() for c in (w, w.upper())}))
+
+
+def _alone_after(first: str, *patterns: str) -> str:
+    """Any of some patterns, tried only at the characters that they can begin with."""
+    return f"(?=[{first}])(?:{'|'.join(patterns)})"
+
+
 #: What an entity looks like, in order of precedence; a secret comes with its label and a name with its title.
-PATTERNS = [
-    r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}][\p{L}\p{N}_.+%-]*+@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*+(?<!-))\.(?=[\p{L}\p{N}]))++\p{L}{2,}+(?!\p{N})",
-    rf"(?<![A-Za-z0-9]){_LABEL}(?:{_SECRET}{{7,}}|(?={_SECRET}*+(?<=[0-9]{_SECRET}{{0,7}})){_SECRET}{{3,6}}){_SECRET_END}",
-    r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
-    rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
-    r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    r"(?<![0-9+])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![0-9])",
-    r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
-    r"(?<![0-9(])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
-    *[f"{_ALONE}{_title(gender)}{_NAME}" for gender in TITLES],
-]
-ANY = "|".join(PATTERNS)
-#: What a text with an entity holds; it is faster to look for.
-HINT = f"[0-9@]|AKIA|ASIA|{LABELS}|" + "|".join(rf"(?:{_any_case(t)})[.\s\u00A0]" for t in (*TITLES.values(), *WEAK_TITLES.values()))
+EMAIL = r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}][\p{L}\p{N}_.+%-]*+@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*+(?<!-))\.(?=[\p{L}\p{N}]))++\p{L}{2,}+(?!\p{N})"
+OTHERS = "|".join([
+    _alone_after("aApPsStT", rf"(?<![A-Za-z0-9]){_LABEL}(?:{_SECRET}{{7,}}|(?={_SECRET}*+(?<=[0-9]{_SECRET}{{0,7}})){_SECRET}{{3,6}}){_SECRET_END}"),
+    _alone_after("A", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    _alone_after(
+        "0-9(+",
+        rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
+        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        r"(?<![0-9+])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![0-9])",
+        r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
+        r"(?<![0-9(])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"),
+    _alone_after(_FIRST_OF_TITLES, *[f"{_ALONE}{_title(gender)}{_NAME}" for gender in TITLES]),
+])
+ANY = f"{EMAIL}|{OTHERS}"
+
+
+def _by_pattern(text: Column, use: Callable[[str], Column]) -> Column:
+    """``use`` of the pattern of all entities; for a text without the sign of an address, of that of the others."""
+    return F.when(F.contains(text, F.lit("@")), use(ANY)).otherwise(use(OTHERS))
+
+
+_SOME_TITLE = rf"(?=[{_FIRST_OF_TITLES}])(?:{'|'.join(_any_case(t) for t in (*TITLES.values(), *WEAK_TITLES.values()))})[.\s\u00A0]"
+
+
+def may_hold(text: Column) -> Column:
+    """What a text with an entity holds: a digit or the sign of an address, the beginning of a key, a label or a title.
+    It is faster to look for."""
+    labelled = (F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))) & text.rlike(LABELS)
+    return text.rlike("[0-9@]") | F.contains(text, F.lit("AKIA")) | F.contains(text, F.lit("ASIA")) | labelled | text.rlike(_SOME_TITLE)
 
 
 def _digits(s: Column) -> Column:
@@ -338,7 +361,7 @@ def _drawn(entity: Column, draw: Column) -> Column:
 def _matches(text: Column) -> Column:
     """All matches in a text, in order; an empty array for a null text or one without."""
     none = F.array().cast("array<string>")
-    return F.coalesce(F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))), none)
+    return F.coalesce(F.when(may_hold(text), _by_pattern(text, lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0)))), none)
 
 
 def redraws(entities: DataFrame) -> DataFrame:
@@ -402,7 +425,7 @@ def replace_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     again = stage(redraws(entities), "pii-redraws")
 
     def rewritten(df: DataFrame, draw_of) -> DataFrame:
-        pieces = F.split(F.col(text), ANY, -1)
+        pieces = _by_pattern(F.col(text), lambda p: F.split(F.col(text), p, -1))
         e = F.transform(F.col("__m"), lambda m: let(parse_entity(m), lambda x: let(surrogate(x, draw_of), lambda new: F.struct(
             F.coalesce(F.concat(x["lead"], new), m).alias("s"), x["kind"].isNotNull().cast("int").alias("n"),
             F.when(x["kind"].isin(*GIVEN), F.struct(x["core"].alias("core"), new.alias("new"))).alias("name")))))

@@ -241,7 +241,7 @@ FOUND = [
     ("token=" + "a1" * 300 + " end", ["a1a1a1"]), ("password: hunter2.", ["hunter2"]), ("password: p@ss!w0rd9, x", ["p@ss!w0rd9"]),
     ("x@a.b.c.d.e.f.g.h.i.j.com y", ["a.b.c", "i.j"]), ("x@" + ".".join(["wxyzwxyz"] * 300) + ".wxyzw.com.", ["wxyzw"]), ("q" * 100 + "@b.com", ["q" * 30]),
     ("jürgen.müller@bücher.de", ["rgen", "ller", "cher"]), ("call 988-555-2485 or +1 988 555 2485", ["988", "2485"]),
-    ("Mr. A" + "-b" * 20_000 + " z", ["-b-b"]),
+    ("Mr. A" + "-b" * 2_000 + " z", ["-b-b"]),
 ]
 CLEAN = ["Dear Sir Please Call Back", "Miss Universe Pageant", "Don Smith", "Mr. and Mrs. are titles", "the mister smith", "password is required",
          "v1.2.3.4.5 of 2024-01-01", "1234 5678 9012 3456 is no card", "a @ b", "", "Mrs. x"]
