@@ -13,6 +13,7 @@ then orders as the inner product does, and the triangle inequality holds.
    then goes to each cell, and in a tree to each branch, whose least possible distance
    by the triangle inequality, times ``factor``, is not above that bound.
    ``factor`` 1 is exact; a larger one leaves out branches that could only just matter.
+   ``choose_factor`` takes the largest that keeps a given recall on a sample of queries.
 4. A shard scores the vectors of the leaves on the original vectors in double
    precision; the best of all shards are merged.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,9 @@ LEAF = 64
 COPIES = SHARD // 4
 #: The production factor. 1 is exact; at 5, clustered vectors of unlike norms or of low rank lost a fifth of their neighbours or more.
 FACTOR = 1.0
+#: The factors that ``choose_factor`` tries, and the queries that it tries them on.
+FACTORS = (8.0, 5.0, 3.0, 2.0, 1.5)
+SAMPLE = 200
 #: What rounding may add to a distance, times the largest norm.
 SLACK = 1e-6
 
@@ -175,32 +180,52 @@ def _few_copies(rows: DataFrame, k: int) -> DataFrame:
     return marked.join(many, "mark", "left_anti").select("vec_id", "vector").unionByName(few)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = FACTOR) -> DataFrame:
-    """The ``k`` vectors of ``vectors`` (vec_id, embedding) nearest to each of ``queries`` (same columns).
+RESULT = "query_id long, rank int, vec_id long, score double"
 
-    Returns query_id, rank (int, from 1), vec_id, score: largest inner product first,
-    ties to the smaller vec_id; fewer rows where there are fewer candidates. A vector
-    that is null, zero or holds a null or non-finite component takes no part, nor does
-    one with a null id, one whose length is not the commonest (the longer one on a tie), or
-    one whose squared norm a double cannot hold. A query's own id is no candidate.
-    Repeated ids: rows of ``queries`` with one id are searched once (the first by
-    value); rows of ``vectors`` that share an id are candidates each. Empty tables give no rows.
-    Other columns, of any name, are not read; there are no texts.
-    """
-    spark = vectors.sparkSession
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = vectors.filter(usable("embedding") & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+
+def _norm() -> Column:
+    return F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+
+
+def _vectors(df: DataFrame, id_name: str) -> DataFrame:
+    """The usable rows of (vec_id, embedding) as an id and a vector of doubles."""
+    return df.filter(usable("embedding") & F.col("vec_id").isNotNull()).select(
+        F.col("vec_id").cast("long").alias(id_name), F.col("embedding").cast("array<double>").alias("vector"))
+
+
+@dataclass
+class Index:
+    """The trees (shard, tree; staged), and what queries are routed by: one entry a pivot at most."""
+
+    trees: DataFrame
+    radius: float
+    length: int
+    pivots: np.ndarray
+    shape: dict[int, tuple[int, float, float]]  # of a cell: vectors, nearest and farthest from its pivot
+    shards: list[int]
+    first: list[int]
+
+    def fits(self) -> Column:
+        return _fits(self.length)
+
+    @property
+    def occupied(self) -> np.ndarray:
+        return np.array([c for c in range(len(self.pivots)) if c in self.shape])
+
+
+def _fits(length: int) -> Column:
+    return (F.size("vector") == length) & (_norm() < float("inf"))
+
+
+def build(vectors: DataFrame, k: int = 20) -> Index | None:
+    """The index of ``vectors`` for searches of up to ``k``; None where no row takes part (see ``search``)."""
+    rows = _vectors(vectors, "vec_id")
     common = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    fits = (F.size("vector") == (common.d if common else 0)) & (squares < float("inf"))
-    rows = _few_copies(rows.filter(fits), k)
-    asked = (queries.filter(usable("embedding") & F.col("vec_id").isNotNull())
-             .select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
-             .filter(fits).groupBy("query_id").agg(F.min("vector").alias("vector")))
-    count, squared = rows.agg(F.count(F.lit(1)), F.max(squares)).first()
+    length = common.d if common else 0
+    rows = _few_copies(rows.filter(_fits(length)), k)
+    count, squared = rows.agg(F.count(F.lit(1)), F.max(_norm())).first()
     if not count:
-        return empty
+        return None
     radius = float(np.sqrt(squared)) * (1 + 1e-12)
 
     # pivots: the vectors of smallest hash, a bounded number
@@ -208,19 +233,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     chosen = rows.select(F.xxhash64("vec_id", F.lit("pivot")).alias("h"), "vec_id", "vector").orderBy("h", "vec_id").limit(n_pivots).collect()
     pivots = _lift(np.array([r.vector for r in chosen]), radius)
 
-    def nearest(lift: bool):
-        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x = _matrix(b.column("vector"))
-                d = _distances(_lift(x, radius) if lift else np.hstack([x, np.zeros((len(x), 1))]), pivots)
-                cell = d.argmin(1)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column("vector"), pa.array(cell.astype(np.int32)),
-                                                  pa.array(d[np.arange(len(x)), cell])], names=[b.schema.names[0], "vector", "cell", "far"])
-        return apply
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            d = _distances(_lift(_matrix(b.column("vector")), radius), pivots)
+            cell = d.argmin(1)
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vector"), pa.array(cell.astype(np.int32)),
+                                              pa.array(d[np.arange(len(d)), cell])], names=["vec_id", "vector", "cell", "far"])
 
-    homes = stage(rows.mapInArrow(nearest(True), "vec_id long, vector array<double>, cell int, far double"), "ann-homes")
+    homes = stage(rows.mapInArrow(nearest, "vec_id long, vector array<double>, cell int, far double"), "ann-homes")
     # one row a cell, MAX_PIVOTS at most
     shape = {c: (n, lo, hi) for c, n, lo, hi in homes.groupBy("cell").agg(F.count(F.lit(1)), F.min("far"), F.max("far")).collect()}
     shards = [-(-shape[c][0] // SHARD) if c in shape else 0 for c in range(len(pivots))]
@@ -228,15 +250,22 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     cut = F.pmod(F.xxhash64("vec_id", "vector"), F.get(constants(shards, "int"), F.col("cell"))).cast("int")
     placed = homes.withColumn("shard", F.get(constants(first, "int"), F.col("cell")) + cut)
 
-    def build(group: pa.Table) -> pa.Table:
+    def plant(group: pa.Table) -> pa.Table:
         tree = Tree(group.column("vec_id").to_numpy(), _matrix(group.column("vector")), radius)
         return pa.table({"shard": group.column("shard").slice(0, 1), "tree": pa.array([pickle.dumps(tree, 5)], pa.binary())})
 
-    index = stage(placed.select("shard", "vec_id", "vector").groupBy("shard").applyInArrow(build, "shard int, tree binary"), "ann-index")
+    trees = stage(placed.select("shard", "vec_id", "vector").groupBy("shard").applyInArrow(plant, "shard int, tree binary"), "ann-index")
+    return Index(trees, radius, length, pivots, shape, shards, first)
+
+
+def find(index: Index, queries: DataFrame, k: int = 20, factor: float = FACTOR) -> DataFrame:
+    """The ``k`` vectors of the index nearest to each of ``queries``, as ``search`` returns them."""
+    radius, first, shards, pivots = index.radius, index.first, index.shards, index.pivots
+    asked = _vectors(queries, "query_id").filter(index.fits()).groupBy("query_id").agg(F.min("vector").alias("vector"))
 
     # a query's own cell is the occupied one of the nearest pivot
-    occupied = np.array([c for c in range(len(pivots)) if c in shape])
-    lows, highs = (np.array([shape[c][i] for c in occupied]) for i in (1, 2))
+    occupied = index.occupied
+    lows, highs = (np.array([index.shape[c][i] for c in occupied]) for i in (1, 2))
 
     def route(own: bool):
         def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,18 +296,56 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
     routed = "shard int, query_id long, vector array<double>, bound double"
     home_found = stage(_top(_search_groups(stage(asked.mapInArrow(route(True), routed).withColumn("part", part), "ann-asked"),
-                                           index, k, factor), k), "ann-own")
+                                           index.trees, k, factor), k), "ann-own")
     # the k-th distance so far bounds what is still to find
     kth = home_found.filter(F.col("rank") == k).select("query_id", "score")
-    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    so_far = F.sqrt(F.greatest(norm + radius**2 - 2 * F.col("score"), F.lit(0.0)))
+    so_far = F.sqrt(F.greatest(_norm() + radius**2 - 2 * F.col("score"), F.lit(0.0)))
     bounded = asked.join(kth, "query_id", "left").select(
         "query_id", "vector", F.when(F.col("score").isNotNull(), so_far).otherwise(float("inf")).alias("bound"))
-    others = _search_groups(stage(bounded.mapInArrow(route(False), routed).withColumn("part", part), "ann-asked"), index, k, factor)
+    others = _search_groups(stage(bounded.mapInArrow(route(False), routed).withColumn("part", part), "ann-asked"), index.trees, k, factor)
     best = _top(home_found.select("query_id", "vec_id", "score").unionByName(others), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = FACTOR) -> DataFrame:
+    """The ``k`` vectors of ``vectors`` (vec_id, embedding) nearest to each of ``queries`` (same columns).
+
+    Returns query_id, rank (int, from 1), vec_id, score: largest inner product first,
+    ties to the smaller vec_id; fewer rows where there are fewer candidates. A vector
+    that is null, zero or holds a null or non-finite component takes no part, nor does
+    one with a null id, one whose length is not the commonest (the longer one on a tie), or
+    one whose squared norm a double cannot hold. A query's own id is no candidate.
+    Repeated ids: rows of ``queries`` with one id are searched once (the first by
+    value); rows of ``vectors`` that share an id are candidates each. Empty tables give no rows.
+    Other columns, of any name, are not read; there are no texts.
+    """
+    index = build(vectors, k)
+    if index is None:
+        return vectors.sparkSession.createDataFrame([], RESULT)
+    return find(index, queries, k, factor)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> float:
+    """The share of the rows of ``exact`` (query_id, vec_id) that ``found`` holds; 1 where there are none."""
+    pairs = ["query_id", "vec_id"]
+    n = exact.count()
+    return exact.select(*pairs).distinct().join(found.select(*pairs).distinct(), pairs, "left_semi").count() / n if n else 1.0
+
+
+def choose_factor(index: Index, queries: DataFrame, k: int = 20, wanted: float = 0.95, sample: int = SAMPLE) -> float:
+    """The largest of FACTORS at which a sample of ``queries`` finds the ``wanted`` share of its true neighbours; 1 if none does.
+
+    The sample, ``sample`` queries of smallest hash, is searched exactly and then by each
+    factor in turn, the one that prunes most first.
+    """
+    some = stage(queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample), "ann-sample")
+    exact = stage(find(index, some, k, 1.0), "ann-exact")
+    for factor in FACTORS:
+        if recall(find(index, some, k, factor), exact) >= wanted:
+            return factor
+    return 1.0
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all ``embeddings`` to each whose vec_id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")

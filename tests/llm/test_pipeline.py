@@ -203,3 +203,27 @@ def test_toxicity_equals_a_fit_and_scores_without_spark(spark):
     for r in toxicity.op4_toxicity(spark, SF2).collect():
         p = model.grades(toxicity.text_places(texts[r.doc_id]))
         assert r.severity == int(p.argmax()) and r.expected_severity == pytest.approx(float(p @ np.arange(3)), abs=1e-6), r.doc_id
+
+
+@pytest.mark.parametrize("shape", ["even", "unlike norms", "low rank"])
+def test_the_chosen_factor_keeps_its_recall(spark, shape, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 700)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2500, 24))
+    if shape == "low rank":
+        x = rng.normal(size=(2500, 5)) @ rng.normal(size=(5, 24))
+    if shape == "unlike norms":
+        x = (rng.normal(size=(30, 24))[rng.integers(0, 30, 2500)] + 0.1 * x) * rng.lognormal(0, 1, 2500)[:, None]
+    else:
+        x /= np.linalg.norm(x, axis=1)[:, None]
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    asked = frame.filter("vec_id % 10 = 0")
+    index = neighbours.build(frame)
+    factor = neighbours.choose_factor(index, asked, sample=60)
+    assert factor in (*neighbours.FACTORS, 1.0) and index.trees.count() >= 3
+    exact, found = neighbours.find(index, asked, factor=1.0), neighbours.find(index, asked, factor=factor)
+    assert neighbours.recall(found, exact) >= 0.9
+    score = x[::10] @ x.T
+    score[np.arange(250), np.arange(0, 2500, 10)] = -np.inf
+    want = {(10 * i, int(j)) for i, row in enumerate(np.argsort(-score, axis=1)[:, :20]) for j in row}
+    assert {(r.query_id, r.vec_id) for r in exact.collect()} == want
