@@ -33,8 +33,10 @@ from tallylog.llm.common import constants, stage, table
 
 #: Vectors in a shard: what one task holds (8 MB at 64 components).
 SHARD = 1 << 14
-#: Queries that a task searches in a shard at once.
-QUERIES = 2048
+#: Queries that a task searches in a shard at once: as many as the shard has vectors, so moving the tree costs no more than moving them.
+QUERIES = SHARD
+#: Queries whose ways are found at once: one flag for each and each shard.
+WAYS = 256
 #: Pivots, at most; they are sent to all tasks.
 MAX_PIVOTS = 1024
 LEAF = 64
@@ -47,6 +49,8 @@ FACTORS = (8.0, 5.0, 3.0, 2.0, 1.5)
 SAMPLE = 200
 #: What rounding may add to a distance, times the largest norm.
 SLACK = 1e-6
+#: What the order of summing may add to an inner product, times both norms: far above 2^-53 a component.
+ROUNDING = 1e-9
 
 
 def usable(embedding: str) -> Column:
@@ -105,6 +109,7 @@ class Tree:
         n, given = len(queries), bounds
         lifted = np.hstack([queries, np.zeros((n, 1))])
         norm = np.einsum("ij,ij->i", queries, queries)
+        rounding = ROUNDING * self.radius * np.sqrt(norm)
         best_score, best_row = np.full((n, k), -np.inf), np.full((n, k), len(self.ids))
         by_id = np.append(self.ids, np.iinfo(np.int64).max)  # the ids of rows; the last stands for none
         bounds = bounds.copy()
@@ -117,6 +122,10 @@ class Tree:
             node = self.nodes[at]
             if len(node) == 1:
                 rows = node[0]
+                # a fast product first: queries whose k-th score nothing here can reach, ties included, are done
+                q = q[(queries[q] @ self.vectors[rows].T).max(1) >= best_score[q, k - 1] - rounding[q]]
+                if not len(q):
+                    continue
                 score = np.einsum("qd,nd->qn", queries[q], self.vectors[rows])
                 score[self.ids[rows][None, :] == query_ids[q][:, None]] = -np.inf
                 all_score = np.hstack([best_score[q], score])
@@ -144,8 +153,13 @@ class Tree:
 
 
 def _search_groups(queries: DataFrame, index: DataFrame, k: int, factor: float) -> DataFrame:
-    """Search: ``queries`` (shard, part, query_id, vector, bound) against ``index`` (shard, tree); query_id, vec_id, score."""
-    trees = index.join(queries.select("shard", F.col("part").alias("for_part")).distinct(), "shard").select("shard", "for_part", "tree")
+    """Search: ``queries`` (shards, part, query_id, vector, bound) against ``index`` (shard, tree); query_id, vec_id, score.
+
+    A query is one row with a list of shards, and is copied to them on its way to the search only.
+    """
+    pairs = queries.select(F.explode("shards").alias("shard"), F.col("part").alias("for_part")).distinct()
+    trees = index.join(pairs, "shard").select("shard", "for_part", "tree")
+    queries = queries.select(F.explode("shards").alias("shard"), "part", "query_id", "vector", "bound")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[int, int, float]] = []
@@ -202,8 +216,7 @@ class Index:
     length: int
     pivots: np.ndarray
     shape: dict[int, tuple[int, float, float]]  # of a cell: vectors, nearest and farthest from its pivot
-    shards: list[int]
-    first: list[int]
+    shards: list[int]  # of a cell: its number of shards
 
     def fits(self) -> Column:
         return _fits(self.length)
@@ -255,16 +268,17 @@ def build(vectors: DataFrame, k: int = 20) -> Index | None:
         return pa.table({"shard": group.column("shard").slice(0, 1), "tree": pa.array([pickle.dumps(tree, 5)], pa.binary())})
 
     trees = stage(placed.select("shard", "vec_id", "vector").groupBy("shard").applyInArrow(plant, "shard int, tree binary"), "ann-index")
-    return Index(trees, radius, length, pivots, shape, shards, first)
+    return Index(trees, radius, length, pivots, shape, shards)
 
 
 def find(index: Index, queries: DataFrame, k: int = 20, factor: float = FACTOR) -> DataFrame:
     """The ``k`` vectors of the index nearest to each of ``queries``, as ``search`` returns them."""
-    radius, first, shards, pivots = index.radius, index.first, index.shards, index.pivots
+    radius, pivots = index.radius, index.pivots
     asked = _vectors(queries, "query_id").filter(index.fits()).groupBy("query_id").agg(F.min("vector").alias("vector"))
 
     # a query's own cell is the occupied one of the nearest pivot
     occupied = index.occupied
+    per_cell = [index.shards[c] for c in occupied]
     lows, highs = (np.array([index.shape[c][i] for c in occupied]) for i in (1, 2))
 
     def route(own: bool):
@@ -283,18 +297,20 @@ def find(index: Index, queries: DataFrame, k: int = 20, factor: float = FACTOR)
                     # the cell's distances from its pivot, by the triangle inequality
                     least = np.maximum(np.maximum(lows[None, :] - d, d - highs[None, :]), 0.0)
                     go = ~is_home & (least * factor <= bound[:, None] + SLACK * radius)
-                for i, c in enumerate(occupied.tolist()):
-                    at = np.nonzero(go[:, i])[0]
-                    for s in range(first[c], first[c] + shards[c]) if len(at) else ():
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(at), s, np.int32)), b.column("query_id").take(pa.array(at)),
-                             b.column("vector").take(pa.array(at)), pa.array(bound[at])], names=["shard", "query_id", "vector", "bound"])
+                for start in range(0, len(x), WAYS):
+                    reach = np.repeat(go[start:start + WAYS], per_cell, axis=1)  # shards are numbered cell by cell
+                    ends = np.concatenate([[0], np.cumsum(reach.sum(1))])
+                    ways = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.nonzero(reach)[1], pa.int32()))
+                    some = b.slice(start, WAYS)
+                    yield pa.RecordBatch.from_arrays(
+                        [ways, some.column("query_id"), some.column("vector"), pa.array(bound[start:start + WAYS])],
+                        names=["shards", "query_id", "vector", "bound"])
         return apply
 
     asked = stage(asked, "ann-queries")
     parts = max(1, -(-asked.count() // QUERIES))
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
-    routed = "shard int, query_id long, vector array<double>, bound double"
+    routed = "shards array<int>, query_id long, vector array<double>, bound double"
     home_found = stage(_top(_search_groups(stage(asked.mapInArrow(route(True), routed).withColumn("part", part), "ann-asked"),
                                            index.trees, k, factor), k), "ann-own")
     # the k-th distance so far bounds what is still to find
