@@ -86,6 +86,16 @@ class Tree:
         self.nodes: list[tuple] = []  # (rows,) or (vantage, near, near range, far, far range)
         self._build(points)
 
+    def __getstate__(self) -> dict:
+        """As floats of 32 bits where they hold the same values."""
+        with np.errstate(over="ignore"):
+            small = self.vectors.astype(np.float32)
+        return {**self.__dict__, "vectors": small if np.array_equal(small, self.vectors) else self.vectors}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.vectors = self.vectors.astype(np.float64)
+
     def _build(self, points: np.ndarray) -> None:
         todo: list[tuple[np.ndarray, int, int]] = [(np.arange(len(points)), -1, 0)]
         while todo:
@@ -198,13 +208,18 @@ RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def _norm() -> Column:
-    return F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    return F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
 
 
 def _vectors(df: DataFrame, id_name: str) -> DataFrame:
-    """The usable rows of (vec_id, embedding) as an id and a vector of doubles."""
+    """The usable rows of (vec_id, embedding) as an id and a vector: of floats, if the table holds floats, else of doubles."""
+    kind = "array<float>" if df.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
     return df.filter(usable("embedding") & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias(id_name), F.col("embedding").cast("array<double>").alias("vector"))
+        F.col("vec_id").cast("long").alias(id_name), F.col("embedding").cast(kind).alias("vector"))
+
+
+def _kind(df: DataFrame) -> str:
+    return df.schema["vector"].dataType.simpleString()
 
 
 @dataclass
@@ -255,7 +270,7 @@ def build(vectors: DataFrame, k: int = 20) -> Index | None:
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vector"), pa.array(cell.astype(np.int32)),
                                               pa.array(d[np.arange(len(d)), cell])], names=["vec_id", "vector", "cell", "far"])
 
-    homes = stage(rows.mapInArrow(nearest, "vec_id long, vector array<double>, cell int, far double"), "ann-homes")
+    homes = stage(rows.mapInArrow(nearest, f"vec_id long, vector {_kind(rows)}, cell int, far double"), "ann-homes")
     # one row a cell, MAX_PIVOTS at most
     shape = {c: (n, lo, hi) for c, n, lo, hi in homes.groupBy("cell").agg(F.count(F.lit(1)), F.min("far"), F.max("far")).collect()}
     shards = [-(-shape[c][0] // SHARD) if c in shape else 0 for c in range(len(pivots))]
@@ -310,7 +325,7 @@ def find(index: Index, queries: DataFrame, k: int = 20, factor: float = FACTOR)
     asked = stage(asked, "ann-queries")
     parts = max(1, -(-asked.count() // QUERIES))
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
-    routed = "shards array<int>, query_id long, vector array<double>, bound double"
+    routed = f"shards array<int>, query_id long, vector {_kind(asked)}, bound double"
     home_found = stage(_top(_search_groups(stage(asked.mapInArrow(route(True), routed).withColumn("part", part), "ann-asked"),
                                            index.trees, k, factor), k), "ann-own")
     # the k-th distance so far bounds what is still to find
